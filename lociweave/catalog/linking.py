@@ -145,10 +145,7 @@ def chipseq_peak(spark, d):
     """Flagship: features over promoters -> program score -> rank and L1 weight per supplier group."""
     f = features(spark, d)
     regions = _promoters(spark, d).select("chrom", "r_start", "r_end", F.col("program").alias("gene_id"), F.lit(1.0).alias("link_weight"))
-    links = I.interval_links(f, regions)
-    on = ["chrom", "start", "end"]
-    collapsed = f.groupBy(*on).agg(F.sum("weight").alias("w"))
-    scores = collapsed.join(links, on).groupBy("chrom", "gene_id").agg(F.sum(F.col("w") * F.col("link_weight")).alias("score"))
+    scores = I.overlap_score(f, regions, ["chrom"])
     picked = SEL.select_and_weight(scores, ["chrom"], "within_set_l1", how="top_k", k=3)
     return picked.select("chrom", "gene_id", r6("score", 2).alias("score"), r6("weight").alias("weight"), "rank")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["linking"]
+MODULES = ["linking", "ranking", "contrasting"]
 
 
 def entries() -> dict[str, tuple]:

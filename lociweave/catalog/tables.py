@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Open a table once per application: reading a footer for the schema is a job of its own."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(key[1])
+    return _OPENED[key]
 
 
 def day(ts: str) -> Column:

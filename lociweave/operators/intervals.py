@@ -16,60 +16,58 @@ FINEST_BITS = 7
 STEP_BITS = 3
 
 
-def _level(start: str, end: str) -> Column:
-    """Size class: cells of 2^(7+3*level) positions hold at most two cells per interval."""
+def _grid_width(start: str, end: str) -> Column:
+    """Cell width of the size class, 2^(7+3k): at least the interval's length, so it meets at most two cells."""
     length = F.greatest(F.col(end) - F.col(start), F.lit(1)).cast("double")
-    return F.greatest(F.lit(0), F.ceil((F.log2(length) - FINEST_BITS) / STEP_BITS)).cast("int")
+    step = F.greatest(F.lit(0), F.ceil((F.log2(length) - FINEST_BITS) / STEP_BITS))
+    return F.pow(F.lit(2.0), (step * STEP_BITS + FINEST_BITS).cast("double")).cast("long")
 
 
-def _cell(pos: Column, level: Column) -> Column:
-    width = F.pow(F.lit(2.0), (level * STEP_BITS + FINEST_BITS).cast("double"))
-    return F.floor(pos / width).cast("long")
+def _cell(pos: Column) -> Column:
+    return F.floor(pos / F.col("_grid")).cast("long")
 
 
-def _cells(start: str, end: str, level: Column) -> Column:
-    first = _cell(F.col(start), level)
-    last = _cell(F.greatest(F.col(end) - 1, F.col(start)), level)
-    return F.explode(F.sequence(first, F.greatest(first, last)))
+def _spread(df: DataFrame, start: str, end: str, own: str, widths: DataFrame | None, strict: bool) -> DataFrame:
+    """Place rows in grid cells of their own width, or of every wider width in ``widths``.
 
-
-def _spread(df: DataFrame, start: str, end: str, own: str, levels: DataFrame | None, strict: bool) -> DataFrame:
-    """Explode rows to grid cells, at their own level or at every coarser level in ``levels``.
-
-    ``levels`` holds the distinct size classes of the other side: at most 19
+    ``widths`` holds the distinct size classes of the other side: at most 19
     rows for 64-bit coordinates, so its broadcast is bounded.
     """
-    if levels is None:
+    if widths is None:
         placed = df.withColumn("_grid", F.col(own))
     else:
-        reach = F.col("_grid") > F.col(own) if strict else F.col("_grid") >= F.col(own)
-        placed = df.join(F.broadcast(levels), reach)
-    return placed.withColumn("_cell", _cells(start, end, F.col("_grid")))
+        wide_enough = F.col("_grid") > F.col(own) if strict else F.col("_grid") >= F.col(own)
+        placed = df.join(F.broadcast(widths), wide_enough)
+    first, last = _cell(F.col(start)), _cell(F.greatest(F.col(end) - 1, F.col(start)))
+    placed = placed.withColumn("_c0", first).withColumn("_c1", last)
+    both = F.when(F.col("_c0") == F.col("_c1"), F.array("_c0")).otherwise(F.array("_c0", "_c1"))
+    return placed.withColumn("_cell", F.explode(both)).drop("_c0", "_c1")
 
 
-def overlap_pairs(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+def overlap_pairs(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """All (left, right) pairs with ``l_start < r_end and r_start < l_end`` per ``on`` group.
 
     Expects ``l_start, l_end`` on the left and ``r_start, r_end`` on the right.
     Interval sizes may span many orders of magnitude: the longer interval of a
     pair decides the grid, so neither side is exploded to more than a few cells.
     """
-    lt = left.withColumn("_ll", _level("l_start", "l_end"))
-    rt = right.withColumn("_rl", _level("r_start", "r_end"))
-    levels = lambda d, c: d.select(F.col(c).alias("_grid")).distinct()
+    lt = left.withColumn("_ll", _grid_width("l_start", "l_end"))
+    rt = right.withColumn("_rl", _grid_width("r_start", "r_end"))
+    widths = lambda d, c: d.select(F.col(c).alias("_grid")).distinct()
     meets = (F.col("l_start") < F.col("r_end")) & (F.col("r_start") < F.col("l_end"))
-    home = F.col("_cell") == _cell(F.greatest("l_start", "r_start"), F.col("_grid"))
+    # A pair may share two cells; it is kept in the one where the later interval starts.
+    home = F.col("_cell") == _cell(F.greatest("l_start", "r_start"))
 
     def join(a: DataFrame, b: DataFrame) -> DataFrame:
         return a.join(b, [*on, "_grid", "_cell"]).filter(meets & home).drop("_grid", "_cell", "_ll", "_rl")
 
     right_longer = join(
-        _spread(lt, "l_start", "l_end", "_ll", levels(rt, "_rl"), strict=False),
+        _spread(lt, "l_start", "l_end", "_ll", widths(rt, "_rl"), strict=False),
         _spread(rt, "r_start", "r_end", "_rl", None, strict=False),
     )
     left_longer = join(
         _spread(lt, "l_start", "l_end", "_ll", None, strict=False),
-        _spread(rt, "r_start", "r_end", "_rl", levels(lt, "_ll"), strict=True),
+        _spread(rt, "r_start", "r_end", "_rl", widths(lt, "_ll"), strict=True),
     )
     return right_longer.unionByName(left_longer)
 
@@ -106,6 +104,30 @@ def interval_links(
     )
 
 
+def overlap_score(
+    features: DataFrame,
+    regions: DataFrame,
+    keys: Sequence[str] = (),
+    weight: str | Column = "weight",
+    on: Sequence[str] = ("chrom",),
+    start: str = "start",
+    end: str = "end",
+) -> DataFrame:
+    """Sum of weight * link_weight over overlapping (feature, region) pairs, per (keys, gene).
+
+    Same result as linking and then scoring, without a per-feature link table:
+    weights are summed per distinct span, region weights per (span, gene), and
+    the pairs are aggregated as they are produced.
+    """
+    on, keys = list(on), list(keys)
+    w = F.col(weight) if isinstance(weight, str) else weight
+    own = [k for k in keys if k not in on]
+    spans = features.groupBy(*on, *own, F.col(start).alias("l_start"), F.col(end).alias("l_end")).agg(F.sum(w).alias("_w"))
+    packed = regions.groupBy(*on, "r_start", "r_end", "gene_id").agg(F.sum("link_weight").alias("link_weight"))
+    pairs = overlap_pairs(spans, packed, on)
+    return pairs.groupBy(*keys, "gene_id").agg(F.sum(F.col("_w") * F.col("link_weight")).alias("score"))
+
+
 def promoter_links(spans: DataFrame, genes: DataFrame, upstream: int = 2000, downstream: int = 500) -> DataFrame:
     """Promoter overlap: weight 1 per (span, gene). A gene listed once gives one link."""
     regions = promoters(genes, upstream, downstream).select(

@@ -115,31 +115,44 @@ def softmax(df: DataFrame, keys: Sequence[str], temperature: float | Column, sco
 
 
 def temperature_for_effective_n(
-    df: DataFrame, keys: Sequence[str], target: float, score: str = "score", steps: int = 60, tol: float = 1e-3
+    df: DataFrame, keys: Sequence[str], target: float, score: str = "score", tol: float = 1e-3
 ) -> DataFrame:
-    """Temperature per key whose softmax has ``target`` effective members, by bisection.
+    """Temperature per key whose softmax has ``target`` effective members, by bisection of [1e-6, 1e6].
 
-    Every step is one partially aggregated pass over the scores; only one row
-    per key (bracket and midpoint) is carried between steps.
+    One pass evaluates all 15 midpoints that four bisection steps can reach, as
+    partial sums over the scores; one row per key is carried between passes.
     """
     from lociweave.session import materialize
 
     stats = materialize(df.groupBy(*keys).agg(F.max(score).alias("_max")))
     base = materialize(attach(df, stats, keys).select(*keys, (F.col(score) - F.col("_max")).alias("_d")))
-    state = stats.select(*keys, F.lit(1e-6).alias("lo"), F.lit(1e6).alias("hi"), F.lit(None).cast("double").alias("temperature"))
+    state = stats.select(
+        *keys, F.lit(1e-6).alias("lo"), F.lit(1e6).alias("hi"), F.lit(None).cast("double").alias("temperature")
+    )
+    point = lambda j: F.col("lo") + (F.col("hi") - F.col("lo")) * (j / 16)
     mid = (F.col("lo") + F.col("hi")) / 2
-    for _ in range(steps):
-        e = attach(base, state.select(*keys, mid.alias("_t")), keys).select(*keys, F.exp(F.col("_d") / F.col("_t")).alias("_e"))
-        neff = e.groupBy(*keys).agg((F.pow(F.sum("_e"), 2) / F.sum(F.col("_e") * F.col("_e"))).alias("_neff"))
-        done = F.col("temperature").isNotNull() | (F.abs(F.col("_neff") - target) <= tol)
-        state = materialize(
-            attach(state, neff, keys).select(
-                *keys,
-                F.when(~done & (F.col("_neff") < target), mid).otherwise(F.col("lo")).alias("lo"),
-                F.when(~done & (F.col("_neff") >= target), mid).otherwise(F.col("hi")).alias("hi"),
-                F.coalesce("temperature", F.when(F.abs(F.col("_neff") - target) <= tol, mid)).alias("temperature"),
+    for _ in range(25):
+        rows = attach(base, state.filter("temperature is null").select(*keys, "lo", "hi"), keys)
+        neff = []
+        for j in range(1, 16):
+            e = F.exp(F.col("_d") / point(j))
+            neff.append((F.pow(F.sum(e), 2) / F.sum(e * e)).alias(f"_n{j}"))
+        sums = rows.groupBy(*keys).agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"), *neff)
+        width = (F.col("hi") - F.col("lo")) / 16
+        walk = sums.withColumn("_at", F.lit(8)).withColumn("_t", F.lit(None).cast("double"))
+        for step in (4, 2, 1, 0):
+            n = F.element_at(F.array(*[F.col(f"_n{j}") for j in range(1, 16)]), F.col("_at"))
+            walk = walk.withColumn("_now", n).withColumn(
+                "_t", F.coalesce("_t", F.when(F.abs(F.col("_now") - target) <= tol, F.col("lo") + width * F.col("_at")))
             )
+            turn = F.when(F.col("_now") < target, F.col("_at") + step).otherwise(F.col("_at") - step)
+            if step:
+                walk = walk.withColumn("_at", turn)
+        low = F.when(F.col("_now") < target, F.col("_at")).otherwise(F.col("_at") - 1)
+        moved = walk.select(
+            *keys, (F.col("lo") + width * low).alias("lo"), (F.col("lo") + width * (low + 1)).alias("hi"), F.col("_t").alias("temperature")
         )
+        state = materialize(state.filter("temperature is not null").unionByName(moved))
         if state.filter("temperature is null").isEmpty():
             break
     return state.select(*keys, F.coalesce("temperature", mid).alias("temperature"))

@@ -91,18 +91,18 @@ def cumulative(
     summary = sums.select(
         *keys,
         SLICE,
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_s").over(whole).alias("_total"),
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_sl_before"),
+        F.sum("_s").over(whole).alias("_sl_total"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_sl_shift"),
     )
     local = F.sum(value).over(_within(keys).rowsBetween(Window.unboundedPreceding, 0))
-    out = _join_slices(sliced.withColumn("_local", local), summary, keys)
-    out = out.withColumn(running, F.col("_local") + F.col("_before"))
+    out = _join_slices(sliced.withColumn("_sl_local", local), summary, keys)
+    out = out.withColumn(running, F.col("_sl_local") + F.col("_sl_before"))
     if total:
-        out = out.withColumn(total, F.col("_total"))
+        out = out.withColumn(total, F.col("_sl_total"))
     if rank:
-        out = out.withColumn(rank, (F.col(POS) + F.col("_shift")).cast("long"))
-    return out.drop(SLICE, POS, "_local", "_before", "_total", "_shift")
+        out = out.withColumn(rank, (F.col(POS) + F.col("_sl_shift")).cast("long"))
+    return out.drop(SLICE, POS, "_sl_local", "_sl_before", "_sl_total", "_sl_shift")
 
 
 def step_up_minimum(
