@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from lociweave.operators import sliced
 from lociweave.operators.joins import attach, attach_count
@@ -18,13 +19,13 @@ from lociweave.operators.joins import attach, attach_count
 Z_TWO_SIDED_05 = 1.959963984540054
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p(stat: pd.Series) -> pd.Series:
     """Two-sided normal p-value; Spark SQL has no error function."""
     return stat.map(lambda t: None if pd.isna(t) else math.erfc(abs(t) / math.sqrt(2.0))).astype("float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_quantile(p: pd.Series) -> pd.Series:
     inv = NormalDist().inv_cdf
     return p.map(lambda x: None if pd.isna(x) else inv(x)).astype("float64")
@@ -284,18 +285,25 @@ def design_table(members: DataFrame, samples: DataFrame, numeric: Sequence[str]
     return long.join(base, ["comparison_id", "coef"], "left_anti")
 
 
-def _invert(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pseudo-inverse of one comparison's XtX; its size is the number of coefficients."""
-    names = sorted(set(pdf["i"]) | set(pdf["j"]))
-    at = {n: k for k, n in enumerate(names)}
-    a = np.zeros((len(names), len(names)))
-    a[pdf["i"].map(at), pdf["j"].map(at)] = pdf["v"]
-    inv = np.linalg.pinv(a, hermitian=True)
-    k = len(names)
-    return pd.DataFrame({
-        "comparison_id": pdf["comparison_id"].iloc[0],
-        "i": np.repeat(names, k), "coef": np.tile(names, k), "inv": inv.ravel(), "p": k,
-    })
+def _xtx_inverse():
+    """Grouped function: pseudo-inverse of one comparison's XtX, sized by its coefficients.
+
+    A closure travels to the workers by value, so they need no copy of this package.
+    """
+
+    def invert(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(set(pdf["i"]) | set(pdf["j"]))
+        at = {n: k for k, n in enumerate(names)}
+        a = np.zeros((len(names), len(names)))
+        a[pdf["i"].map(at), pdf["j"].map(at)] = pdf["v"]
+        inv = np.linalg.pinv(a, hermitian=True)
+        k = len(names)
+        return pd.DataFrame({
+            "comparison_id": pdf["comparison_id"].iloc[0],
+            "i": np.repeat(names, k), "coef": np.tile(names, k), "inv": inv.ravel(), "p": k,
+        })
+
+    return invert
 
 
 def ols_group_effect(log_values: DataFrame, design: DataFrame, zero: float = math.log2(0.5)) -> DataFrame:
@@ -310,7 +318,7 @@ def ols_group_effect(log_values: DataFrame, design: DataFrame, zero: float = mat
     a = design.select("comparison_id", "sample_id", F.col("coef").alias("i"), F.col("x").alias("_x"))
     b = design.select("comparison_id", "sample_id", F.col("coef").alias("j"), F.col("x").alias("_z"))
     xtx = a.join(b, ["comparison_id", "sample_id"]).groupBy("comparison_id", "i", "j").agg(F.sum(F.col("_x") * F.col("_z")).alias("v"))
-    inv = xtx.groupBy("comparison_id").applyInPandas(_invert, "comparison_id string, i string, coef string, inv double, p long")
+    inv = xtx.groupBy("comparison_id").applyInPandas(_xtx_inverse(), "comparison_id string, i string, coef string, inv double, p long")
     y = log_values.filter("log_cpm is not null").withColumn("_y", F.col("log_cpm") - F.lit(zero))
     # A comparison column on the values (genes kept per comparison) narrows the join.
     on = ["comparison_id", "sample_id"] if "comparison_id" in y.columns else ["sample_id"]
