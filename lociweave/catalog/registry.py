@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["linking", "ranking", "contrasting"]
+MODULES = ["linking", "ranking", "contrasting", "screening", "priors", "profiles"]
 
 
 def entries() -> dict[str, tuple]:

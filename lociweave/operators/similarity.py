@@ -42,9 +42,9 @@ def _block_top(k: int | None, floor: float | None, exclude_self: bool):
 
     def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
-            return pd.DataFrame({"query_id": q["id"].iloc[:0], "ref_id": r["id"].iloc[:0], "similarity": pd.Series(dtype="float64")})
-        sim = np.stack(q["vec"].to_numpy()) @ np.stack(r["vec"].to_numpy()).T
-        qid, rid = q["id"].to_numpy(), r["id"].to_numpy()
+            return pd.DataFrame({"query_id": [], "ref_id": [], "similarity": []})
+        sim = np.stack(q["query_vec"].to_numpy()) @ np.stack(r["ref_vec"].to_numpy()).T
+        qid, rid = q["query_id"].to_numpy(), r["ref_id"].to_numpy()
         keep = np.ones(sim.shape, dtype=bool)
         if exclude_self:
             keep &= qid[:, None] != rid[None, :]
@@ -60,8 +60,8 @@ def _block_top(k: int | None, floor: float | None, exclude_self: bool):
     return run
 
 
-def _blocks(df: DataFrame, n: int, out: str) -> DataFrame:
-    return df.withColumn(out, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+def _block(column: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
 
 
 def similar(
@@ -78,10 +78,11 @@ def similar(
         raise ValueError("give k or min_similarity")
     nq = max(1, math.ceil(queries.count() / BLOCK_ROWS))
     nr = max(1, math.ceil(references.count() / BLOCK_ROWS))
-    q = queries.select("id", unit("vec", pearson).alias("vec"))
-    r = references.select("id", unit("vec", pearson).alias("vec"))
-    q = _blocks(q, nq, "_qb").withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))))
-    r = _blocks(r, nr, "_rb").withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    # Both sides get columns of their own: a self-comparison must not share attributes.
+    q = queries.select(F.col("id").alias("query_id"), unit("vec", pearson).alias("query_vec"))
+    r = references.select(F.col("id").alias("ref_id"), unit("vec", pearson).alias("ref_vec"))
+    q = q.withColumn("_qb", _block("query_id", nq)).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))))
+    r = r.withColumn("_rb", _block("ref_id", nr)).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
     t = queries.schema["id"].dataType.simpleString()
     u = references.schema["id"].dataType.simpleString()
     pairs = q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(
