@@ -234,7 +234,7 @@ b AS (SELECT gene_id, median(score) AS med FROM s GROUP BY gene_id),
 m AS (SELECT s.gene_id, any_value(med) AS med, median(abs(score - med)) AS mad FROM s JOIN b USING (gene_id) GROUP BY s.gene_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY score) AS rn, count(*) OVER (PARTITION BY l_suppkey) AS n FROM s),
 f AS (SELECT l_suppkey, max(score) AS fl FROM r WHERE rn = floor(0.5 * (n - 1)) + 1 GROUP BY l_suppkey)
-SELECT s.l_suppkey, s.gene_id, round((ln(1 + score) - ln(1 + med)) / (ln(1 + mad) + 1e-6), 4) AS score
+SELECT s.l_suppkey, s.gene_id, round((ln(1 + score) - ln(1 + med)) / (abs(ln(1 + med + mad) - ln(1 + med)) + 1e-6), 4) AS score
 FROM s JOIN f ON s.l_suppkey = f.l_suppkey AND score >= fl JOIN m ON s.gene_id = m.gene_id"""
 
 

@@ -191,7 +191,7 @@ def _bundle_rows(spark, d):
     )
 
 
-BR = """br AS (SELECT CASE WHEN p_size >= 40 THEN 'ds' || s_nationkey || '::' || p_brand || '/' || p_size ELSE p_brand || '/' || p_size END AS k,
+BR = """br AS (SELECT CASE WHEN p_size >= 40 THEN 'lowconf::ds' || s_nationkey || '::' || p_brand || '/' || p_size ELSE p_brand || '/' || p_size END AS k,
    CASE WHEN p_size < 20 THEN 'high' WHEN p_size < 40 THEN 'medium' ELSE 'low' END AS conf, 'ds' || s_nationkey AS ds, l_suppkey AS sample, p_brand AS g, p_type AS grp,
    CASE WHEN l_discount > 0.01 THEN l_discount END AS psi, l_quantity AS reads
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
@@ -239,7 +239,7 @@ def event_alias_conflicts(spark, d):
     return out.groupBy("canonicalization_confidence").agg(F.count("*").alias("n"))
 
 
-SQL_ALIASCONF = f"""WITH {BR}, m AS (SELECT g || '/' || grp AS i, conf, CASE WHEN conf = 'low' THEN ds || '::' ELSE '' END || g || '/' || CAST(floor(reads / 26) AS INTEGER) AS c FROM br),
+SQL_ALIASCONF = f"""WITH {BR}, m AS (SELECT g || '/' || grp AS i, conf, CASE WHEN conf = 'low' THEN 'lowconf::' || ds || '::' ELSE '' END || g || '/' || CAST(floor(reads / 26) AS INTEGER) AS c FROM br),
 x AS (SELECT i, conf, count(DISTINCT c) AS n FROM m GROUP BY ALL)
 SELECT conf AS canonicalization_confidence, count(*) AS n FROM x WHERE conf = 'high' OR n = 1 GROUP BY 1"""
 

@@ -72,7 +72,7 @@ def knn_evidence(spark, d):
     return cut.select("query_id", "ref_id", "neighbour_rank", r6("evidence", 9).alias("evidence"))
 
 
-EVID = f"""{HUB}, hr AS (SELECT v.id, (label + 1) / 10.0 AS qc, row_number() OVER (ORDER BY coalesce(hub_score, 0) DESC, v.id) / CAST(count(*) OVER () AS DOUBLE) AS hf
+EVID = f"""{HUB}, hr AS (SELECT v.id, (label + 1) / 10.0 AS qc, count(*) OVER () / CAST(row_number() OVER (ORDER BY coalesce(hub_score, 0), v.id) AS DOUBLE) AS hf
    FROM v LEFT JOIN hub USING (id)),
 k20 AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, ref_id) <= 20),
 evd AS (SELECT query_id, ref_id, ql, rl, similarity, similarity * similarity * qc * hf AS evidence FROM k20 JOIN hr ON ref_id = hr.id WHERE similarity >= 0.1)"""
@@ -82,14 +82,14 @@ SELECT query_id, ref_id, rk AS neighbour_rank, round(evidence, 9) AS evidence FR
 
 def label_vote(spark, d):
     e, v = _evidence(spark, d)
-    lab = v.select(F.col("id").alias("ref_id"), F.lit("class").alias("level"), F.col("label"))
-    lab = lab.unionByName(v.select(F.col("id").alias("ref_id"), F.lit("family").alias("level"), (F.col("label") % 3).cast("int").alias("label")))
+    lab = v.select(F.col("id").alias("ref_id"), F.lit("class").alias("level"), F.col("label"), F.lit(0.7).alias("weight"))
+    lab = lab.unionByName(v.select(F.col("id").alias("ref_id"), F.lit("family").alias("level"), (F.col("label") % 3).cast("int").alias("label"), F.lit(1.4).alias("weight")))
     top = SIM.top_label(SIM.label_vote(e, lab).withColumn("mass", F.round("mass", 12)))
     return top.select("query_id", "level", "label", "support", r6("share").alias("share"))
 
 
-SQL_VOTE = f"""WITH {VEC}, {EVID}, lab AS (SELECT id, 'class' AS level, label FROM v UNION ALL SELECT id, 'family', label % 3 FROM v),
-m AS (SELECT query_id, level, label, sum(evidence) AS mass, count(DISTINCT ref_id) AS support FROM evd JOIN lab ON ref_id = lab.id GROUP BY ALL),
+SQL_VOTE = f"""WITH {VEC}, {EVID}, lab AS (SELECT id, 'class' AS level, label, 0.7 AS w FROM v UNION ALL SELECT id, 'family', label % 3, 1.0 FROM v),
+m AS (SELECT query_id, level, label, sum(evidence * w) AS mass, count(DISTINCT ref_id) AS support FROM evd JOIN lab ON ref_id = lab.id GROUP BY ALL),
 s AS (SELECT *, mass / sum(mass) OVER (PARTITION BY query_id, level) AS share FROM m)
 SELECT query_id, level, label, support, round(share, 6) AS share FROM s
 QUALIFY row_number() OVER (PARTITION BY query_id, level ORDER BY round(mass, 12) DESC, label) = 1"""
@@ -147,28 +147,28 @@ def mutual_neighbours(spark, d):
     return out.groupBy("query_id").agg(r6(F.sum("mutual_similarity")).alias("mutual"), r6(F.sum("evidence")).alias("evidence"))
 
 
-SQL_MUTUAL = f"""WITH {VEC}, {EVID}, a AS (SELECT query_id, ref_id AS anchor FROM evd QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY evidence DESC, ref_id) <= 5),
-m AS (SELECT e.query_id, e.ref_id, avg(greatest(0, p.similarity)) AS mu FROM evd e JOIN a ON e.query_id = a.query_id AND e.ref_id <> anchor
-  JOIN pairs p ON p.query_id = e.ref_id AND p.ref_id = anchor GROUP BY ALL),
-x AS (SELECT evd.query_id, mu, CASE WHEN coalesce(mu, 1) < 0.1 THEN evidence * 0.5 ELSE evidence END AS evidence FROM evd LEFT JOIN m USING (query_id, ref_id))
+SQL_MUTUAL = f"""WITH {VEC}, {EVID}, a AS (SELECT query_id, ref_id AS anchor FROM evd QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY evidence DESC, similarity DESC, ref_id) <= 5),
+m AS (SELECT e.query_id, e.ref_id, avg(greatest(0, coalesce(p.similarity, 1))) AS mu, max(e.ref_id = anchor) AS anc FROM evd e JOIN a ON e.query_id = a.query_id
+  LEFT JOIN pairs p ON p.query_id = e.ref_id AND p.ref_id = anchor GROUP BY ALL),
+x AS (SELECT evd.query_id, mu, CASE WHEN NOT anc AND mu < 0.1 THEN evidence * 0.5 ELSE evidence END AS evidence FROM evd LEFT JOIN m USING (query_id, ref_id))
 SELECT query_id, round(sum(mu), 6) AS mutual, round(sum(evidence), 6) AS evidence FROM x GROUP BY 1"""
 
 
 def cross_modality(spark, d):
-    """Modality = parity of the label; cross-modality evidence damped unless the family label is shared."""
+    """Modality = parity of the label; cross-modality evidence damped unless a target or family is shared with the anchors."""
     e, v = _evidence(spark, d)
     m = v.select(F.col("id"), (F.col("label") % 2).alias("m"))
     n = e.join(m.select(F.col("id").alias("ref_id"), F.col("m").alias("modality")), "ref_id").join(
         m.select(F.col("id").alias("query_id"), F.col("m").alias("query_modality")), "query_id")
-    lab = v.select(F.col("id").alias("ref_id"), F.lit("family").alias("level"), (F.col("label") % 5).alias("label"))
-    rec = SIM.shared_label_recovery(n, lab, {"family": 0.8}, 5)
-    out = SIM.modality_penalty(n, 0.35, rec)
+    genes = v.select(F.col("id").alias("ref_id"), F.concat(F.lit("G"), "label").alias("gene_id"), F.lit(1.0).alias("weight"))
+    fam = v.select(F.concat(F.lit("G"), "label").alias("gene_id"), F.lit("family").alias("level"), F.concat(F.lit("f"), F.col("label") % 5).alias("label")).distinct()
+    out = SIM.modality_penalty(n, 0.35, SIM.shared_label_recovery(n, genes, fam))
     return out.groupBy("query_id").agg(r6(F.sum("evidence"), 8).alias("evidence"))
 
 
 SQL_CROSS = f"""WITH {VEC}, {EVID}, a AS (SELECT query_id, rl % 5 AS fam FROM evd WHERE ql % 2 = rl % 2
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY evidence DESC, ref_id) <= 5),
-x AS (SELECT query_id, evidence * CASE WHEN ql % 2 = rl % 2 THEN 1 WHEN EXISTS (SELECT 1 FROM a WHERE a.query_id = evd.query_id AND a.fam = rl % 5) THEN 0.8 ELSE 0.35 END AS ev FROM evd)
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, ref_id) <= 5),
+x AS (SELECT query_id, evidence * CASE WHEN ql % 2 = rl % 2 THEN 1 WHEN EXISTS (SELECT 1 FROM a WHERE a.query_id = evd.query_id AND a.fam = rl % 5) THEN 0.5 ELSE 0.35 END AS ev FROM evd)
 SELECT query_id, round(sum(ev), 8) AS evidence FROM x GROUP BY 1"""
 
 
@@ -188,14 +188,40 @@ SQL_TERMS = f"""WITH {LONG}, tp AS (SELECT DISTINCT 'T' || (feature % 6) AS term
 den AS (SELECT term_id, sum(abs(w)) AS d FROM tp GROUP BY 1),
 ts AS (SELECT id, term_id, greatest(0, sum(w * value) / any_value(d)) AS score FROM l JOIN tp USING (feature) JOIN den USING (term_id) GROUP BY ALL),
 hop AS (SELECT DISTINCT 'T' || (feature % 6) AS term_id, 'T' || (feature % 6 + 1) AS n FROM l WHERE feature % 6 <> 5),
-al AS (SELECT id, term_id, score FROM ts UNION ALL SELECT id, n, score * 0.5 FROM ts JOIN hop USING (term_id)),
 ed AS (SELECT DISTINCT 'T' || (feature % 6) AS term_id, 'G' || (feature % 9) AS gene_id FROM l),
-dg AS (SELECT *, count(*) OVER (PARTITION BY term_id) AS deg FROM ed),
-g AS (SELECT id, gene_id, sum(score / deg) AS score FROM al JOIN dg USING (term_id) GROUP BY ALL)
+dg AS (SELECT term_id, count(*) AS deg FROM ed GROUP BY 1),
+tz AS (SELECT id, term_id, score / deg AS score FROM ts JOIN dg USING (term_id) WHERE score > 0),
+al AS (SELECT id, term_id, score FROM tz UNION ALL SELECT id, n, score * 0.5 FROM tz JOIN hop USING (term_id)),
+g AS (SELECT id, gene_id, sum(score) AS score FROM al JOIN ed USING (term_id) GROUP BY ALL)
 SELECT gene_id, round(sum(score), 6) AS score, count(*) AS n FROM g GROUP BY 1"""
 
 
+def mechanism_scores(spark, d):
+    """Modality from the label: 0-3 compound, others crispr; two genes per reference."""
+    e, v = _evidence(spark, d)
+    m = v.select(F.col("id"), F.when(F.col("label") < 4, "compound").otherwise("crispr").alias("m"))
+    n = e.join(m.select(F.col("id").alias("ref_id"), F.col("m").alias("modality")), "ref_id").join(
+        m.select(F.col("id").alias("query_id"), F.col("m").alias("query_modality")), "query_id")
+    genes = v.select(F.col("id").alias("ref_id"), F.concat(F.lit("G"), "label").alias("gene_id"), F.lit(0.6).alias("weight")).unionByName(
+        v.select(F.col("id").alias("ref_id"), F.lit("H").alias("gene_id"), F.lit(0.4).alias("weight")))
+    out = SIM.mechanism_scores(n, genes, idf=SIM.gene_recurrence(genes))
+    return out.groupBy("gene_id").agg(r6(F.sum("score")).alias("score"), F.count("*").alias("n"))
+
+
+SQL_MECH = f"""WITH {VEC}, {EVID}, g AS (SELECT id, 'G' || label AS gene_id, 0.6 AS w FROM v UNION ALL SELECT id, 'H', 0.4 FROM v),
+c AS (SELECT gene_id, ln((500.0 + (SELECT count(*) FROM v) - 500 + 1) / (count(DISTINCT id) + 1.0)) / ln((SELECT count(*) FROM v) + 1.0) AS idf FROM g GROUP BY 1),
+n AS (SELECT *, rl < 4 AS c, ql < 4 AS qc FROM evd WHERE evidence > 0),
+s AS (SELECT query_id, c, gene_id, sum(evidence * w) AS s FROM n JOIN g ON ref_id = g.id GROUP BY ALL),
+p AS (SELECT *, s / sum(s) OVER (PARTITION BY query_id, c) AS z FROM s),
+k AS (SELECT query_id, any_value(qc) AS qc, count(*) FILTER (c) AS nc, count(*) FILTER (NOT c) AS ng FROM n GROUP BY 1),
+w0 AS (SELECT *, 0.5 * CASE WHEN qc THEN 1.2 ELSE 0.5 END * CASE WHEN nc < 5 AND ng >= 5 THEN 0.25 ELSE 1 END AS cw,
+  0.5 * CASE WHEN qc THEN 0.8 ELSE 1.5 END * CASE WHEN ng < 5 AND nc >= 5 THEN 0.25 ELSE 1 END AS gw FROM k),
+m AS (SELECT p.query_id, p.gene_id, sum(z * CASE WHEN nc > 0 AND ng > 0 THEN CASE WHEN c THEN cw ELSE gw END / (cw + gw) ELSE 1 END) AS score FROM p JOIN w0 USING (query_id) GROUP BY ALL)
+SELECT gene_id, round(sum(score * idf), 6) AS score, count(*) AS n FROM m JOIN c USING (gene_id) WHERE score * idf > 0 GROUP BY 1"""
+
+
 QUERIES = {
+    "mechanism_scores": (mechanism_scores, SQL_MECH),
     "cosine_pairs": (cosine_pairs, SQL_COSINE),
     "pearson_knn": (pearson_knn, SQL_PEARSON),
     "hub_score": (hub_score, SQL_HUB),

@@ -115,6 +115,21 @@ def default_impact(event_type, annotation, novel) -> tuple[Column, Column]:
     return raw, evidence
 
 
+def bundle_impact(event_type, annotation) -> tuple[Column, Column]:
+    """(raw weight, evidence) stored in reference bundles; slightly stronger than the runtime defaults."""
+    t, a = _c(event_type), F.lower(F.coalesce(_c(annotation), F.lit("")))
+    shifts = t.isin("exon_skip", "alt_donor", "alt_acceptor", "mutually_exclusive_exon")
+    intron = t == "retained_intron"
+    raw = F.when(shifts, 1.12).when(intron, 0.9).otherwise(1.0)
+    evidence = F.when(shifts, 0.45).when(intron, 0.4).otherwise(0.2)
+    coding, novel = a.contains("coding"), a.contains("novel") | a.contains("unannotated")
+    raw = F.when(coding, F.greatest(raw, F.lit(1.15))).otherwise(raw)
+    evidence = F.when(coding, F.greatest(evidence, F.lit(0.55))).otherwise(evidence)
+    raw = F.when(novel, F.least(raw, F.lit(0.95))).otherwise(raw)
+    evidence = F.when(novel, F.greatest(evidence, F.lit(0.3))).otherwise(evidence)
+    return raw, evidence
+
+
 def prior_weight(df: DataFrame, prior: DataFrame, on: str, weight: str, out: str) -> DataFrame:
     """Left join of a prior weight with neutral default 1."""
     return df.join(prior.select(on, F.col(weight).alias("_w")), on, "left").withColumn(out, F.coalesce("_w", F.lit(1.0))).drop("_w")
@@ -124,8 +139,8 @@ def collapse_event_groups(events: DataFrame, keys: Sequence[str] = ()) -> DataFr
     """Strongest event per (keys, gene, event group)."""
     by = [*keys, "gene_id", "event_group"]
     rest = [c for c in events.columns if c not in by]
-    order = F.struct(F.abs("final_score").alias("a"), F.col("quality").alias("q"), (-F.col("row_ordinal")).alias("o"))
-    return events.groupBy(*by).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*by, "_r.*")
+    order = F.struct((-F.abs("final_score")).alias("a"), (-F.col("quality")).alias("q"), F.col("row_ordinal").alias("o"))
+    return events.groupBy(*by).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*by, "_r.*")
 
 
 def support_penalty(events: DataFrame, scores: DataFrame, keys: Sequence[str] = (), mode: str = "auto", k: int = 3,
@@ -277,7 +292,7 @@ def site_bundle(sites: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def event_bundle_key(key, dataset, confidence) -> Column:
     """Low-confidence keys are private to their dataset."""
-    return F.when(F.lower(_c(confidence)) == "low", F.concat_ws("::", _c(dataset), _c(key))).otherwise(_c(key))
+    return F.when(F.lower(_c(confidence)) == "low", F.concat_ws("::", F.lit("lowconf"), _c(dataset), _c(key))).otherwise(_c(key))
 
 
 def event_aliases(events: DataFrame) -> DataFrame:

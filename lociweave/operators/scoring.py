@@ -104,9 +104,9 @@ def collapse_best(
     """
     rest = [c for c in df.columns if c not in keys]
     if policy in ("highest_confidence", "max_abs"):
-        q, a = F.col(quality).alias("q"), F.abs(score).alias("a")
+        q, a = (-F.col(quality)).alias("q"), (-F.abs(score)).alias("a")
         lead = (q, a) if policy == "highest_confidence" else (a, q)
-        best = F.max_by(F.struct(*rest), F.struct(*lead, (-F.col(ordinal)).alias("o")))
+        best = F.min_by(F.struct(*rest), F.struct(*lead, F.col(ordinal).alias("o")))
         return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
     if policy not in ("mean", "sum"):
         raise ValueError(f"unknown collapse policy {policy!r}")

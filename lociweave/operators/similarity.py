@@ -147,17 +147,23 @@ def polarity_candidates(pairs: DataFrame, polarity: str = "similar", min_similar
 
 
 def neighbour_evidence(candidates: DataFrame, refs: DataFrame, power: float = 1.0, hub_mode: str = "none") -> DataFrame:
-    """strength^power x qc x hub factor; hub none, inverse_linear 1/max(1e-6, hub) or inverse_rank n/rank."""
+    """strength^power x qc x hub factor; hub none, inverse_linear 1/max(1e-6, hub) or inverse_rank n/rank.
+
+    Ranks run from the least to the most connected reference; one without a hub score keeps factor 1.
+    """
     r = refs.select(F.col("id").alias("ref_id"), F.coalesce("qc_weight", F.lit(1.0)).alias("qc"), "hub_score")
     if hub_mode == "inverse_rank":
         from lociweave.operators.sliced import ranked
 
-        r = ranked(r, [], [F.col("hub_score").desc(), F.col("ref_id").asc()], "_rk", count="_n")
-        hub = F.col("_rk") / F.col("_n")
+        known = ranked(r.filter("hub_score is not null").select("ref_id", "hub_score"), [], [F.col("hub_score").asc(), F.col("ref_id").asc()], "_rk", count="_n")
+        r = r.join(known.select("ref_id", (F.col("_n") / F.col("_rk")).alias("_f")), "ref_id", "left")
+        hub = F.coalesce("_f", F.lit(1.0))
     elif hub_mode == "inverse_linear":
-        hub = 1.0 / F.greatest(F.lit(1e-6), F.col("hub_score"))
-    else:
+        hub = F.coalesce(1.0 / F.greatest(F.lit(1e-6), F.col("hub_score")), F.lit(1.0))
+    elif hub_mode == "none":
         hub = F.lit(1.0)
+    else:
+        raise ValueError(f"unknown hub mode {hub_mode!r}")
     r = r.select("ref_id", "qc", hub.alias("hub_factor"))
     j = candidates.join(r, "ref_id")
     return j.withColumn("evidence", F.pow("strength", F.lit(power)) * F.col("qc") * F.col("hub_factor"))
@@ -203,12 +209,18 @@ def nominate_core(support: DataFrame, top_share: float = 0.8, min_refs: int = 2,
     return attach(support, m, ["query_id"]).withColumn("core", core).drop("_s", "_b")
 
 
-def label_vote(neighbours: DataFrame, ref_labels: DataFrame, per_ref_cap: bool = True) -> DataFrame:
-    """Evidence mass and share per (query, level, label); a reference with several labels splits its evidence."""
-    lab = attach_count(ref_labels.distinct(), ["ref_id", "level"], "_n")
-    j = neighbours.join(lab, "ref_id")
-    mass = F.col("evidence") / F.col("_n") if per_ref_cap else F.col("evidence")
-    v = j.groupBy("query_id", "level", "label").agg(F.sum(mass).alias("mass"), F.countDistinct("ref_id").alias("support"))
+def label_vote(neighbours: DataFrame, ref_labels: DataFrame) -> DataFrame:
+    """Evidence mass and share per (query, level, label).
+
+    ``ref_labels`` has (ref_id, level, label, weight); a reference gives a label
+    at most its own evidence, however many of its genes carry the label.
+    """
+    lab = ref_labels.groupBy("ref_id", "level", "label").agg(F.least(F.lit(1.0), F.sum("weight")).alias("_w"))
+    same = F.col("modality") == F.col("query_modality") if {"modality", "query_modality"} <= set(neighbours.columns) else F.lit(None).cast("boolean")
+    v = neighbours.withColumn("_same", same).join(lab, "ref_id").groupBy("query_id", "level", "label").agg(
+        F.sum(F.col("evidence") * F.col("_w")).alias("mass"), F.countDistinct("ref_id").alias("support"),
+        F.countDistinct(F.when(F.col("_same"), F.col("ref_id"))).alias("same_modality_support"),
+    )
     return attach_total(v, ["query_id", "level"], "mass", "_t").withColumn("share", F.col("mass") / F.col("_t")).drop("_t")
 
 
@@ -218,66 +230,127 @@ def top_label(votes: DataFrame) -> DataFrame:
     ).select("query_id", "level", "_b.*")
 
 
-def modality_penalty(neighbours: DataFrame, penalty: float = 0.35, recovery: DataFrame | None = None) -> DataFrame:
-    """Damp cross-modality evidence; ``recovery`` (query_id, ref_id, factor) lifts shared-mechanism pairs.
+# Recovery of cross-modality references by the closest thing they share with the anchors.
+RECOVERY = {"target": 1.0, "pathway": 0.8, "class": 0.7, "mechanism": 0.6, "family": 0.5}
+COMPOUND_RECOVERY = {"target": 1.0, "pathway": 0.95, "class": 0.9, "mechanism": 0.85, "family": 0.8}
+COMPOUND_CROSS_PENALTY = 0.8
+
+
+def shared_label_recovery(
+    neighbours: DataFrame, ref_genes: DataFrame, gene_labels: DataFrame | None = None, anchors: int = 5, anchor_genes: int = 3
+) -> DataFrame:
+    """Best recovery factor of cross-modality references against same-modality anchors.
 
-    The largest matching recovery factor replaces the penalty.
+    Anchors are the most similar same-modality references of a query with their
+    strongest genes; a reference recovers by a shared target, else by a shared
+    pathway, class, mechanism or family of a target. ``gene_labels`` has
+    (gene_id, level, label). A target counts as its own label of level "target".
     """
+    own = ref_genes.select("gene_id").distinct().select("gene_id", F.lit("target").alias("level"), F.col("gene_id").alias("label"))
+    labels = own if gene_labels is None else own.unionByName(gene_labels.select("gene_id", "level", "label"))
     cross = F.col("query_modality") != F.col("modality")
-    n = neighbours
-    if recovery is not None:
-        best = recovery.groupBy("query_id", "ref_id").agg(F.max("factor").alias("_f"))
-        n = n.join(best, ["query_id", "ref_id"], "left")
-        factor = F.coalesce("_f", F.lit(penalty))
-    else:
-        factor = F.lit(penalty)
-    out = n.withColumn("evidence", F.when(cross, F.col("evidence") * factor).otherwise(F.col("evidence")))
-    return out.drop("_f")
-
+    lead = top_k(neighbours.filter(~cross), ["query_id"], anchors, [F.col("similarity").desc(), F.col("ref_id").asc()], "_r")
+    strongest = top_k(ref_genes, ["ref_id"], anchor_genes, [F.col("weight").desc(), F.col("gene_id").asc()], "_g")
+    have = lead.select("query_id", "ref_id").join(strongest.select("ref_id", "gene_id"), "ref_id").join(labels, "gene_id").select("query_id", "level", "label").distinct()
+    per_ref = ref_genes.join(labels, "gene_id").select("ref_id", "level", "label").distinct()
+    hit = neighbours.filter(cross).select("query_id", "ref_id", "query_modality").join(per_ref, "ref_id").join(have, ["query_id", "level", "label"], "left_semi")
+    factor = F.lit(0.0)
+    for level in RECOVERY:
+        here = F.when(F.col("query_modality").cast("string") == "compound", COMPOUND_RECOVERY[level]).otherwise(RECOVERY[level])
+        factor = F.when(F.col("level") == level, here).otherwise(factor)
+    return hit.groupBy("query_id", "ref_id").agg(F.max(factor).alias("factor"))
 
-def shared_label_recovery(neighbours: DataFrame, ref_labels: DataFrame, tiers: dict[str, float], anchors: int = 5) -> DataFrame:
-    """Recovery factor of cross-modality references that share a label with same-modality anchors.
 
-    ``tiers`` maps label level to factor. Anchors are the strongest
-    same-modality neighbours of a query, so an anchor label list is short.
-    """
-    same = neighbours.filter(F.col("query_modality") == F.col("modality"))
-    a = top_k(same, ["query_id"], anchors, [F.col("evidence").desc(), F.col("ref_id").asc()], "_r")
-    have = a.join(ref_labels, "ref_id").select("query_id", "level", "label").distinct()
-    other = neighbours.filter(F.col("query_modality") != F.col("modality")).select("query_id", "ref_id")
-    hit = other.join(ref_labels, "ref_id").join(have, ["query_id", "level", "label"], "left_semi")
-    factor = F.coalesce(*[F.when(F.col("level") == k, F.lit(v)) for k, v in tiers.items()], F.lit(0.0))
-    return hit.select("query_id", "ref_id", factor.alias("factor")).filter("factor > 0").groupBy("query_id", "ref_id").agg(F.max("factor").alias("factor"))
+def modality_penalty(neighbours: DataFrame, penalty: float = 0.35, recovery: DataFrame | None = None) -> DataFrame:
+    """Damp cross-modality evidence by the penalty (at least .8 for compound queries) or its recovery, whichever is larger."""
+    cross = F.col("query_modality") != F.col("modality")
+    base = F.when(F.col("query_modality").cast("string") == "compound", F.lit(max(penalty, COMPOUND_CROSS_PENALTY))).otherwise(F.lit(penalty))
+    n = neighbours
+    if recovery is not None:
+        n = n.join(recovery.select("query_id", "ref_id", F.col("factor").alias("_f")), ["query_id", "ref_id"], "left")
+        base = F.greatest(base, F.coalesce("_f", F.lit(0.0)))
+    return n.withColumn("evidence", F.when(cross, F.col("evidence") * base).otherwise(F.col("evidence"))).drop("_f")
 
 
 def mutual_filter(neighbours: DataFrame, vectors: DataFrame, anchors: int = 5, floor: float = 0.1, damp: float = 0.5) -> DataFrame:
-    """Halve neighbours whose mean positive cosine to the query's anchors is under the floor."""
-    a = top_k(neighbours, ["query_id"], anchors, [F.col("evidence").desc(), F.col("ref_id").asc()], "_r")
+    """Halve neighbours whose mean positive cosine to the query's anchors is under the floor; anchors are exempt."""
+    order = [F.col("evidence").desc(), F.col("similarity").desc(), F.col("ref_id").asc()]
+    a = top_k(neighbours, ["query_id"], anchors, order, "_r")
     v = vectors.select(F.col("id").alias("ref_id"), unit("vec").alias("u"))
     left = neighbours.join(v, "ref_id")
     right = a.select("query_id", F.col("ref_id").alias("anchor_id")).join(
         v.select(F.col("ref_id").alias("anchor_id"), F.col("u").alias("w")), "anchor_id"
     )
     dot = F.aggregate(F.zip_with("u", "w", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    m = (
-        left.join(right, "query_id").filter("ref_id <> anchor_id")
-        .groupBy("query_id", "ref_id").agg(F.avg(F.greatest(dot, F.lit(0.0))).alias("_mutual"))
+    m = left.join(right, "query_id").groupBy("query_id", "ref_id").agg(
+        F.avg(F.greatest(dot, F.lit(0.0))).alias("_mutual"), F.max(F.col("ref_id") == F.col("anchor_id")).alias("_anchor")
     )
     out = neighbours.join(m, ["query_id", "ref_id"], "left")
-    weak = F.coalesce("_mutual", F.lit(1.0)) < floor
-    return out.withColumn("evidence", F.when(weak, F.col("evidence") * damp).otherwise(F.col("evidence"))).withColumnRenamed("_mutual", "mutual_similarity")
+    weak = ~F.coalesce("_anchor", F.lit(True)) & (F.col("_mutual") < floor)
+    return out.withColumn("evidence", F.when(weak, F.col("evidence") * damp).otherwise(F.col("evidence"))).withColumnRenamed(
+        "_mutual", "mutual_similarity").drop("_anchor")
 
 
-def protect_same_modality(neighbours: DataFrame, first: int = 5, near_top: float = 0.9) -> DataFrame:
-    """Flag the first same-modality neighbours and those within ``near_top`` of the best similarity."""
-    same = neighbours.filter(F.col("query_modality") == F.col("modality"))
-    lead = top_k(same, ["query_id"], first, [F.col("similarity").desc(), F.col("ref_id").asc()], "_r").select(
+def protect_same_modality(neighbours: DataFrame, first: int = 5, near_top: float = 0.9, own_genes: DataFrame | None = None, ref_genes: DataFrame | None = None) -> DataFrame:
+    """Flag the first same-modality neighbours, those near the best similarity, and references of the query's own gene.
+
+    ``own_genes`` has (query_id, gene_id).
+    """
+    same = F.col("query_modality") == F.col("modality")
+    lead = top_k(neighbours.filter(same), ["query_id"], first, [F.col("similarity").desc(), F.col("ref_id").asc()], "_r").select(
         "query_id", "ref_id", F.lit(True).alias("_lead")
     )
-    best = same.groupBy("query_id").agg(F.max("similarity").alias("_best"))
-    out = neighbours.join(lead, ["query_id", "ref_id"], "left").join(best, "query_id", "left")
-    near = (F.col("query_modality") == F.col("modality")) & (F.col("similarity") >= near_top * F.col("_best"))
-    return out.withColumn("protected", F.coalesce("_lead", F.lit(False)) | F.coalesce(near, F.lit(False))).drop("_lead", "_best")
+    best = neighbours.groupBy("query_id").agg(F.max("similarity").alias("_best"))
+    out = neighbours.join(lead, ["query_id", "ref_id"], "left").join(best, "query_id")
+    flag = F.coalesce("_lead", F.lit(False)) | F.coalesce(same & (F.col("similarity") >= near_top * F.col("_best")), F.lit(False))
+    if own_genes is not None:
+        hit = own_genes.join(ref_genes, "gene_id").select("query_id", "ref_id", F.lit(True).alias("_own")).distinct()
+        out = out.join(hit, ["query_id", "ref_id"], "left")
+        flag = flag | F.coalesce("_own", F.lit(False))
+    return out.withColumn("protected", flag).drop("_lead", "_best", "_own")
+
+
+def gene_recurrence(ref_genes: DataFrame) -> DataFrame:
+    """IDF of a gene over references, scaled to at most 1."""
+    from lociweave.functions.idf import gene_recurrence_idf
+
+    n = ref_genes.agg(F.countDistinct("ref_id").alias("_n"))
+    c = ref_genes.groupBy("gene_id").agg(F.countDistinct("ref_id").alias("_c"))
+    return attach(c, n, []).select("gene_id", gene_recurrence_idf("_c", "_n").alias("idf"))
+
+
+def mechanism_scores(neighbours: DataFrame, ref_genes: DataFrame, compound_weight: float = 0.5, genetic_weight: float = 0.5, idf: DataFrame | None = None) -> DataFrame:
+    """Compound and genetic gene scores, each L1 per query, mixed by modality-dependent weights, times gene IDF.
+
+    A side with fewer than five neighbours next to one with at least five counts a quarter.
+    """
+    kind = F.when(F.col("modality").cast("string") == "compound", "c").otherwise("g")
+    n = neighbours.filter("evidence > 0").withColumn("_k", kind)
+    s = n.join(ref_genes, "ref_id").groupBy("query_id", "_k", "gene_id").agg(F.sum(F.col("evidence") * F.col("weight")).alias("_s"))
+    s = attach_total(s, ["query_id", "_k"], "_s", "_t").withColumn("_s", F.col("_s") / F.col("_t"))
+    have = s.groupBy("query_id").agg(F.max((F.col("_k") == "c").cast("int")).alias("_hc"), F.max((F.col("_k") == "g").cast("int")).alias("_hg"))
+    size = n.groupBy("query_id").agg(F.count_if(F.col("_k") == "c").alias("_nc"), F.count_if(F.col("_k") == "g").alias("_ng"), F.max("query_modality").alias("_qm"))
+    q = F.col("_qm").cast("string")
+    cw = F.lit(compound_weight) * F.when(q == "compound", 1.2).when(q.isin("orf", "crispr"), 0.5).otherwise(1.0)
+    gw = F.lit(genetic_weight) * F.when(q == "compound", 0.8).when(q.isin("orf", "crispr"), 1.5).otherwise(1.0)
+    cw = cw * F.when((F.col("_nc") < 5) & (F.col("_ng") >= 5), 0.25).otherwise(1.0)
+    gw = gw * F.when((F.col("_ng") < 5) & (F.col("_nc") >= 5), 0.25).otherwise(1.0)
+    both = (F.col("_hc") == 1) & (F.col("_hg") == 1)
+    w = size.join(have, "query_id").select(
+        "query_id", F.when(both, cw / (cw + gw)).otherwise(F.col("_hc")).alias("_cw"), F.when(both, gw / (cw + gw)).otherwise(F.col("_hg")).alias("_gw")
+    )
+    mixed = attach(s, w, ["query_id"]).groupBy("query_id", "gene_id").agg(
+        F.sum(F.col("_s") * F.when(F.col("_k") == "c", F.col("_cw")).otherwise(F.col("_gw"))).alias("score")
+    )
+    if idf is not None:
+        mixed = mixed.join(idf, "gene_id", "left").withColumn("score", F.col("score") * F.coalesce("idf", F.lit(1.0))).drop("idf")
+    return mixed.filter("score > 0")
+
+
+def supporting_references(neighbours: DataFrame, ref_genes: DataFrame, genes: DataFrame) -> DataFrame:
+    """Neighbours that map to at least one nominated (query_id, gene_id)."""
+    hit = ref_genes.join(genes.select("query_id", "gene_id"), "gene_id").select("query_id", "ref_id").distinct()
+    return neighbours.join(hit, ["query_id", "ref_id"], "left_semi")
 
 
 def hybrid_merge(core: DataFrame, expansion: DataFrame) -> DataFrame:
@@ -297,15 +370,28 @@ def query_modality(members: DataFrame) -> DataFrame:
     )
 
 
-def confidence_tiers(neighbours: DataFrame, support: DataFrame) -> DataFrame:
-    """Retrieval and specificity summary per query: best similarity, top-gene share, high-hub mass."""
-    n = neighbours.groupBy("query_id").agg(F.max("similarity").alias("best_similarity"), F.count("*").alias("n_neighbours"))
-    top3 = top_k(support, ["query_id"], 3, [F.col("score").desc(), F.col("gene_id").asc()], "_r")
-    t = top3.groupBy("query_id").agg(F.max("score").alias("_one"), F.sum("score").alias("_three"))
-    total = support.groupBy("query_id").agg(F.sum("score").alias("_all"))
-    j = n.join(t, "query_id", "left").join(total, "query_id", "left")
-    share = lambda c: F.coalesce(F.col(c) / F.nullif(F.col("_all"), F.lit(0.0)), F.lit(0.0))
-    return j.select("query_id", "best_similarity", "n_neighbours", share("_one").alias("primary_share"), share("_three").alias("top3_share"))
+def confidence_tiers(neighbours: DataFrame, weights: DataFrame, all_pairs: DataFrame, refs: DataFrame) -> DataFrame:
+    """Retrieval and specificity tiers per query.
+
+    ``weights`` are the selected (query_id, gene_id, weight, score, rank) rows,
+    ``all_pairs`` the candidate similarities and ``refs`` the hub scores.
+    """
+    r = all_pairs.groupBy("query_id").agg(
+        F.count_if(F.col("similarity") > 0).alias("n_positive"), F.avg((F.col("similarity") < 0).cast("double")).alias("negative_fraction")
+    )
+    retrieval = F.when((F.col("n_positive") >= 10) & (F.col("negative_fraction") < 0.4), "high").when(
+        (F.col("n_positive") >= 5) & (F.col("negative_fraction") < 0.7), "medium").otherwise("low")
+    cut = refs.agg(F.percentile_approx("hub_score", F.lit(0.75), F.lit(10000)).alias("_q")).scalar()
+    hub = neighbours.join(refs.select(F.col("id").alias("ref_id"), F.col("hub_score").alias("_h")), "ref_id")
+    h = hub.groupBy("query_id").agg((F.sum(F.when(F.col("_h") >= cut, F.col("evidence")).otherwise(0.0)) / F.sum("evidence")).alias("high_hub_mass"))
+    g = weights.groupBy("query_id").agg(
+        F.sum(F.when(F.col("rank") <= 10, F.col("weight")).otherwise(0.0)).alias("top10_mass"), (F.max("score") / F.sum("score")).alias("top_gene_share")
+    )
+    j = r.join(g, "query_id", "left").join(h, "query_id", "left")
+    strong, agree = F.coalesce(F.col("top10_mass") >= 0.65, F.lit(False)), F.coalesce(F.col("top_gene_share") >= 0.25, F.lit(False))
+    hubs = F.coalesce("high_hub_mass", F.lit(0.0))
+    specific = F.when(strong & agree & (hubs <= 0.5), "high").when((strong | agree) & (hubs <= 0.75), "medium").otherwise("low")
+    return j.withColumn("retrieval", retrieval).withColumn("specificity", specific)
 
 
 def calorimetry_evidence(pairs: DataFrame, refs: DataFrame, power: float = 1.0, hub_mode: str = "inverse_linear", mismatch_penalty: float = 0.15,
@@ -315,7 +401,8 @@ def calorimetry_evidence(pairs: DataFrame, refs: DataFrame, power: float = 1.0,
     ``pairs`` carries the number of context ``mismatches``.
     """
     r = refs.select(F.col("id").alias("ref_id"), F.coalesce("qc_weight", F.lit(1.0)).alias("qc"), F.coalesce("hub_score", F.lit(0.0)).alias("h"))
-    hub = {"none": F.lit(1.0), "inverse_linear": 1.0 + F.col("h"), "inverse_strong": 1.0 + 2.0 * F.col("h")}[hub_mode]
+    h = F.greatest(F.lit(0.0), F.col("h"))
+    hub = {"none": F.lit(1.0), "inverse_linear": 1.0 + h, "inverse_rank": 1.0 + 2.0 * h}[hub_mode]
     e = F.pow(F.greatest(F.lit(0.0), F.col("similarity")), F.lit(power)) / hub * F.col("qc")
     e = e * F.pow(F.lit(1.0 - mismatch_penalty), F.coalesce(F.col("mismatches"), F.lit(0)).cast("double"))
     out = pairs.join(r, "ref_id").withColumn("evidence", e).filter("evidence > 0")
@@ -332,12 +419,14 @@ def term_scores(features: DataFrame, templates: DataFrame, keys: Sequence[str] =
 
 def route_terms(terms: DataFrame, gene_edges: DataFrame, neighbours: DataFrame | None = None, keys: Sequence[str] = ("query_id",),
                 neighbour_factor: float = 0.5) -> DataFrame:
-    """Term score over term degree x edge weight per gene; one-hop neighbour terms add half."""
-    t = terms.select(*keys, "term_id", "score")
+    """Term score over the term's own degree x edge weight per gene; edges of one-hop neighbour terms count half.
+
+    The degree is that of the scored term (1 without edges), for its own and its neighbours' edges.
+    """
+    deg = gene_edges.groupBy("term_id").agg(F.count("*").alias("_deg"))
+    t = terms.filter("score > 0").join(deg, "term_id", "left").select(*keys, "term_id", (F.col("score") / F.coalesce("_deg", F.lit(1))).alias("_s"))
     if neighbours is not None:
-        hop = terms.join(neighbours.select("term_id", F.col("neighbour_id").alias("_t")), "term_id").select(
-            *keys, F.col("_t").alias("term_id"), (F.col("score") * neighbour_factor).alias("score")
-        )
+        n = neighbours.select("term_id", F.col("neighbour_id").alias("_t")).distinct()
+        hop = t.join(n, "term_id").select(*keys, F.col("_t").alias("term_id"), (F.col("_s") * neighbour_factor).alias("_s"))
         t = t.unionByName(hop)
-    e = attach_count(gene_edges, ["term_id"], "_deg")
-    return t.join(e, "term_id").groupBy(*keys, "gene_id").agg(F.sum(F.col("score") / F.col("_deg") * F.col("weight")).alias("score"))
+    return t.join(gene_edges, "term_id").groupBy(*keys, "gene_id").agg(F.sum(F.col("_s") * F.col("weight")).alias("score"))

@@ -202,25 +202,34 @@ def quantile_floor(scores: DataFrame, keys: Sequence[str], q: float, score: str
 
 def baseline_residual(
     scores: DataFrame, baseline: DataFrame, keys: Sequence[str], metric: str = "zscore", eps: float = 1e-6,
-    floor_q: float = 0.95,
+    floor_q: float = 0.95, use_log1p: bool = True,
 ) -> DataFrame:
-    """Gene scores against an atlas baseline after signed log1p; genes without a baseline drop out.
+    """Gene scores against an atlas baseline; genes without a baseline drop out.
 
-    Rows under the key's raw-score quantile floor are set aside before the comparison.
+    Rows under the key's raw-score quantile floor are set aside. zscore uses
+    signed log1p values and the spread between median and median + MAD;
+    logratio uses log1p of the non-negative parts and drops undefined ratios.
     """
     from lociweave.functions.scalars import signed_log1p
 
-    floor = quantile_floor(scores, keys, floor_q)
-    kept = attach(scores, floor, keys).filter(F.col("score") >= F.col("floor_score"))
+    kept = scores
+    if floor_q > 0:
+        kept = attach(scores, quantile_floor(scores, keys, floor_q), keys).filter(F.col("score") >= F.col("floor_score"))
     j = kept.join(baseline.select("gene_id", "median_score", "mad_score"), "gene_id")
-    x, m, d = signed_log1p("score"), signed_log1p("median_score"), signed_log1p("mad_score")
+    s, m, d = F.col("score"), F.col("median_score"), F.col("mad_score")
     if metric == "zscore":
-        value = (x - m) / (F.abs(d) + eps)
+        if use_log1p:
+            spread = F.abs(signed_log1p(m + d) - signed_log1p(m))
+            value = (signed_log1p(s) - signed_log1p(m)) / (spread + eps)
+        else:
+            value = (s - m) / (d + eps)
     elif metric == "logratio":
-        value = x - m
+        part = (lambda x: F.log1p(F.greatest(x, F.lit(0.0)))) if use_log1p else (lambda x: x)
+        top, bottom = part(s) + eps, part(m) + eps
+        value = F.when((top > 0) & (bottom > 0), F.log(top / bottom))
     else:
         raise ValueError(f"unknown metric {metric!r}")
-    return j.select(*keys, "gene_id", value.alias("score"))
+    return j.select(*keys, "gene_id", value.alias("score")).filter("score is not null")
 
 
 # --- expression counts ---------------------------------------------------------------------
