@@ -13,6 +13,7 @@ from lociweave.operators import similarity as SIM
 from lociweave.operators import statistics as ST
 from lociweave.operators import timeseries as TS
 from lociweave.operators.joins import attach
+from lociweave.session import materialize
 
 # Variables that depend on body mass, and the variables of each program.
 MASS_DEPENDENT = ("vo2", "vco2", "ee", "feed", "drink", "feed.acc", "drink.acc")
@@ -32,7 +33,7 @@ def subject_table(trace: DataFrame, session: DataFrame | None = None, manual: Da
     t = TS.drop_excluded(TS.analysis_window(trace, start, end), session if session is not None and "exc_hour" in session.columns else None, manual)
     feats = TS.subject_features(t, lights_on=lights_on, hours_light=hours_light)
     auc = TS.trapezoid_auc(t.filter(F.col("variable").isin(*TS.INTAKE_VARIABLES)), ["subject_id", "variable"])
-    return TS.feature_rows(feats, auc)
+    return materialize(TS.feature_rows(feats, auc))
 
 
 def group_signatures(features: DataFrame, session: DataFrame, min_group: int = 2, covariate: str | None = None) -> DataFrame:
@@ -113,7 +114,7 @@ def calr_profile_query(signatures: DataFrame, references: DataFrame, metadata: D
         pairs = j.select("query_id", "ref_id", "similarity", miss.alias("mismatches"))
     else:
         pairs = pairs.withColumn("mismatches", F.lit(0))
-    near = SIM.calorimetry_evidence(pairs, metadata, power, hub_mode, mismatch_penalty, k)
+    near = materialize(SIM.calorimetry_evidence(pairs, metadata, power, hub_mode, mismatch_penalty, k))
     genes = near.join(metadata.select(F.col("id").alias("ref_id"), "gene_id"), "ref_id").filter("gene_id is not null")
     scores = genes.groupBy(F.col("query_id").alias("contrast_id"), "gene_id").agg(F.sum("evidence").alias("score"))
     return {"neighbours": near, "genes": _finish(scores, metadata, orthologs, policy, ["contrast_id"], select)}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociweave.operators import identifiers as ID
 from lociweave.operators import segments as SEG
 from lociweave.operators import selection as SEL
+from lociweave.session import materialize
 
 
 def cnv_gene_programs(
@@ -17,8 +18,8 @@ def cnv_gene_programs(
     """Tables: selected genes per (sample, program), cohort recurrence, segment summary, tie diagnostics, breadth."""
     cfg = (settings or SEG.SegmentSettings()).preset(preset)
     s = SEG.correct_segments(ID.harmonize_chrom(segments, genes.select("chrom")), cfg, purity)
-    links = SEG.segment_links(s, genes, cfg)
-    signed = SEG.gene_scores(links, cfg)
+    links = materialize(SEG.segment_links(s, genes, cfg))
+    signed = materialize(SEG.gene_scores(links, cfg))
     if "gene_symbol" in genes.columns:
         names = genes.select("gene_id", "gene_symbol").dropDuplicates(["gene_id"])
         prog = SEG.programs(signed).join(names, "gene_id", "left")

@@ -14,6 +14,7 @@ from lociweave.operators import sampling as SA
 from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
+from lociweave.session import materialize
 from lociweave.sources.tables import parseable
 
 
@@ -120,14 +121,15 @@ def rna_de_prepare(
     if balance:
         members = SA.balance_arms(members)
     sizes = members.groupBy("comparison_id").agg(F.count_if(F.col("arm") == "a").alias("_a"), F.count_if(F.col("arm") == "b").alias("_b"))
-    members = members.join(sizes.filter(F.least("_a", "_b") >= min_samples), "comparison_id", "left_semi")
+    members = materialize(members.join(sizes.filter(F.least("_a", "_b") >= min_samples), "comparison_id", "left_semi"))
     kept = counts.join(members.select("sample_id").distinct(), "sample_id", "left_semi")
     per = kept.join(members.select("comparison_id", "sample_id"), "sample_id")
     if low_expression_filter:
         per = per.join(ST.expressed_genes(kept, members), ["comparison_id", "gene_id"], "left_semi")
     logs = ST.cpm(per.select("comparison_id", "sample_id", "gene_id", "value"), ["comparison_id"])
     design = ST.design_table(members, samples, numeric, categorical)
-    fit = ST.ols_group_effect(logs.select("comparison_id", "sample_id", "gene_id", "log_cpm"), design)
+    logs = materialize(logs.select("comparison_id", "sample_id", "gene_id", "log_cpm"))
+    fit = ST.ols_group_effect(logs, design)
     p = fit.withColumn("pvalue", ST.normal_p("stat"))
     de = ST.bh_adjust(p, ["comparison_id"]).withColumnRenamed("effect", "logfc")
     return de, C.comparison_audit(samples, contrasts)

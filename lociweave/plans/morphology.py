@@ -9,6 +9,7 @@ from lociweave.operators import selection as SEL
 from lociweave.operators import similarity as SIM
 from lociweave.operators import statistics as ST
 from lociweave.operators.joins import attach
+from lociweave.session import materialize
 
 
 def modality(x) -> Column:
@@ -68,7 +69,7 @@ def morphology_profile_query(
         qv, rv = SIM.remove_nuisance_axes(qv, cv), SIM.remove_nuisance_axes(rv, cv)
     if polarity == "opposite":
         qv = qv.withColumn("vec", F.transform("vec", lambda x: -x))
-    pairs = SIM.similar(qv, rv, k=max(pool, max_neighbours), pearson=metric == "pearson").drop("rank")
+    pairs = materialize(SIM.similar(qv, rv, k=max(pool, max_neighbours), pearson=metric == "pearson").drop("rank"))
     cand = SIM.polarity_candidates(pairs, "similar", min_similarity)
     e = SIM.neighbour_evidence(cand, metadata.join(ctrl, "id", "left_anti"), power, hub_mode)
     e = e.join(metadata.select(F.col("id").alias("ref_id"), "modality"), "ref_id")
@@ -76,15 +77,15 @@ def morphology_profile_query(
         e = e.join(SIM.query_modality(query_members), "query_id", "left")
     else:
         e = e.withColumn("query_modality", F.lit(None).cast("string"))
-    genes = reference_genes(metadata, compound_targets)
+    genes = materialize(reference_genes(metadata, compound_targets))
     known = e.filter("query_modality is not null")
     recovered = SIM.modality_penalty(known, cross_penalty, SIM.shared_label_recovery(known, genes, gene_labels))
     e = recovered.unionByName(e.filter("query_modality is null"))
     if mutual:
         e = SIM.mutual_filter(e, rv).drop("mutual_similarity")
     flagged = SIM.protect_same_modality(e)
-    kept = SIM.neighbour_cut(SIM.keep_protected(flagged, max_neighbours), max_neighbours, min_effective, drop_ratio)
-    support = SIM.nominate_core(SIM.target_support(kept, genes))
+    kept = materialize(SIM.neighbour_cut(SIM.keep_protected(flagged, max_neighbours), max_neighbours, min_effective, drop_ratio))
+    support = materialize(SIM.nominate_core(SIM.target_support(kept, genes)))
     core = support.filter("core").select("query_id", "gene_id", "score")
     total = core.groupBy("query_id").agg(F.sum("score").alias("_t"))
     core = attach(core, total, ["query_id"]).filter("_t > 0").select("query_id", "gene_id", (F.col("score") / F.col("_t")).alias("score"))

@@ -14,6 +14,7 @@ from lociweave.operators import priors as P
 from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
+from lociweave.session import materialize
 from lociweave.sources.tables import parseable
 
 
@@ -77,7 +78,7 @@ def ptm_site_diff(
     final = S.transform_score("adjusted_score", transform) * F.col("confidence_weight") * F.col("ubiquity_weight") * F.col("gene_fraction")
     s = s.withColumn("final_score", final).withColumn("quality", F.col("confidence_weight") * F.greatest(F.lit(1e-6), F.abs("adjusted_score")))
     rows = s.select(*keys, "record_key", "gene_id", "gene_symbol", "base_score", "adjusted_score", "final_score", "confidence_weight", "ubiquity_weight", "quality", "row_ordinal")
-    one = SC.collapse_best(rows, [*keys, "record_key", "gene_id"], duplicates, "final_score", "quality", "row_ordinal")
+    one = materialize(SC.collapse_best(rows, [*keys, "record_key", "gene_id"], duplicates, "final_score", "quality", "row_ordinal"))
     genes = SC.records_to_gene(one, keys, aggregation, k)
     names = one.groupBy(*keys, "gene_id").agg(F.min_by("gene_symbol", "row_ordinal").alias("gene_symbol"))
     return SEL.select_and_weight(genes.join(names, [*keys, "gene_id"]), keys, **(select or {}))

@@ -10,11 +10,12 @@ from lociweave.operators import sampling as SA
 from lociweave.operators import screens as D
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
+from lociweave.session import materialize
 
 
 def scaled_response(response: DataFrame, metric: str = "logfc", transform: str = "robust_z") -> DataFrame:
     """Oriented replicate means, scaled per drug: robust_z, rank_normal or none."""
-    r = D.replicate_mean(response).withColumn("response", F.col("response") * response_sign(metric))
+    r = materialize(D.replicate_mean(response).withColumn("response", F.col("response") * response_sign(metric)))
     if transform == "robust_z":
         return ST.robust_z(r, ["drug_id"], "response", "z").select("sample_id", "drug_id", "z")
     if transform == "rank_normal":
@@ -29,9 +30,10 @@ def drug_response_screen(
     tau: float = 1.0, eps: float = 0.05, t0: int = 5, target_bundle: DataFrame | None = None, select: dict | None = None,
 ) -> DataFrame:
     """Responses and target edges to selected genes per program, all programs in one job."""
-    z = scaled_response(response, metric, transform)
+    # Responses and edges feed several weights each: both are written once.
+    z = materialize(scaled_response(response, metric, transform))
     e = D.merge_drug_ids(edges, aliases) if aliases is not None else edges
-    e = D.promiscuity_cap(D.drop_compounds(e, blacklist, qc), max_targets, promiscuity)
+    e = materialize(D.promiscuity_cap(D.drop_compounds(e, blacklist, qc), max_targets, promiscuity))
     prog = D.group_programs(z, groups, kind, case=case)
     if kind == "per_sample":
         prog = D.strongest_programs(prog, max_programs)

@@ -15,6 +15,7 @@ from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
 from lociweave.plans.proteomics import _with
+from lociweave.session import materialize
 from lociweave.sources.tables import parseable
 
 
@@ -120,7 +121,8 @@ def splice_event_diff(
     rows = e.select(*keys, "record_key", "gene_id", "gene_symbol", "event_group", "base_score", "final_score", "confidence_weight", "ubiquity_weight", "quality", "row_ordinal",
                     "chrom", F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"))
     one = SC.collapse_best(rows, [*keys, "record_key", "gene_id"], duplicates, "final_score", "quality", "row_ordinal")
-    grouped = P.collapse_event_groups(one, keys)
+    # Read four times below: written once, so the scoring chain runs once.
+    grouped = materialize(P.collapse_event_groups(one, keys))
     by = [*keys, "gene_id"]
     genes = SC.records_to_gene(grouped, keys, aggregation, k)
     lead = F.struct((-F.abs("final_score")).alias("a"), (-F.col("quality")).alias("q"), F.col("row_ordinal").alias("o"))
