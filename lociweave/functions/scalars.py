@@ -131,9 +131,8 @@ def boolish(x) -> Column:
 
 def packed_tokens(x, delimiters: str = ";,|/") -> Column:
     """Split delimiter-packed text, trim the tokens and drop blanks."""
-    pattern = "[" + "".join("\\" + d for d in delimiters) + "]"
-    parts = F.transform(F.split(F.coalesce(_c(x), F.lit("")), pattern), lambda t: F.trim(t))
-    return F.filter(parts, lambda t: t != "")
+    pattern = r"\s*[" + "".join("\\" + d for d in delimiters) + r"]\s*"
+    return F.array_remove(F.split(F.trim(F.coalesce(_c(x), F.lit(""))), pattern), "")
 
 
 def site_key(accession, residue, position, ptm_type, site_id=None, site_group=None) -> Column:

@@ -95,17 +95,9 @@ def assign_genes(
     """Zip packed ids and symbols; several genes are dropped, cut to the first, or split 1/n."""
     i = split(F.col(ids) if isinstance(ids, str) else ids)
     s = split(F.col(symbols) if isinstance(symbols, str) else symbols)
-    n = F.greatest(F.size(i), F.size(s))
-    pairs = F.when(
-        n > 0,
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda k: F.struct(
-                F.coalesce(F.get(i, k), F.get(s, k)).alias("id"), F.coalesce(F.get(s, k), F.get(i, k)).alias("symbol")
-            ),
-        ),
-    ).otherwise(F.array().cast("array<struct<id:string,symbol:string>>"))
-    out = rows.withColumn("_pairs", pairs).withColumn("_n", F.size("_pairs"))
+    # The shorter list is padded with nulls; either name stands in for the other.
+    out = rows.withColumn("_id", i).withColumn("_sym", s)
+    out = out.withColumn("_pairs", F.arrays_zip("_id", "_sym")).withColumn("_n", F.size("_pairs")).drop("_id", "_sym")
     if policy == "drop":
         out = out.filter("_n = 1")
     elif policy == "first":
@@ -114,8 +106,8 @@ def assign_genes(
         raise ValueError(f"unknown ambiguity policy {policy!r}")
     out = out.withColumn("_pair", F.explode("_pairs"))
     return (
-        out.withColumn("gene_id", F.col("_pair.id"))
-        .withColumn("gene_symbol", F.col("_pair.symbol"))
+        out.withColumn("gene_id", F.coalesce("_pair._id", "_pair._sym"))
+        .withColumn("gene_symbol", F.coalesce("_pair._sym", "_pair._id"))
         .withColumn("gene_fraction", 1.0 / F.col("_n"))
         .drop("_pairs", "_pair", "_n")
     )

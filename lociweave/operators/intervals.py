@@ -236,16 +236,19 @@ def nearest_links(
     )
     rows = anchor_rows.unionByName(centre_rows).withColumn("_cell", cell("_pos"))
     # Centres sort before anchors at the same position: that anchor then lies "at or after".
-    w = Window.partitionBy(*on, "_cell").orderBy("_pos", "_kind")
+    # Both directions use running frames; a frame to the end of the partition would rescan it per row.
+    fwd = Window.partitionBy(*on, "_cell").orderBy("_pos", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    rev = Window.partitionBy(*on, "_cell").orderBy(F.col("_pos").desc(), F.col("_kind").desc()).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select(
         *on,
         "_pos",
         "_cell",
         "_kind",
-        F.last("_before", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_lb"),
-        F.first("_after", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("_la"),
+        F.last("_before", ignorenulls=True).over(fwd).alias("_lb"),
+        F.last("_after", ignorenulls=True).over(rev).alias("_la"),
     ).filter("_kind = 0")
-    wc = Window.partitionBy(*on).orderBy("_cell")
+    up = Window.partitionBy(*on).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*on).orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
     cells = (
         rows.groupBy(*on, "_cell")
         .agg(
@@ -255,8 +258,8 @@ def nearest_links(
         .select(
             *on,
             "_cell",
-            F.last("_cb", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_pb"),
-            F.first("_ca", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_na"),
+            F.last("_cb", ignorenulls=True).over(up).alias("_pb"),
+            F.last("_ca", ignorenulls=True).over(down).alias("_na"),
         )
     )
     found = local.join(cells, [*on, "_cell"]).select(

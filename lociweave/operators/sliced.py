@@ -120,7 +120,7 @@ def step_up_minimum(
     sliced = r.withColumn("_v", expr(F.col(rank), F.col(count))).withColumn(
         SLICE, F.floor((F.col(rank) - 1) / F.lit(100_000)).cast("int")
     ).withColumn(POS, F.col(rank))
-    later = _across(keys).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = (
         sliced.groupBy(*keys, SLICE)
         .agg(F.min("_v").alias("_m"))
