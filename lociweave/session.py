@@ -19,6 +19,9 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    chosen = spark.sparkContext.getCheckpointDir()
+    if chosen:
+        return chosen.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     app = spark.sparkContext.applicationId
