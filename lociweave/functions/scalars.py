@@ -145,11 +145,11 @@ def site_key(accession, residue, position, ptm_type, site_id=None, site_group=No
 
 
 def tcga_arm(barcode) -> Column:
-    """Sample-type digits of a TCGA barcode: 01-09 tumor, 10-19 normal; `_Norm` suffix is normal."""
+    """Sample-type digits of a TCGA barcode: 01-09 tumor, 10-19 adjacent normal, like a `_Norm` suffix."""
     b = _c(barcode)
     code = F.regexp_extract(b, r"^TCGA-[^-]+-[^-]+-(\d{2})", 1).try_cast("int")
-    return F.when(b.endswith("_Norm"), F.lit("normal")).when(code.between(1, 9), F.lit("tumor")).when(
-        code.between(10, 19), F.lit("normal")
+    return F.when(b.endswith("_Norm"), F.lit("adjacent_normal")).when(code.between(1, 9), F.lit("tumor")).when(
+        code.between(10, 19), F.lit("adjacent_normal")
     )
 
 

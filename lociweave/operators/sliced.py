@@ -30,10 +30,10 @@ def slice_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     placed = (
         df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
-        .withColumn("_serial", serial)
-        .withColumn(SLICE, F.shiftright("_serial", 33).cast("int"))
-        .withColumn(POS, F.col("_serial").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_serial")
+        .withColumn("_sl_serial", serial)
+        .withColumn(SLICE, F.shiftright("_sl_serial", 33).cast("int"))
+        .withColumn(POS, F.col("_sl_serial").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("_sl_serial")
     )
     return materialize(placed)
 
@@ -61,14 +61,14 @@ def ranked(
 ) -> DataFrame:
     """Dense 1..n rank per key; optionally the key's row count as well."""
     sliced = slice_rows(df, keys, order)
-    sizes = sliced.groupBy(*keys, SLICE).agg(F.count("*").alias("_n"), F.min(POS).alias("_first"))
+    sizes = sliced.groupBy(*keys, SLICE).agg(F.count("*").alias("_sl_n"), F.min(POS).alias("_sl_first"))
     w = _across(keys)
-    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cols = [*keys, SLICE, (before - F.col("_first") + 1).alias("_shift")]
+    before = F.coalesce(F.sum("_sl_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cols = [*keys, SLICE, (before - F.col("_sl_first") + 1).alias("_sl_shift")]
     if count:
-        cols.append(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(count))
+        cols.append(F.sum("_sl_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(count))
     out = _join_slices(sliced, sizes.select(*cols), keys)
-    return out.withColumn(rank, (F.col(POS) + F.col("_shift")).cast("long")).drop(SLICE, POS, "_shift")
+    return out.withColumn(rank, (F.col(POS) + F.col("_sl_shift")).cast("long")).drop(SLICE, POS, "_sl_shift")
 
 
 def cumulative(
@@ -83,7 +83,7 @@ def cumulative(
     """Running sum of ``value`` in order, with optional key total and rank."""
     sliced = slice_rows(df, keys, order)
     sums = sliced.groupBy(*keys, SLICE).agg(
-        F.sum(value).alias("_s"), F.count("*").alias("_n"), F.min(POS).alias("_first")
+        F.sum(value).alias("_sl_s"), F.count("*").alias("_sl_n"), F.min(POS).alias("_sl_first")
     )
     w = _across(keys)
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -91,9 +91,9 @@ def cumulative(
     summary = sums.select(
         *keys,
         SLICE,
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_sl_before"),
-        F.sum("_s").over(whole).alias("_sl_total"),
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_sl_shift"),
+        F.coalesce(F.sum("_sl_s").over(earlier), F.lit(0)).alias("_sl_before"),
+        F.sum("_sl_s").over(whole).alias("_sl_total"),
+        (F.coalesce(F.sum("_sl_n").over(earlier), F.lit(0)) - F.col("_sl_first") + 1).alias("_sl_shift"),
     )
     local = F.sum(value).over(_within(keys).rowsBetween(Window.unboundedPreceding, 0))
     out = _join_slices(sliced.withColumn("_sl_local", local), summary, keys)
@@ -117,18 +117,18 @@ def step_up_minimum(
     """Minimum of ``expr(rank, count)`` over this row and all later rows of its key."""
     r = ranked(df, keys, order, rank, count)
     # The rank fixes the order now, so slices can be cut by rank and need no second sort pass.
-    sliced = r.withColumn("_v", expr(F.col(rank), F.col(count))).withColumn(
+    sliced = r.withColumn("_sl_v", expr(F.col(rank), F.col(count))).withColumn(
         SLICE, F.floor((F.col(rank) - 1) / F.lit(100_000)).cast("int")
     ).withColumn(POS, F.col(rank))
     later = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = (
         sliced.groupBy(*keys, SLICE)
-        .agg(F.min("_v").alias("_m"))
-        .select(*keys, SLICE, F.min("_m").over(later).alias("_after"))
+        .agg(F.min("_sl_v").alias("_sl_m"))
+        .select(*keys, SLICE, F.min("_sl_m").over(later).alias("_sl_after"))
     )
-    local = F.min("_v").over(_within(keys, descending=True).rowsBetween(Window.unboundedPreceding, 0))
-    joined = _join_slices(sliced.withColumn("_local", local), summary, keys)
-    return joined.withColumn(out, F.least("_local", "_after")).drop(SLICE, POS, "_v", "_local", "_after")
+    local = F.min("_sl_v").over(_within(keys, descending=True).rowsBetween(Window.unboundedPreceding, 0))
+    joined = _join_slices(sliced.withColumn("_sl_local", local), summary, keys)
+    return joined.withColumn(out, F.least("_sl_local", "_sl_after")).drop(SLICE, POS, "_sl_v", "_sl_local", "_sl_after")
 
 
 def with_previous(
@@ -137,14 +137,14 @@ def with_previous(
     """Attach the previous row's ``columns`` (lag 1 in order) to every row."""
     sliced = slice_rows(df, keys, order)
     carried = F.struct(*columns)
-    last = sliced.groupBy(*keys, SLICE).agg(F.max_by(carried, POS).alias("_last"))
-    summary = last.select(*keys, SLICE, F.lag("_last").over(_across(keys)).alias("_carry"))
+    last = sliced.groupBy(*keys, SLICE).agg(F.max_by(carried, POS).alias("_sl_last"))
+    summary = last.select(*keys, SLICE, F.lag("_sl_last").over(_across(keys)).alias("_sl_carry"))
     local = F.lag(carried).over(_within(keys))
-    out = _join_slices(sliced.withColumn("_lag", local), summary, keys)
-    out = out.withColumn("_p", F.coalesce("_lag", "_carry"))
+    out = _join_slices(sliced.withColumn("_sl_lag", local), summary, keys)
+    out = out.withColumn("_sl_p", F.coalesce("_sl_lag", "_sl_carry"))
     for c in columns:
-        out = out.withColumn(f"{prefix}{c}", F.col("_p").getField(c))
-    return out.drop(SLICE, POS, "_lag", "_carry", "_p")
+        out = out.withColumn(f"{prefix}{c}", F.col("_sl_p").getField(c))
+    return out.drop(SLICE, POS, "_sl_lag", "_sl_carry", "_sl_p")
 
 
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:
@@ -153,19 +153,19 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out
     Values are counted first, so repeated values travel once and a hot key is
     reduced on the map side. Nulls are ignored.
     """
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_x")).agg(F.count("*").alias("_c"))
-    cum = cumulative(hist, keys, [F.col("_x").asc()], "_c", running="_hi", total="_n")
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_sl_x")).agg(F.count("*").alias("_sl_c"))
+    cum = cumulative(hist, keys, [F.col("_sl_x").asc()], "_sl_c", running="_sl_hi", total="_sl_n")
     # Zero-based target position t between floor(t) and ceil(t); a value covers (_hi - _c, _hi].
-    cum = cum.withColumn("_t", (F.col("_n") - 1) * F.lit(float(q)))
-    lo, hi = F.floor("_t") + 1, F.ceil("_t") + 1
-    covers = lambda p: (F.col("_hi") >= p) & (F.col("_hi") - F.col("_c") < p)
+    cum = cum.withColumn("_sl_t", (F.col("_sl_n") - 1) * F.lit(float(q)))
+    lo, hi = F.floor("_sl_t") + 1, F.ceil("_sl_t") + 1
+    covers = lambda p: (F.col("_sl_hi") >= p) & (F.col("_sl_hi") - F.col("_sl_c") < p)
     hit = cum.filter(covers(lo) | covers(hi))
     picked = hit.groupBy(*keys).agg(
-        F.max(F.when(covers(lo), F.col("_x"))).alias("_a"),
-        F.max(F.when(covers(hi), F.col("_x"))).alias("_b"),
-        F.max(F.col("_t") - F.floor("_t")).alias("_f"),
+        F.max(F.when(covers(lo), F.col("_sl_x"))).alias("_sl_a"),
+        F.max(F.when(covers(hi), F.col("_sl_x"))).alias("_sl_b"),
+        F.max(F.col("_sl_t") - F.floor("_sl_t")).alias("_sl_f"),
     )
-    return picked.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias(out))
+    return picked.select(*keys, (F.col("_sl_a") + (F.col("_sl_b") - F.col("_sl_a")) * F.col("_sl_f")).alias(out))
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:

@@ -429,15 +429,31 @@ def read_proteome_report(spark: SparkSession, path: str) -> DataFrame:
     return typed.unpivot(["gene_symbol"], [F.col(f"`{c}`") for c in cols], "sample_id", "value").filter("value is not null")
 
 
-def parse_site_labels(rows: DataFrame, column: str = "site_label") -> DataFrame:
-    """Split `ACCESSION:s12t15` labels into one row per (accession, residue, position)."""
-    acc = F.split_part(column, F.lit(":"), F.lit(1))
-    tail = F.split_part(column, F.lit(":"), F.lit(2))
-    tokens = F.array_distinct(F.regexp_extract_all(tail, F.lit(r"([A-Za-z]\d+)"), 1))
-    out = rows.withColumn("_t", tokens).withColumn("site_status", F.when(F.size("_t") == 1, "single").when(F.size("_t") > 1, "multi").otherwise("unparsed"))
-    return out.withColumn("protein_accession", acc).withColumn("_s", F.explode_outer("_t")).withColumn(
-        "residue", F.upper(F.substring("_s", 1, 1))
-    ).withColumn("position", F.expr("substring(_s, 2)").try_cast("long")).drop("_t", "_s")
+def parse_site_labels(rows: DataFrame, column: str = "site_label", ptm_type: str = "phospho") -> DataFrame:
+    """Accession, residue and position of `ACCESSION:S12` labels.
+
+    One site gives a site id; several give a group id listing them by position;
+    anything else falls back to the cleaned label.
+    """
+    text = F.trim(column)
+    acc = F.nullif(F.regexp_extract(text, r"^([A-Za-z0-9_.-]+)\s*[:|]\s*(.+)$", 1), F.lit(""))
+    tail = F.when(acc.isNotNull(), F.regexp_extract(text, r"^([A-Za-z0-9_.-]+)\s*[:|]\s*(.+)$", 2)).otherwise(text)
+    found = F.regexp_extract_all(F.col("_tail"), F.lit(r"([A-Z]\s*[0-9]+)"), 1)
+    as_struct = F.transform(found, lambda t: F.struct(F.regexp_extract(t, r"(\d+)$", 1).cast("long").alias("p"), F.substring(t, 1, 1).alias("r")))
+    out = rows.withColumn("protein_accession", acc).withColumn("_tail", tail).withColumn("_t", F.array_sort(F.array_distinct(as_struct)))
+    n, known = F.size("_t"), F.col("protein_accession").isNotNull()
+    single, group = known & (n == 1), known & (n > 1)
+    one = F.get("_t", F.lit(0))
+    kind = F.lit(ptm_type)
+    site = F.when(single, F.concat_ws("|", "protein_accession", one["r"], one["p"].cast("string"), kind))
+    names = F.array_join(F.transform("_t", lambda x: F.concat(x["r"], x["p"].cast("string"))), ";")
+    grouped = F.when(group, F.concat_ws("|", "protein_accession", names, kind))
+    raw = F.concat(F.lit("raw::"), S.path_component(column), F.lit("|"), kind)
+    return out.select(
+        *rows.columns, site.alias("site_id"), F.coalesce(site, grouped, raw).alias("site_group_id"), "protein_accession",
+        F.when(single, one["r"]).alias("residue"), F.when(single, one["p"]).alias("position"),
+        F.when(single, "single_site").when(group, "site_group").otherwise("unparsed_fallback").alias("site_status"), F.greatest(n, F.lit(1)).alias("n_sites"),
+    )
 
 
 def read_sample_annotations(spark: SparkSession, path: str, key: str = "sample_id", id_map: DataFrame | None = None) -> DataFrame:

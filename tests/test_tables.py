@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociweave.functions import scalars as S
+from lociweave.plans import public_tables as PUB
 from lociweave.sinks import tables as OUT
 from lociweave.sources import assays as A
 from lociweave.sources import genomic as G
@@ -145,9 +146,28 @@ def test_profiles_skip_metadata_and_text(spark, tmp_path):
 
 
 def test_site_labels(spark):
-    df = spark.createDataFrame([("NP_1:s12t15",), ("NP_2:k7",), ("NP_3",)], "site_label string")
-    got = {(r["protein_accession"], r["residue"], r["position"], r["site_status"]) for r in A.parse_site_labels(df).collect()}
-    assert got == {("NP_1", "S", 12, "multi"), ("NP_1", "T", 15, "multi"), ("NP_2", "K", 7, "single"), ("NP_3", None, None, "unparsed")}
+    df = spark.createDataFrame([("NP_1:T15S12",), ("NP_2:K7",), ("odd label",)], "site_label string")
+    got = {(r["site_id"], r["site_group_id"], r["residue"], r["position"], r["site_status"]) for r in A.parse_site_labels(df).collect()}
+    assert got == {
+        (None, "NP_1|S12;T15|phospho", None, None, "site_group"), ("NP_2|K|7|phospho", "NP_2|K|7|phospho", "K", 7, "single_site"),
+        (None, "raw::odd_label|phospho", None, None, "unparsed_fallback"),
+    }
+
+
+def test_public_standardisation(spark):
+    values = spark.createDataFrame([("NP_1:S12", "G", n, 1.0) for n in ("T A", "T/A", "POOL-1")], "site_label string, gene_symbol string, sample_id string, value double")
+    anno = spark.createDataFrame([("T A", "Tumor"), ("T/A", "normal")], "sample_id_raw string, sample_type string")
+    long, sites, samples = PUB.ptm_standardize(values, anno, "study")
+    assert {(r["sample_id"], r["condition"], r["group"]) for r in samples.collect()} == {("T_A", "case", "study"), ("T_A_2", "control", "study")}
+    assert {(r["feature_id"], r["sample_id"]) for r in long.collect()} == {("NP_1|S|12|phospho", "T_A"), ("NP_1|S|12|phospho", "T_A_2")}
+    ev = spark.createDataFrame([("1", "ES", "G", "tcga_spliceseq", 0), ("2", "??", "G", "tcga_spliceseq", 1)], "event_id string, event_type string, gene_symbol string, tool_family string, row_ordinal long")
+    for c in ("event_group", "gene_id", "annotation_status", "chrom", "start", "end", "strand"):
+        ev = ev.withColumn(c, F.lit(None).cast("string"))
+    psi = spark.createDataFrame([("1", "a", 0.5), ("1", "b_Norm", None), ("2", "a", 0.1)], "event_id string, sample_id_raw string, psi double")
+    s = PUB.header_samples(psi.select("sample_id_raw").distinct())
+    assert {(r["sample_id"], r["condition"]) for r in s.collect()} == {("a", "tumor"), ("b", "adjacent_normal")}
+    _, rows = PUB.splice_standardize(ev, psi, s, "ds", allowed=["exon_skip"])
+    assert [(r["canonical_event_key"], r["canonicalization_confidence"], r["sample_id"]) for r in rows.collect()] == [("tcga_spliceseq_asid::G::exon_skip::1", "medium", "a")]
 
 
 def test_duplicate_annotation_is_an_error(spark, tmp_path):
@@ -179,7 +199,7 @@ def test_names(spark):
     assert df.select(S.set_name("x").alias("v")).first()["v"] == "a_b_c_d"
     assert df.select(S.path_component("x").alias("v")).first()["v"] == "a_b_c_d"
     barcode = spark.createDataFrame([("TCGA-AA-BB-01A",), ("TCGA-AA-BB-11A",), ("x_Norm",), ("y",)], "b string")
-    assert [r["v"] for r in barcode.select(S.tcga_arm("b").alias("v")).collect()] == ["tumor", "normal", "normal", None]
+    assert [r["v"] for r in barcode.select(S.tcga_arm("b").alias("v")).collect()] == ["tumor", "adjacent_normal", "adjacent_normal", None]
 
 
 def test_queries_and_sql_share_names(spark):
