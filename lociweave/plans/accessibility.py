@@ -15,6 +15,7 @@ from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
 from lociweave.operators.joins import attach
 from lociweave.operators.scoring import combine_ratio
+from lociweave.session import materialize
 
 # Programs of each preset, and the link each program prefers there.
 PRESETS = {
@@ -88,16 +89,19 @@ def program_scores(
     bias_links = [m for p, m in grid if p == "enhancer_bias"]
     need = set(plain) | {(p, m) for m in bias_links for p in ("promoter_activity", "distal_activity")}
     methods = sorted({m for _, m in need})
+    genes = materialize(genes.select("chrom", "tss", "strand", "gene_id", "gene_ordinal"))
     prom = I.promoters(genes, upstream, downstream).select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
-    spans = features.select("chrom", "start", "end").distinct()
-    flagged = I.overlap_flag(spans, prom, "in_promoter")
-    if reference is not None:
-        flagged = I.overlap_max(flagged, reference, "idf_ref", "idf")
     x = S.transform_score("weight", transform)
     agg = [F.sum(x).alias("w")]
     if distal_weight:
         agg.append(F.sum(S.transform_score(distal_weight, transform)).alias("wd"))
-    by_span = features.groupBy(*keys, "chrom", "start", "end").agg(*agg).join(flagged, ["chrom", "start", "end"])
+    # The features are read once; masks, priors and links all start from the written spans.
+    collapsed = materialize(features.groupBy(*keys, "chrom", "start", "end").agg(*agg))
+    spans = materialize(collapsed.select("chrom", "start", "end").distinct())
+    flagged = I.overlap_flag(spans, prom, "in_promoter")
+    if reference is not None:
+        flagged = I.overlap_max(flagged, reference, "idf_ref", "idf")
+    by_span = collapsed.join(flagged, ["chrom", "start", "end"])
     # One column per program, unpivoted after the sum: masked features contribute zero.
     value = {
         "linked_activity": F.col("w"),
@@ -113,7 +117,7 @@ def program_scores(
     items = F.array(*[F.struct(F.lit(p).alias("program"), value[p].alias("v")) for p in names])
     long = by_span.select(*keys, "chrom", "start", "end", F.explode(items).alias("i"), F.array(*calibrations).alias("c")).filter("i.v <> 0")
     long = long.select(*keys, "chrom", "start", "end", "i.program", "i.v", F.explode("c").alias("c")).select("*", "c.*").drop("c")
-    links = span_links(features, genes, methods, upstream=upstream, downstream=downstream, **link_settings)
+    links = span_links(spans, genes, methods, upstream=upstream, downstream=downstream, **link_settings)
     wanted = F.lit(False)
     for p, m in need:
         wanted = wanted | ((F.col("program") == p) & (F.col("link_method") == m))
@@ -123,6 +127,7 @@ def program_scores(
     ).filter("score <> 0")
     if not bias_links:
         return scores
+    scores = materialize(scores)
     side = lambda p: scores.filter((F.col("program") == p) & F.col("link_method").isin(*bias_links)).drop("program")
     bias = combine_ratio(side("distal_activity"), side("promoter_activity"), [*keys, "calibration", "link_method"])
     keep = F.lit(False)

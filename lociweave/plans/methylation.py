@@ -13,6 +13,7 @@ from lociweave.operators import intervals as I
 from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.plans.accessibility import program_grid, span_links
+from lociweave.session import materialize
 
 # Sex chromosomes by either spelling.
 SEX_CHROMS = ("x", "y", "chrx", "chry")
@@ -47,9 +48,11 @@ def methylation_programs(
         f = f.filter(~F.lower("chrom").isin(*SEX_CHROMS))
     if harmonize:
         f = ID.harmonize_chrom(f, genes.select("chrom"))
+    f = materialize(f)
     up, down = link_settings.get("upstream", 2000), link_settings.get("downstream", 500)
     prom = I.promoters(genes, up, down).select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
-    spans = I.overlap_flag(f.select("chrom", "start", "end").distinct(), prom, "in_promoter")
+    places = materialize(f.select("chrom", "start", "end").distinct())
+    spans = I.overlap_flag(places, prom, "in_promoter")
     if enhancers is not None:
         spans = I.overlap_flag(spans, enhancers, "in_enhancer")
     grid = list(grid or CONNECTABLE)
@@ -62,7 +65,7 @@ def methylation_programs(
     }
     items = F.array(*[F.struct(F.lit(p).alias("program"), S.transform_score(value[p], transform).alias("v")) for p in sorted({p for p, _ in grid})])
     long = x.withColumn("_i", F.explode(items)).select(*keys, "chrom", "start", "end", "_i.program", F.col("_i.v").alias("value"), *[c for c in ("row_ordinal",) if c in x.columns])
-    links = span_links(f, genes, sorted({m for _, m in grid}), **link_settings)
+    links = span_links(places, genes, sorted({m for _, m in grid}), **link_settings)
     wanted = F.lit(False)
     for p, m in grid:
         wanted = wanted | ((F.col("program") == p) & (F.col("link_method") == m))
