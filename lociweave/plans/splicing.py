@@ -32,10 +32,8 @@ def event_type(x) -> Column:
         "alt_first_exon": ("afe",),
         "alt_last_exon": ("ale",),
     }
-    out = c
-    for name, spellings in names.items():
-        out = F.when(c.isin(*spellings), name).otherwise(out)
-    return F.coalesce(F.nullif(out, F.lit("")), F.lit("unknown"))
+    spelled = F.create_map(*[F.lit(x) for name, spellings in names.items() for s in spellings for x in (s, name)])
+    return F.coalesce(F.try_element_at(spelled, c), F.nullif(c, F.lit("")), F.lit("unknown"))
 
 
 def canonical_key(e: DataFrame) -> DataFrame:
@@ -49,10 +47,12 @@ def canonical_key(e: DataFrame) -> DataFrame:
         (F.col("tool_family") == "tcga_spliceseq") & text("event_id").isNotNull() & name.isNotNull() & (F.col("event_type") != "unknown"),
         F.concat_ws("::", F.lit("tcga_spliceseq_asid"), name, F.col("event_type"), text("event_id")),
     )
-    conf = F.when(coord.isNotNull(), "high").when(stable.isNotNull(), "medium").otherwise("low")
-    space = F.when(coord.isNotNull(), "global_coordinate").when(stable.isNotNull(), "tcga_spliceseq_asid").otherwise("raw_id_fallback")
-    return e.withColumn("coord_key", coord).withColumn("record_key", F.coalesce(coord, stable, text("event_id"), text("event_group"))).withColumn(
-        "confidence", conf).withColumn("namespace", space)
+    # Later columns refer to the keys by name, so each key is built once per row.
+    e = e.withColumn("coord_key", coord).withColumn("_stable", stable)
+    placed, named = F.col("coord_key").isNotNull(), F.col("_stable").isNotNull()
+    return e.withColumn("record_key", F.coalesce("coord_key", "_stable", text("event_id"), text("event_group"))).withColumn(
+        "confidence", F.when(placed, "high").when(named, "medium").otherwise("low")).withColumn(
+        "namespace", F.when(placed, "global_coordinate").when(named, "tcga_spliceseq_asid").otherwise("raw_id_fallback")).drop("_stable")
 
 
 def event_mode(e: DataFrame, mode: str = "auto") -> tuple[str, str | None]:
