@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["decontamination", "quality", "tokens"]
+MODULES = ["decontamination", "quality", "tokens", "simhash"]
 
 
 def entries() -> dict[str, tuple]:
