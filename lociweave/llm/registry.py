@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["decontamination", "quality", "tokens", "simhash"]
+MODULES = ["decontamination", "secrets", "tokens", "simhash", "warc", "quality"]
 
 
 def entries() -> dict[str, tuple]:
