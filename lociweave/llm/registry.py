@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["decontamination", "secrets", "tokens", "toxicity", "urls", "simhash", "mixing", "warc", "quality"]
+MODULES = ["decontamination", "secrets", "tokens", "toxicity", "suffixes", "urls", "simhash", "mixing", "warc", "quality"]
 
 
 def entries() -> dict[str, tuple]:
