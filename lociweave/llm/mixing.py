@@ -148,6 +148,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     return out.select("doc_id", "source", "size", "source_size", "target", F.col("own").cast("long").alias("copies"), (F.col("own") * F.col("size")).cast("long").alias("taken"))
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that the mix takes at least once, with size, source_size, target, copies and taken."""
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[col(c) for c in docs.columns]).alias("row")))
+    plan = mix(rows.select("rid", "row.*").select("rid", *[col(how.get(c, c)).alias(c) for c in ("source", "text")]), doc_id="rid")
+    plan = plan.filter("copies > 0").select(F.col("doc_id").alias("rid"), F.struct("size", "source_size", "target", "copies", "taken").alias("mix"))
+    new = [c for c in ("size", "source_size", "target", "copies", "taken") if c not in docs.columns]
+    return rows.join(plan, "rid").select("row.*", *[F.col("mix").getField(c).alias(c) for c in new])
+
+
 def op8_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
