@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -147,7 +148,7 @@ def cover(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
 def windows(text: bytes, runs: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(two hashes, start) of the windows in the coded runs of one text."""
     out = []
-    starts = np.concatenate([np.arange(r >> RUN_BITS, (r >> RUN_BITS) + (r & (1 << RUN_BITS) - 1) + 1) for r in sorted(set(runs))])
+    starts = np.concatenate([np.arange(r >> RUN_BITS, (r >> RUN_BITS) + (r & MORE) + 1) for r in sorted(set(runs))])
     data = np.frombuffer(text, np.uint8)
     for at in range(0, len(data) - length + 1, CHUNK - length + 1):
         some = starts[(starts >= at) & (starts < at + CHUNK - length + 1)] - at
@@ -163,7 +164,7 @@ def removal(text: bytes, runs: list[int] | None, length: int) -> tuple[int, int,
         return 0, 0, hashlib.sha256(text).hexdigest()
     coded = np.unique(np.array(runs, np.int64))
     start = coded >> RUN_BITS
-    stop = np.maximum.accumulate(start + (coded & (1 << RUN_BITS) - 1) + length)
+    stop = np.maximum.accumulate(start + (coded & MORE) + length)
     fresh = np.concatenate(([True], start[1:] > stop[:-1]))
     begin, end = start[fresh], stop[np.concatenate((fresh[1:], [True]))]
     rest, at = hashlib.sha256(), 0
@@ -174,8 +175,10 @@ def removal(text: bytes, runs: list[int] | None, length: int) -> tuple[int, int,
     return int((end - begin).sum()), len(begin), rest.hexdigest()
 
 
-#: A run of windows is coded as start << RUN_BITS | number of further windows.
-RUN_BITS = 8
+#: A run of windows is coded as start << RUN_BITS | 24 bits of the text's hash | number of further windows (8 bits).
+RUN_BITS = 32
+MORE = 0xFF
+TAG = 0xFFFFFF00
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -190,28 +193,43 @@ def shuffles_removed(spark: SparkSession):
         spark.conf.set(CLEAN, before)
 
 
-def later(place: str, first: str = "first"):
-    """Whether (did, at) comes after the place in ``first``."""
-    return (F.col("did") > F.col(f"{first}.did")) | ((F.col("did") == F.col(f"{first}.did")) & (F.col(place) > F.col(f"{first}.{place}")))
+def tag(text: bytes) -> int:
+    return crc32(text) & TAG
+
+
+def later():
+    """Whether (did, start of run) comes after the place in ``first``."""
+    start = lambda c: F.shiftright(c, RUN_BITS)
+    return (F.col("did") > F.col("first.did")) | ((F.col("did") == F.col("first.did")) & (start("run") > start("first.run")))
+
+
+def with_tag(runs: DataFrame) -> DataFrame:
+    return runs.withColumn("tag", F.col("run").bitwiseAND(F.lit(TAG)))
+
+
+def own_tag():
+    return F.crc32("body").bitwiseAND(F.lit(TAG))
 
 
 def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Columns ``did``, ``runs``: per text with repeats, its repeated windows as coded runs. ``texts`` has did and body."""
+    """Columns ``did``, ``tag``, ``runs``: per text with repeats, its repeated windows as coded runs. ``texts`` has did and body."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "body"):
-                row, bucket, segment, begin, end = cover(part.column("body").to_pylist(), length)
-                did = part.column("did").to_numpy()[row]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket.view(np.int64), segment.view(np.int64), did, begin << RUN_BITS | (end - begin))], names=["bucket", "segment", "did", "run"])
+                bodies = part.column("body").to_pylist()
+                row, bucket, segment, begin, end = cover(bodies, length)
+                did, mark = part.column("did").to_numpy()[row], np.array([tag(t) for t in bodies], np.int64)[row]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket.view(np.int64), segment.view(np.int64), did, begin << RUN_BITS | mark | (end - begin))], names=["bucket", "segment", "did", "run"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "body", SLICE_BYTES // 8):
-                found = [(did, *windows(text, runs, length)) for did, text, runs in zip(*(part.column(c).to_pylist() for c in ("did", "body", "runs")))]
-                sizes = [len(x[1]) for x in found]
-                one, two, at = (np.concatenate([x[k] for x in found]) for k in (1, 2, 3))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one.view(np.int64), two.view(np.int64), np.repeat([x[0] for x in found], sizes), at << RUN_BITS)], names=["one", "two", "did", "run"])
+                found = [(did, tag(text), *windows(text, runs, length)) for did, text, runs in zip(*(part.column(c).to_pylist() for c in ("did", "body", "runs")))]
+                sizes = [len(x[2]) for x in found]
+                one, two, at = (np.concatenate([x[k] for x in found]) for k in (2, 3, 4))
+                did, mark = (np.repeat(np.array([x[k] for x in found], np.int64), sizes) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one.view(np.int64), two.view(np.int64), did, at << RUN_BITS | mark)], names=["one", "two", "did", "run"])
 
     with shuffles_removed(texts.sparkSession):
         places = texts.mapInArrow(sample, "bucket long, segment long, did long, run long")
@@ -219,12 +237,14 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         places = materialize(places.join(shared.hint("shuffle_hash"), "bucket", "left_semi"))
         ranks = materialize(places.groupBy("bucket", "segment").agg(F.min(F.struct("did", "run")).alias("first")))
         mixed = ranks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-        long_ties = materialize(places.join(ranks, ["bucket", "segment"]).filter(later("run")).select("did", "run"))
-        open_runs = ranks.join(mixed, "bucket", "left_semi").groupBy(F.col("first.did").alias("did")).agg(F.collect_list("first.run").alias("runs"))
-        short = materialize(texts.join(open_runs.hint("shuffle_hash"), "did").mapInArrow(compare, "one long, two long, did long, run long"))
+        long_ties = materialize(places.join(ranks, ["bucket", "segment"]).filter(later()).select("did", "run"))
+        open_runs = ranks.join(mixed, "bucket", "left_semi").select("first.*")
+        open_runs = with_tag(open_runs).groupBy("did", "tag").agg(F.collect_list("run").alias("runs"))
+        tagged = texts.withColumn("tag", own_tag())
+        short = materialize(tagged.join(open_runs.hint("shuffle_hash"), ["did", "tag"]).mapInArrow(compare, "one long, two long, did long, run long"))
         seen = short.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("did", "run")).alias("first")).filter("n > 1").drop("n")
-        short_ties = short.join(seen, ["one", "two"]).filter(later("run")).select("did", "run")
-        return materialize(long_ties.unionByName(short_ties).groupBy("did").agg(F.collect_list("run").alias("runs")))
+        short_ties = short.join(seen, ["one", "two"]).filter(later()).select("did", "run")
+        return materialize(with_tag(long_ties.unionByName(short_ties)).groupBy("did", "tag").agg(F.collect_list("run").alias("runs")))
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -233,7 +253,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     A null text is empty; texts shorter than ``length`` keep all bytes. A null
     id counts as smaller than any other. Rows that share an id count as one
     document: a string repeats where it starts earlier in any of them, and rows
-    that are equal get equal results.
+    that are equal get equal results. (Texts of one id are told apart by 24 bits
+    of a hash.)
     """
     texts = docs.select(col(doc_id).cast("long").alias("doc_id"), F.coalesce(col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("did"), body(text).alias("body"))
     runs = repeated_runs(texts.select("did", "body"), length)
@@ -246,7 +267,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                 sizes = pa.array([len(t) for t in bodies], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, *(pa.array([d[k] for d in done], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = texts.join(runs.hint("shuffle_hash"), "did", "left").select("doc_id", "body", "runs")
+    joined = texts.withColumn("tag", own_tag()).join(runs.hint("shuffle_hash"), ["did", "tag"], "left").select("doc_id", "body", "runs")
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
