@@ -172,7 +172,7 @@ class Lexicon:
 
 
 def votes(found: set[int], text: bytes, lexicon: Lexicon) -> list[int]:
-    """1 for toxic, -1 against, 0 for none. The first voter speaks against texts that no lexicon hits, the others only for."""
+    """1 for toxic, -1 against, 0 for none. The first voter speaks against texts that no lexicon hits, the others say for or nothing."""
     n = text.count(b" ") + 1
     own = [1 if listed & found else 0 for _, listed in lexicon.voters]
     return [0 if any(own) else -1, *own] + [1 if applies(text, n) else 0 for _, applies in PATTERNS]
@@ -181,9 +181,11 @@ def votes(found: set[int], text: bytes, lexicon: Lexicon) -> list[int]:
 def label_model(v: np.ndarray, share: float, rounds: int = 200) -> np.ndarray:
     """Posterior of the label per row of ``v``; accuracies by expectation maximisation, votes weighed by independence.
 
-    ``share`` is the known share of the label. A voter that abstains adds nothing. Ends when no posterior moves, or after ``rounds``.
+    ``share`` is the known share of the label. Ends when no posterior moves, or after ``rounds``.
     """
-    cast = np.stack([v == 1, v == -1], 2).astype(float)
+    # A voter that only ever speaks for the label says something by its silence, unless it rarely applies.
+    often = ~(v == -1).any(0) & ((v == 1).mean(0) > 0.02)
+    cast = np.stack([v == 1, (v == -1) | ((v == 0) & often)], 2).astype(float)
     start = np.where(v[:, 0] == 0, np.clip((v[:, 1:] > 0).mean(1) + 0.5, 0.5, 0.95), 0.02)
     prior = np.clip(share, 1e-3, 0.5)
     say = np.ones(v.shape[1])
@@ -256,6 +258,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS, thr
     both kinds every score is the same low one. A null id isn't held out.
     Repeated rows score alike; of repeated labels the highest counts.
     """
+    docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "toxic")
     lexicon, w, b = fit(docs, labels, limit)
     held = docs.sparkSession.sparkContext.broadcast((lexicon, w, b))
 
