@@ -172,10 +172,9 @@ class Lexicon:
 
 
 def votes(found: set[int], text: bytes, lexicon: Lexicon) -> list[int]:
-    """1 for toxic, -1 against, 0 for none. The first voter speaks against texts that no lexicon hits, the others say for or nothing."""
+    """1 for toxic, 0 for none, in the order of the lexicons and PATTERNS."""
     n = text.count(b" ") + 1
-    own = [1 if listed & found else 0 for _, listed in lexicon.voters]
-    return [0 if any(own) else -1, *own] + [1 if applies(text, n) else 0 for _, applies in PATTERNS]
+    return [1 if listed & found else 0 for _, listed in lexicon.voters] + [1 if applies(text, n) else 0 for _, applies in PATTERNS]
 
 
 def label_model(v: np.ndarray, share: float, rounds: int = 200) -> np.ndarray:
@@ -183,10 +182,10 @@ def label_model(v: np.ndarray, share: float, rounds: int = 200) -> np.ndarray:
 
     ``share`` is the known share of the label. Ends when no posterior moves, or after ``rounds``.
     """
-    # A voter that only ever speaks for the label says something by its silence, unless it rarely applies.
-    often = ~(v == -1).any(0) & ((v == 1).mean(0) > 0.02)
-    cast = np.stack([v == 1, (v == -1) | ((v == 0) & often)], 2).astype(float)
-    start = np.where(v[:, 0] == 0, np.clip((v[:, 1:] > 0).mean(1) + 0.5, 0.5, 0.95), 0.02)
+    # A voter's silence says something too, unless it rarely speaks at all.
+    often = (v == 1).mean(0) > 0.02
+    cast = np.stack([v == 1, (v == 0) & often], 2).astype(float)
+    start = np.where((v * often).any(1), np.clip(v.mean(1) + 0.5, 0.5, 0.95), 0.02)
     prior = np.clip(share, 1e-3, 0.5)
     say = np.ones(v.shape[1])
     for fitted in range(2):

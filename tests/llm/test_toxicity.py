@@ -56,14 +56,13 @@ def test_label_model_finds_accuracies():
     hit = lambda good, bad: np.where(y, r.random(4000) < good, r.random(4000) < bad).astype(int)
     one = hit(0.8, 0.02)
     v = np.stack([one, one, one, hit(0.7, 0.03), hit(0.75, 0.02), hit(0.3, 0.3)], 1)
-    v = np.concatenate((np.where(v[:, :5].any(1), 0, -1)[:, None], v), 1)
     p = tx.label_model(v, 0.15)
     # The best that knows all rates and that three voters are one.
-    known = ((one, 0.8, 0.02), (v[:, 4], 0.7, 0.03), (v[:, 5], 0.75, 0.02))
+    known = ((one, 0.8, 0.02), (v[:, 3], 0.7, 0.03), (v[:, 4], 0.75, 0.02))
     best = np.log(0.15 / 0.85) + sum(np.where(c == 1, np.log(a / b), np.log((1 - a) / (1 - b))) for c, a, b in known)
     assert ((p > 0.5) == y).mean() > ((best > 0) == y).mean() - 0.02
-    alone = (v[:, 1] == 1) & (v[:, 4:6] == 0).all(1)
-    assert p[alone].mean() < p[(v[:, 4:6] == 1).all(1)].mean()
+    alone = (one == 1) & (v[:, 3:5] == 0).all(1)
+    assert p[alone].mean() < p[(v[:, 3:5] == 1).all(1)].mean()
 
 
 def test_without_labels_or_documents(spark):
