@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -27,7 +28,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("lociweave-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g").getOrCreate()
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp")).config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     found = entries()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _TEST_ROOT: dict[str, str] = {}
+_OWNED: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -22,7 +24,7 @@ def scratch_root(spark: SparkSession) -> str:
     chosen = spark.sparkContext.getCheckpointDir()
     if chosen:
         return chosen.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     app = spark.sparkContext.applicationId
     if app not in _TEST_ROOT:
@@ -38,7 +40,35 @@ def materialize(df: DataFrame) -> DataFrame:
     files keep column pruning and row-count statistics for the readers.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_root(spark)}/lociweave/{app}/{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Folder of this application under the scratch root; removed when the application ends."""
+    app = spark.sparkContext.applicationId
+    folder = f"{scratch_root(spark)}/lociweave/{app}"
+    if folder not in _OWNED:
+        store, path = _hadoop(spark, folder)
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _OWNED.add(folder)
+    return folder
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table of ``materialize`` that no later step reads."""
+    spark = table.sparkSession
+    root = scratch_folder(spark).rpartition(":")[2].replace("//", "/")
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        if root not in folder.replace("//", "/"):
+            raise ValueError("only tables written by materialize can be discarded")
+        store, path = _hadoop(spark, folder)
+        store.delete(path, True)
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    """File system and path object of a folder, whatever store it is in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
