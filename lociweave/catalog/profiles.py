@@ -57,13 +57,16 @@ HUB = """hub AS (SELECT query_id AS id, avg(similarity) AS hub_score FROM
 SQL_HUB = f"WITH {VEC}, {HUB} SELECT v.id, round(coalesce(hub_score, 0), 6) AS hub_score FROM v LEFT JOIN hub USING (id)"
 
 
-def _evidence(spark, d):
+def _evidence(spark, d, polarity="similar"):
+    """The 20 references of most evidence among all that reach the minimum similarity."""
     v = _vectors(spark, d)
-    k = SIM.similar(v.select("id", "vec"), v.select("id", "vec"), k=20, exclude_self=True)
     hub = SIM.hub_scores(v.select("id", "vec"), 10)
     refs = v.select("id", "label").join(hub, "id").withColumn("qc_weight", (F.col("label") + 1) / 10.0)
-    cand = SIM.polarity_candidates(k.drop("rank"), "similar", 0.1)
-    return SIM.neighbour_evidence(cand, refs, 2.0, "inverse_rank"), v
+    factors = SIM.reference_factors(refs, "inverse_rank")
+    rated = v.join(factors.select(F.col("ref_id").alias("id"), (F.col("qc") * F.col("hub_factor")).alias("factor")), "id").select("id", "vec", "factor")
+    found = SIM.candidates_by_evidence(v.select("id", "vec"), rated, 20, 2.0, min_similarity=0.1, polarity=polarity, exclude_self=True)
+    e = SIM.neighbour_evidence(SIM.polarity_candidates(found, polarity, 0.1), refs, 2.0, factors=factors)
+    return SIM.neighbour_cut(e, 20, 20).drop("neighbour_rank"), v
 
 
 def knn_evidence(spark, d):
@@ -74,12 +77,48 @@ def knn_evidence(spark, d):
 
 EVID = f"""{HUB}, hr AS (SELECT v.id, (label + 1) / 10.0 AS qc, count(*) OVER () / CAST(row_number() OVER (ORDER BY coalesce(hub_score, 0), v.id) AS DOUBLE) AS hf
    FROM v LEFT JOIN hub USING (id)),
-k20 AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, ref_id) <= 20),
-evd AS (SELECT query_id, ref_id, ql, rl, similarity, similarity * similarity * qc * hf AS evidence FROM k20 JOIN hr ON ref_id = hr.id WHERE similarity >= 0.1)"""
+ev0 AS (SELECT query_id, ref_id, ql, rl, similarity, similarity * similarity * qc * hf AS evidence FROM pairs JOIN hr ON ref_id = hr.id WHERE similarity >= 0.1),
+evd AS (SELECT * FROM ev0 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY evidence DESC, ref_id) <= 20)"""
 SQL_KNN = f"""WITH {VEC}, {EVID}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY evidence DESC, ref_id) AS rk, max(evidence) OVER (PARTITION BY query_id) AS top FROM evd)
 SELECT query_id, ref_id, rk AS neighbour_rank, round(evidence, 9) AS evidence FROM r WHERE rk <= 10 AND (rk <= 3 OR evidence >= 0.25 * top)"""
 
 
+def opposite_evidence(spark, d):
+    e, _ = _evidence(spark, d, "opposite")
+    return SIM.neighbour_cut(e, 10, 3, 0.25).select("query_id", "ref_id", "neighbour_rank", r6("evidence", 9).alias("evidence"))
+
+
+SQL_OPPOSITE = SQL_KNN.replace("WHERE similarity >= 0.1", "WHERE -similarity >= 0.1")
+
+
+def high_hub_mass(spark, d):
+    e, v = _evidence(spark, d)
+    out = SIM.high_hub_mass(e, SIM.hub_scores(v.select("id", "vec"), 10))
+    return out.select("query_id", r6("high_hub_mass").alias("high_hub_mass"))
+
+
+SQL_HIGH = f"""WITH {VEC}, {EVID}, r AS (SELECT query_id, evidence, row_number() OVER (PARTITION BY query_id ORDER BY coalesce(hub_score, 0), ref_id) AS rk, count(*) OVER (PARTITION BY query_id) AS n
+  FROM evd LEFT JOIN hub ON hub.id = ref_id)
+SELECT query_id, round(sum(CASE WHEN n >= 4 AND rk > floor(0.75 * n) THEN evidence ELSE 0 END) / sum(evidence), 6) AS high_hub_mass FROM r GROUP BY 1"""
+
+
+def target_agreement(spark, d):
+    e, v = _evidence(spark, d)
+    genes = v.select(F.col("id").alias("ref_id"), F.explode(F.array(F.struct(F.concat(F.lit("G"), "label").alias("gene_id"), F.lit(0.5).alias("weight")),
+        F.struct(F.concat(F.lit("H"), F.col("label") % 4).alias("gene_id"), F.when(F.col("label") % 2 == 0, 0.5).otherwise(0.3).alias("weight"))))).select("ref_id", "col.*")
+    out = SIM.target_agreement(e, genes, 1)
+    return out.select("query_id", r6("primary_agreement").alias("primary_agreement"), r6("top_agreement").alias("top_agreement"))
+
+
+SQL_AGREE = f"""WITH {VEC}, {EVID}, g AS (SELECT id, 'G' || label AS gene, 0.5 AS w FROM v UNION ALL SELECT id, 'H' || (label % 4), CASE WHEN label % 2 = 0 THEN 0.5 ELSE 0.3 END FROM v),
+f AS (SELECT id, gene, count(*) OVER (PARTITION BY id) AS c FROM (SELECT *, max(w) OVER (PARTITION BY id) AS b FROM g) WHERE w = b),
+o AS (SELECT id, gene FROM g QUALIFY row_number() OVER (PARTITION BY id ORDER BY w DESC, gene) = 1),
+t AS (SELECT query_id, sum(evidence) AS t FROM evd GROUP BY 1),
+p AS (SELECT query_id, max(m) AS p FROM (SELECT query_id, gene, sum(evidence / c) AS m FROM evd JOIN f ON f.id = ref_id GROUP BY ALL) GROUP BY 1),
+k AS (SELECT query_id, max(m) AS k FROM (SELECT query_id, gene, sum(evidence) AS m FROM evd JOIN o ON o.id = ref_id GROUP BY ALL) GROUP BY 1)
+SELECT query_id, round(p / t, 6) AS primary_agreement, round(k / t, 6) AS top_agreement FROM t JOIN p USING (query_id) JOIN k USING (query_id)"""
+
+
 def label_vote(spark, d):
     e, v = _evidence(spark, d)
     lab = v.select(F.col("id").alias("ref_id"), F.lit("class").alias("level"), F.col("label"), F.lit(0.7).alias("weight"))
@@ -98,13 +137,13 @@ QUALIFY row_number() OVER (PARTITION BY query_id, level ORDER BY round(mass, 12)
 def target_support(spark, d):
     e, v = _evidence(spark, d)
     genes = v.select(F.col("id").alias("ref_id"), F.explode(F.array(F.concat(F.lit("G"), "label"), F.concat(F.lit("H"), F.col("label") % 4))).alias("gene_id"), F.lit(0.8).alias("weight"))
-    s = SIM.nominate_core(SIM.target_support(e, genes), min_refs=1000)
-    return s.groupBy("gene_id").agg(F.count("*").alias("n_queries"), r6(F.sum("score")).alias("score"), F.max("n_refs").alias("most_refs"))
+    s = SIM.nominate_core(SIM.target_support(e, genes), min_refs=4)
+    return s.select("query_id", "gene_id", r6("score").alias("score"), "n_refs", "core")
 
 
 SQL_SUPPORT = f"""WITH {VEC}, {EVID}, g AS (SELECT id, 'G' || label AS gene_id FROM v UNION ALL SELECT id, 'H' || (label % 4) FROM v),
-s AS (SELECT query_id, gene_id, sum(evidence * 0.5) AS score, count(DISTINCT ref_id) AS n FROM evd JOIN g ON ref_id = g.id GROUP BY ALL)
-SELECT gene_id, count(*) AS n_queries, round(sum(score), 6) AS score, max(n) AS most_refs FROM s GROUP BY 1"""
+s AS (SELECT query_id, gene_id, sum(evidence * 0.5) AS score, count(DISTINCT ref_id) AS n, max(similarity) AS b FROM evd JOIN g ON ref_id = g.id GROUP BY ALL)
+SELECT query_id, gene_id, round(score, 6) AS score, n AS n_refs, (score >= 0.8 * max(score) OVER w - 1e-12 OR n >= 4 OR b >= 0.95 * max(b) OVER w - 1e-12) AS core FROM s WINDOW w AS (PARTITION BY query_id)"""
 
 
 def consensus_profile(spark, d):
@@ -226,6 +265,9 @@ QUERIES = {
     "pearson_knn": (pearson_knn, SQL_PEARSON),
     "hub_score": (hub_score, SQL_HUB),
     "knn_evidence": (knn_evidence, SQL_KNN),
+    "opposite_evidence": (opposite_evidence, SQL_OPPOSITE),
+    "high_hub_mass": (high_hub_mass, SQL_HIGH),
+    "target_agreement": (target_agreement, SQL_AGREE),
     "label_vote": (label_vote, SQL_VOTE),
     "target_support": (target_support, SQL_SUPPORT),
     "consensus_profile": (consensus_profile, SQL_CONSENSUS),

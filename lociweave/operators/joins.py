@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on ``keys`` where null matches null, as in a group or a window; keys come first, once."""
+    renamed = other.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    rest = [c for c in df.columns if c not in keys]
+    added = [c for c in other.columns if c not in keys]
+    return df.join(renamed, on, how).select(*keys, *rest, *added)
+
+
 def attach(df: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join one summary row per key onto ``df``.
 
@@ -17,7 +26,7 @@ def attach(df: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "i
     otherwise. Without keys the summary is a single row, read as a scalar.
     """
     if keys:
-        return df.join(summary, list(keys), how)
+        return same_keys(df, summary, keys, how)
     fields = summary.columns
     one = summary.select(F.struct(*fields).alias("s")).scalar()
     out = df.withColumn("_one", one)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from lociweave.operators.joins import attach, attach_count, attach_total
 from lociweave.operators.selection import top_k
 
-BLOCK_ROWS = 2048
+#: Vectors of a block; a task multiplies two blocks, STEP_ROWS queries at a time.
+BLOCK_ROWS = 16384
+STEP_ROWS = 512
 
 
 def to_vectors(long: DataFrame, features: Sequence[str], entity: str = "id") -> DataFrame:
@@ -37,25 +39,37 @@ def unit(vec: str, pearson: bool = False) -> Column:
     return F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(F.transform(v, lambda x: x * 0.0))
 
 
-def _block_top(k: int | None, floor: float | None, exclude_self: bool):
-    """Cogrouped function over one query block and one reference block of bounded size."""
+def _kth(values: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest value of each row, as a column."""
+    return -np.partition(-values, k - 1, axis=1)[:, k - 1 : k] if values.shape[1] > k else np.full((len(values), 1), -np.inf)
+
+
+def _block_product(schema: str, keep, exclude_self: bool):
+    """Cogrouped function over one query block and one reference block; ``keep(sim, valid, queries, references)`` gives a mask."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({c: [] for c in names})
         if q.empty or r.empty:
-            return pd.DataFrame({"query_id": [], "ref_id": [], "similarity": []})
-        sim = np.stack(q["query_vec"].to_numpy()) @ np.stack(r["ref_vec"].to_numpy()).T
-        qid, rid = q["query_id"].to_numpy(), r["ref_id"].to_numpy()
-        keep = np.ones(sim.shape, dtype=bool)
-        if exclude_self:
-            keep &= qid[:, None] != rid[None, :]
-        if floor is not None:
-            keep &= sim >= floor
-        if k is not None and sim.shape[1] > k:
-            # Everything tied with the k-th value stays; the final ranking decides.
-            kth = -np.partition(-np.where(keep, sim, -np.inf), k - 1, axis=1)[:, k - 1]
-            keep &= sim >= (kth - 1e-12)[:, None]
-        i, j = np.nonzero(keep)
-        return pd.DataFrame({"query_id": qid[i], "ref_id": rid[j], "similarity": sim[i, j]})
+            return empty
+        right, rid = np.stack(r["ref_vec"].to_numpy()).T, r["ref_id"].to_numpy()
+        out = []
+        for at in range(0, len(q), STEP_ROWS):
+            part = q.iloc[at : at + STEP_ROWS]
+            qid = part["query_id"].to_numpy()
+            sim = np.stack(part["query_vec"].to_numpy()) @ right
+            valid = qid[:, None] != rid[None, :] if exclude_self else np.ones(sim.shape, dtype=bool)
+            i, j = np.nonzero(keep(sim, valid, part, r) & valid)
+            rows = {"query_id": qid[i], "ref_id": rid[j], "similarity": sim[i, j]}
+            if "n_all" in names:
+                # One further row per query counts what the block holds, kept or not.
+                n = len(qid)
+                rows = {"query_id": np.concatenate((rows["query_id"], qid)), "ref_id": pd.array([*rows["ref_id"], *[None] * n], dtype=r["ref_id"].convert_dtypes().dtype),
+                        "similarity": np.concatenate((rows["similarity"], np.zeros(n)))}
+                for name, hit in (("n_positive", sim > 0), ("n_negative", sim < 0), ("n_all", sim == sim)):
+                    rows[name] = np.concatenate((np.zeros(len(i), np.int64), (hit & valid).sum(1)))
+            out.append(pd.DataFrame(rows))
+        return pd.concat(out)
 
     return run
 
@@ -64,35 +78,76 @@ def _block(column: str, n: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
 
 
-def similar(
-    queries: DataFrame, references: DataFrame, k: int | None = None, min_similarity: float | None = None, pearson: bool = False,
-    exclude_self: bool = False,
-) -> DataFrame:
-    """Exact cosine or Pearson of all query x reference pairs, reduced to top k and/or a minimum.
-
-    Both sides (``id, vec``) are cut into blocks of about 2048 rows. A task
-    multiplies one pair of blocks and emits only what can still be in the
-    result, so pairs never exist as rows.
-    """
-    if k is None and min_similarity is None:
-        raise ValueError("give k or min_similarity")
+def _blocks(queries: DataFrame, references: DataFrame, pearson: bool, keep, exclude_self: bool, extra: Sequence[str] = (), counts: bool = False) -> DataFrame:
+    """Block products of all queries and references (``id, vec`` and the extra columns); pairs never exist as rows."""
     nq = max(1, math.ceil(queries.count() / BLOCK_ROWS))
     nr = max(1, math.ceil(references.count() / BLOCK_ROWS))
     # Both sides get columns of their own: a self-comparison must not share attributes.
     q = queries.select(F.col("id").alias("query_id"), unit("vec", pearson).alias("query_vec"))
-    r = references.select(F.col("id").alias("ref_id"), unit("vec", pearson).alias("ref_vec"))
+    r = references.select(F.col("id").alias("ref_id"), unit("vec", pearson).alias("ref_vec"), *[F.col(c).alias(c) for c in extra])
     q = q.withColumn("_qb", _block("query_id", nq)).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))))
     r = r.withColumn("_rb", _block("ref_id", nr)).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    t = queries.schema["id"].dataType.simpleString()
-    u = references.schema["id"].dataType.simpleString()
-    pairs = q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(
-        _block_top(k, min_similarity, exclude_self), f"query_id {t}, ref_id {u}, similarity double"
-    )
+    schema = f"query_id {queries.schema['id'].dataType.simpleString()}, ref_id {references.schema['id'].dataType.simpleString()}, similarity double"
+    if counts:
+        schema += ", n_positive bigint, n_negative bigint, n_all bigint"
+    return q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(_block_product(schema, keep, exclude_self), schema)
+
+
+def similar(
+    queries: DataFrame, references: DataFrame, k: int | None = None, min_similarity: float | None = None, pearson: bool = False,
+    exclude_self: bool = False,
+) -> DataFrame:
+    """Exact cosine or Pearson of all query x reference pairs, reduced to top k and/or a minimum."""
+    if k is None and min_similarity is None:
+        raise ValueError("give k or min_similarity")
+
+    def keep(sim, valid, q, r):
+        ok = valid if min_similarity is None else valid & (sim >= min_similarity)
+        # Everything tied with the k-th value stays; the final ranking decides.
+        return ok if k is None else ok & (sim >= _kth(np.where(ok, sim, -np.inf), k) - 1e-12)
+
+    pairs = _blocks(queries, references, pearson, keep, exclude_self)
     if k is None:
         return pairs
     return top_k(pairs, ["query_id"], k, [F.col("similarity").desc(), F.col("ref_id").asc()])
 
 
+def candidates_by_evidence(
+    queries: DataFrame, references: DataFrame, k: int, power: float = 1.0, least_factor: float = 1.0, min_similarity: float = 0.0, polarity: str = "similar",
+    pearson: bool = False, exclude_self: bool = False, leading: int = 0, near_best: float | None = None, counts: bool = False,
+) -> DataFrame:
+    """Pairs that can be among the ``k`` of a query with the most evidence, strength^power x the reference's ``factor``.
+
+    ``references`` has id, vec and factor. Later steps may damp a pair's
+    evidence down to ``least_factor`` of it: a pair stays if its evidence
+    reaches the k-th largest of the damped ones, so the later cut is exact.
+    Also kept are the ``leading`` most similar of each modality and those within
+    ``near_best`` of the best similarity, if asked. With ``counts`` a row without
+    ref_id per query and block counts positive, negative and all pairs.
+    """
+    has_modality = "modality" in references.columns
+
+    def keep(sim, valid, q, r):
+        strength = sim if polarity == "similar" else -sim
+        ok = valid & (strength > 0) & (strength >= min_similarity)
+        e = np.where(ok, np.power(np.maximum(strength, 0), power) * r["factor"].to_numpy(float)[None, :], -np.inf)
+        # A factor below one in the damped evidence: compare the undamped with the damped k-th.
+        floor = _kth(np.where(ok, e * least_factor, -np.inf), k)
+        mask = ok & (e >= floor - 1e-12 * np.abs(floor))
+        s = np.where(ok, strength, -np.inf)
+        if leading:
+            kinds = r["modality"].astype(object).to_numpy() if has_modality else np.zeros(len(r))
+            for kind in set(kinds):
+                of = np.where((kinds == kind)[None, :], s, -np.inf)
+                mask |= ok & (of > -np.inf) & (of >= _kth(of, leading) - 1e-12)
+        if near_best is not None:
+            mask |= ok & (s >= near_best * s.max(axis=1, keepdims=True) - 1e-12)
+        return mask
+
+    extra = ["factor", "modality"] if has_modality else ["factor"]
+    return _blocks(queries, references, pearson, keep, exclude_self, extra, counts=counts)
+
+
 def hub_scores(profiles: DataFrame, k: int = 10) -> DataFrame:
     """Mean of the k largest positive cosines to other profiles; 0 without any."""
     near = similar(profiles, profiles, k=k, exclude_self=True).filter("similarity > 0")
@@ -118,18 +173,23 @@ def remove_nuisance_axes(vectors: DataFrame, controls: DataFrame, n_axes: int =
     """Centre on the controls and project out their leading principal axes.
 
     Axes come from Spark's distributed PCA (a feature x feature matrix). With
-    fewer than ``min_controls`` controls only the centring is applied.
+    fewer than ``min_controls`` controls only the centring is applied; without
+    any the vectors stay as they are.
     """
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector
 
-    size = len(controls.first()["vec"])
-    means = controls.agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(size)]).alias("m")).first()["m"]
-    mean = F.array(*[F.lit(float(x)) for x in means])
-    centred = vectors.withColumn("vec", F.zip_with("vec", mean, lambda x, m: x - m))
+    width = controls.agg(F.max(F.size("vec"))).first()[0]
+    if width is None:
+        return vectors
+    # One row of feature means; it stays in Spark.
+    means = controls.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("m"))
+    # A subquery must be a column before a lambda can read it.
+    centre = lambda df: df.withColumn("_m", means.scalar()).withColumn("vec", F.zip_with("vec", "_m", lambda x, m: x - m)).drop("_m")
+    centred = centre(vectors)
     if controls.count() < min_controls:
         return centred
-    c = controls.select(array_to_vector(F.zip_with("vec", mean, lambda x, m: x - m)).alias("v"))
+    c = centre(controls).select(array_to_vector("vec").alias("v"))
     axes = PCA(k=n_axes, inputCol="v", outputCol="p").fit(c).pc.toArray().T
     out = centred
     for axis in axes:
@@ -146,8 +206,8 @@ def polarity_candidates(pairs: DataFrame, polarity: str = "similar", min_similar
     return pairs.withColumn("strength", s).filter((F.col("strength") > 0) & (F.col("strength") >= min_similarity))
 
 
-def neighbour_evidence(candidates: DataFrame, refs: DataFrame, power: float = 1.0, hub_mode: str = "none") -> DataFrame:
-    """strength^power x qc x hub factor; hub none, inverse_linear 1/max(1e-6, hub) or inverse_rank n/rank.
+def reference_factors(refs: DataFrame, hub_mode: str = "none") -> DataFrame:
+    """(ref_id, qc, hub_factor): hub none, inverse_linear 1/max(1e-6, hub) or inverse_rank n/rank.
 
     Ranks run from the least to the most connected reference; one without a hub score keeps factor 1.
     """
@@ -164,8 +224,12 @@ def neighbour_evidence(candidates: DataFrame, refs: DataFrame, power: float = 1.
         hub = F.lit(1.0)
     else:
         raise ValueError(f"unknown hub mode {hub_mode!r}")
-    r = r.select("ref_id", "qc", hub.alias("hub_factor"))
-    j = candidates.join(r, "ref_id")
+    return r.select("ref_id", "qc", hub.alias("hub_factor"))
+
+
+def neighbour_evidence(candidates: DataFrame, refs: DataFrame, power: float = 1.0, hub_mode: str = "none", factors: DataFrame | None = None) -> DataFrame:
+    """strength^power x qc x hub factor; ``factors`` are those of ``reference_factors`` where they are known already."""
+    j = candidates.join(reference_factors(refs, hub_mode) if factors is None else factors, "ref_id")
     return j.withColumn("evidence", F.pow("strength", F.lit(power)) * F.col("qc") * F.col("hub_factor"))
 
 
@@ -370,27 +434,56 @@ def query_modality(members: DataFrame) -> DataFrame:
     )
 
 
-def confidence_tiers(neighbours: DataFrame, weights: DataFrame, all_pairs: DataFrame, refs: DataFrame) -> DataFrame:
+def high_hub_mass(neighbours: DataFrame, refs: DataFrame) -> DataFrame:
+    """Share of evidence in the quarter of a query's neighbours with the largest hub scores.
+
+    Only neighbours with evidence and a hub score count; fewer than four give 0.
+    """
+    from lociweave.operators.sliced import ranked
+
+    known = neighbours.filter("evidence > 0").join(refs.filter("hub_score is not null").select(F.col("id").alias("ref_id"), F.col("hub_score").alias("_h")), "ref_id")
+    placed = ranked(known, ["query_id"], [F.col("_h").asc(), F.col("ref_id").asc()], "_r", count="_n")
+    high = (F.col("_n") >= 4) & (F.col("_r") > F.floor(0.75 * F.col("_n")))
+    return placed.groupBy("query_id").agg((F.sum(F.when(high, F.col("evidence")).otherwise(0.0)) / F.sum("evidence")).alias("high_hub_mass"))
+
+
+def target_agreement(neighbours: DataFrame, ref_genes: DataFrame, k: int = 3) -> DataFrame:
+    """Per query the largest mass of one primary target, and the mass of the ``k`` largest targets, among mapped neighbours.
+
+    A reference's evidence goes in equal parts to its heaviest targets for the
+    first, by weight to its ``k`` heaviest for the second.
+    """
+    n = neighbours.filter("evidence > 0").select("query_id", "ref_id", "evidence")
+    best = ref_genes.groupBy("ref_id").agg(F.max("weight").alias("_b"))
+    first = attach_count(attach(ref_genes, best, ["ref_id"]).filter("weight = _b").select("ref_id", "gene_id"), ["ref_id"], "_c")
+    some = attach_total(top_k(ref_genes, ["ref_id"], k, [F.col("weight").desc(), F.col("gene_id").asc()], "_g"), ["ref_id"], "weight", "_w")
+    total = n.join(best, "ref_id").groupBy("query_id").agg(F.sum("evidence").alias("_t"))
+    primary = n.join(first, "ref_id").groupBy("query_id", "gene_id").agg(F.sum(F.col("evidence") / F.col("_c")).alias("_m"))
+    mass = n.join(some, "ref_id").groupBy("query_id", "gene_id").agg(F.sum(F.col("evidence") * F.col("weight") / F.col("_w")).alias("_m"))
+    top = top_k(mass, ["query_id"], k, [F.col("_m").desc(), F.col("gene_id").asc()], "_g")
+    j = total.join(primary.groupBy("query_id").agg(F.max("_m").alias("_p")), "query_id").join(top.groupBy("query_id").agg(F.sum("_m").alias("_k")), "query_id")
+    return j.select("query_id", (F.col("_p") / F.col("_t")).alias("primary_agreement"), (F.col("_k") / F.col("_t")).alias("top_agreement"))
+
+
+def confidence_tiers(neighbours: DataFrame, weights: DataFrame, counts: DataFrame, refs: DataFrame, scores: DataFrame, ref_genes: DataFrame) -> DataFrame:
     """Retrieval and specificity tiers per query.
 
-    ``weights`` are the selected (query_id, gene_id, weight, score, rank) rows,
-    ``all_pairs`` the candidate similarities and ``refs`` the hub scores.
+    ``weights`` are the selected (query_id, gene_id, weight, rank) rows,
+    ``scores`` all (query_id, gene_id, score), ``counts`` the (query_id,
+    n_positive, n_negative, n_all) of all candidate similarities, ``refs`` the
+    hub scores and ``ref_genes`` the targets of the references.
     """
-    r = all_pairs.groupBy("query_id").agg(
-        F.count_if(F.col("similarity") > 0).alias("n_positive"), F.avg((F.col("similarity") < 0).cast("double")).alias("negative_fraction")
-    )
+    r = counts.groupBy("query_id").agg(F.sum("n_positive").alias("n_positive"), (F.sum("n_negative") / F.sum("n_all")).alias("negative_fraction"))
     retrieval = F.when((F.col("n_positive") >= 10) & (F.col("negative_fraction") < 0.4), "high").when(
         (F.col("n_positive") >= 5) & (F.col("negative_fraction") < 0.7), "medium").otherwise("low")
-    cut = refs.agg(F.percentile_approx("hub_score", F.lit(0.75), F.lit(10000)).alias("_q")).scalar()
-    hub = neighbours.join(refs.select(F.col("id").alias("ref_id"), F.col("hub_score").alias("_h")), "ref_id")
-    h = hub.groupBy("query_id").agg((F.sum(F.when(F.col("_h") >= cut, F.col("evidence")).otherwise(0.0)) / F.sum("evidence")).alias("high_hub_mass"))
-    g = weights.groupBy("query_id").agg(
-        F.sum(F.when(F.col("rank") <= 10, F.col("weight")).otherwise(0.0)).alias("top10_mass"), (F.max("score") / F.sum("score")).alias("top_gene_share")
-    )
-    j = r.join(g, "query_id", "left").join(h, "query_id", "left")
-    strong, agree = F.coalesce(F.col("top10_mass") >= 0.65, F.lit(False)), F.coalesce(F.col("top_gene_share") >= 0.25, F.lit(False))
+    g = weights.groupBy("query_id").agg(F.sum(F.when(F.col("rank") <= 10, F.col("weight")).otherwise(0.0)).alias("top10_mass"))
+    c = scores.groupBy("query_id").agg((F.max("score") / F.sum("score")).alias("top_gene_share"))
+    j = r.join(g, "query_id", "left").join(c, "query_id", "left").join(high_hub_mass(neighbours, refs), "query_id", "left").join(target_agreement(neighbours, ref_genes), "query_id", "left")
+    at_least = lambda column, bound: F.coalesce(F.col(column) >= bound, F.lit(False))
+    strong = at_least("top10_mass", 0.65)
+    agree = at_least("top_gene_share", 0.25) | at_least("primary_agreement", 0.35) | at_least("top_agreement", 0.5)
     hubs = F.coalesce("high_hub_mass", F.lit(0.0))
-    specific = F.when(strong & agree & (hubs <= 0.5), "high").when((strong | agree) & (hubs <= 0.75), "medium").otherwise("low")
+    specific = F.when(F.col("top10_mass").isNull(), "low").when(strong & agree & (hubs <= 0.5), "high").when((strong | agree) & (hubs <= 0.75), "medium").otherwise("low")
     return j.withColumn("retrieval", retrieval).withColumn("specificity", specific)
 
 

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lociweave.operators.joins import same_keys
 from lociweave.session import materialize
 
 SLICE, POS = "_slice", "_pos"
@@ -49,7 +50,7 @@ def _within(keys: Sequence[str], descending: bool = False) -> Window:
 
 
 def _join_slices(sliced: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return sliced.join(summary, [*keys, SLICE])
+    return same_keys(sliced, summary, [*keys, SLICE])
 
 
 def ranked(

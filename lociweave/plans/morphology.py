@@ -16,8 +16,8 @@ def modality(x) -> Column:
     """Normalised perturbation type."""
     t = F.lower(F.trim(F.col(x) if isinstance(x, str) else x))
     # Spellings of perturbation types.
-    return F.when(t.isin("compound", "trt_cp", "drug", "small_molecule"), "compound").when(
-        t.isin("orf", "overexpression", "trt_oe"), "orf").when(t.isin("crispr", "trt_xpr", "knockout", "ko"), "crispr").otherwise(t)
+    return F.when(t.isin("compound", "cmpd", "small_molecule"), "compound").when(t.isin("orf", "overexpression"), "orf").when(
+        t.isin("crispr", "crispra", "crispri", "knockout"), "crispr").otherwise(t)
 
 
 def reference_genes(metadata: DataFrame, compound_targets: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def morphology_profile_query(
     queries: DataFrame, references: DataFrame, metadata: DataFrame, compound_targets: DataFrame, query_members: DataFrame | None = None,
     stats: DataFrame | None = None, controls: str = "mean_center", metric: str = "cosine", polarity: str = "similar", mode: str = "direct_target",
     gene_labels: DataFrame | None = None, max_neighbours: int = 20, min_similarity: float = 0.0, power: float = 1.0, hub_mode: str = "inverse_rank",
-    cross_penalty: float = 0.35, min_effective: int = 5, drop_ratio: float = 0.25, pool: int = 250, mutual: bool = False, select: dict | None = None,
+    cross_penalty: float = 0.35, min_effective: int = 5, drop_ratio: float = 0.25, mutual: bool = False, select: dict | None = None,
 ) -> dict[str, DataFrame]:
     """Query profiles to genes by direct targets, mechanism or their merge.
 
@@ -57,22 +57,32 @@ def morphology_profile_query(
     id, modality, gene_symbol, compound_id, is_control, qc_weight, hub_score.
     Controls calibrate both sides and leave the reference, and so do query ids.
     """
+    metadata = metadata.withColumn("modality", modality("modality"))
     q, r, names = align(queries, references, stats)
     ctrl = metadata.filter("is_control").select("id")
     if controls == "mean_center":
         base = r.join(ctrl, "id", "left_semi")
         q, r = SIM.mean_centre(q, base), SIM.mean_centre(r, base)
+    # Controls in the units of the vectors that they calibrate.
+    cv = SIM.to_vectors(r.join(ctrl, "id", "left_semi"), names)
     r = r.join(ctrl, "id", "left_anti").join(q.select("id").distinct(), "id", "left_anti")
     qv, rv = SIM.to_vectors(q, names), SIM.to_vectors(r, names)
     if controls == "remove_axes":
-        cv = SIM.to_vectors(references.join(ctrl, "id", "left_semi"), names)
         qv, rv = SIM.remove_nuisance_axes(qv, cv), SIM.remove_nuisance_axes(rv, cv)
+    factors = materialize(SIM.reference_factors(metadata.join(ctrl, "id", "left_anti"), hub_mode))
+    kinds = metadata.select(F.col("id").alias("ref_id"), "modality")
+    rated = rv.join(factors.join(kinds, "ref_id").select(F.col("ref_id").alias("id"), (F.col("qc") * F.col("hub_factor")).alias("factor"), "modality"), "id")
+    # Cross-modality and mutual damping can only lower evidence, and by no more than this.
+    least = min(cross_penalty, 1.0) * (0.5 if mutual else 1.0)
+    found = materialize(SIM.candidates_by_evidence(
+        qv, rated, max_neighbours, power, least, min_similarity, polarity, metric == "pearson", leading=max(max_neighbours, 5), near_best=0.9, counts=True))
+    counts = found.filter("ref_id is null")
+    cand = SIM.polarity_candidates(found.filter("ref_id is not null").select("query_id", "ref_id", "similarity"), polarity, min_similarity)
     if polarity == "opposite":
-        qv = qv.withColumn("vec", F.transform("vec", lambda x: -x))
-    pairs = materialize(SIM.similar(qv, rv, k=max(pool, max_neighbours), pearson=metric == "pearson").drop("rank"))
-    cand = SIM.polarity_candidates(pairs, "similar", min_similarity)
-    e = SIM.neighbour_evidence(cand, metadata.join(ctrl, "id", "left_anti"), power, hub_mode)
-    e = e.join(metadata.select(F.col("id").alias("ref_id"), "modality"), "ref_id")
+        cand = cand.withColumn("similarity", F.col("strength"))
+        counts = counts.withColumnsRenamed({"n_positive": "n_negative", "n_negative": "n_positive"})
+    e = SIM.neighbour_evidence(cand, metadata, power, hub_mode, factors)
+    e = e.join(kinds, "ref_id")
     if query_members is not None:
         e = e.join(SIM.query_modality(query_members), "query_id", "left")
     else:
@@ -96,8 +106,7 @@ def morphology_profile_query(
     if gene_labels is not None:
         lab = genes.join(gene_labels, "gene_id").select("ref_id", "level", "label", "weight")
         out["votes"] = SIM.label_vote(kept, lab)
-    hubs = metadata.select("id", F.coalesce("hub_score", F.lit(0.0)).alias("hub_score"))
-    out["confidence"] = SIM.confidence_tiers(kept, picked, pairs, hubs)
+    out["confidence"] = SIM.confidence_tiers(kept, picked, counts, metadata.select("id", "hub_score"), scores, genes)
     return out
 
 
