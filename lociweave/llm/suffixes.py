@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.llm.common import SLICE_BYTES, body, col, slices, table
-from lociweave.session import materialize
+from lociweave.session import discard, materialize
 
 LENGTH = 100
 GRAM = 24
@@ -232,18 +232,23 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one.view(np.int64), two.view(np.int64), did, at << RUN_BITS | mark)], names=["one", "two", "did", "run"])
 
     with shuffles_removed(texts.sparkSession):
-        places = texts.mapInArrow(sample, "bucket long, segment long, did long, run long")
-        shared = places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-        places = materialize(places.join(shared.hint("shuffle_hash"), "bucket", "left_semi"))
+        all_places = texts.mapInArrow(sample, "bucket long, segment long, did long, run long")
+        # Counts are written before they are joined: the join then deals both sides itself and can split a hot bucket.
+        shared = materialize(all_places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
+        places = materialize(all_places.join(shared.hint("shuffle_hash"), "bucket", "left_semi"))
+        discard(shared)
         ranks = materialize(places.groupBy("bucket", "segment").agg(F.min(F.struct("did", "run")).alias("first")))
-        mixed = ranks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
         long_ties = materialize(places.join(ranks, ["bucket", "segment"]).filter(later()).select("did", "run"))
-        open_runs = ranks.join(mixed, "bucket", "left_semi").select("first.*")
+        discard(places)
+        mixed = materialize(ranks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
+        open_runs = materialize(ranks.join(mixed.hint("shuffle_hash"), "bucket", "left_semi").select("first.*"))
+        discard(ranks)
         open_runs = with_tag(open_runs).groupBy("did", "tag").agg(F.collect_list("run").alias("runs"))
         tagged = texts.withColumn("tag", own_tag())
         short = materialize(tagged.join(open_runs.hint("shuffle_hash"), ["did", "tag"]).mapInArrow(compare, "one long, two long, did long, run long"))
-        seen = short.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("did", "run")).alias("first")).filter("n > 1").drop("n")
-        short_ties = short.join(seen, ["one", "two"]).filter(later()).select("did", "run")
+        seen = materialize(short.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("did", "run")).alias("first")).filter("n > 1").drop("n"))
+        short_ties = materialize(short.join(seen.hint("shuffle_hash"), ["one", "two"]).filter(later()).select("did", "run"))
+        discard(short)
         return materialize(with_tag(long_ties.unionByName(short_ties)).groupBy("did", "tag").agg(F.collect_list("run").alias("runs")))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 import uuid
 
 from lociweave.llm.common import body, col, slices, table
-from lociweave.session import materialize, scratch_root
+from lociweave.session import materialize, scratch_folder
 
 #: Payloads below this many bytes are never revisits.
 MIN_REVISIT_BYTES = 100
@@ -220,8 +220,8 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
 
 
 def archive_folder(spark: SparkSession) -> str:
-    root = scratch_root(spark)
-    return f"{root if '://' in root or root.startswith('file:') else 'file://' + root}/lociweave/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
+    root = scratch_folder(spark)
+    return f"{root if ':' in root.split('/')[0] else 'file://' + root}/warc-{uuid.uuid4().hex}"
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

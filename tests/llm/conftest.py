@@ -6,15 +6,6 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 
 
-@pytest.fixture(scope="session", autouse=True)
-def checkpoints(spark, tmp_path_factory):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    if before is None:
-        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
-    yield
-
-
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
