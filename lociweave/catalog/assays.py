@@ -147,18 +147,22 @@ def rna_de_prepare(spark, d):
     """Counts = quantity per (supplier, brand), groups by supplier nation; every group against the rest, BH per contrast."""
     counts = part_features(spark, d).groupBy(F.col("l_suppkey").alias("sample_id"), F.col("p_brand").alias("gene_id")).agg(F.sum("l_quantity").alias("value"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"), F.concat(F.lit("g"), F.col("s_nationkey") % 3).alias("condition"), (F.col("s_acctbal") / 1000).alias("age"))
-    de, _ = EX.rna_de_prepare(counts, s, C.level_contrasts(s, "group_vs_rest", "condition"), ["age"], low_expression_filter=False)
+    de, _ = EX.rna_de_prepare(counts, s, C.level_contrasts(s, "group_vs_rest", "condition"), ["age"])
     return de.select("comparison_id", "gene_id", r6("logfc", 7).alias("logfc"), r6("stat", 5).alias("stat"))
 
 
 # Frisch-Waugh: residuals of y and of the group indicator on (1, age) give the group coefficient.
 SQL_DEPREP = """WITH counts AS (SELECT l_suppkey AS sample_id, p_brand AS gene_id, sum(l_quantity) AS value FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
-y AS (SELECT sample_id, gene_id, log2(value / sum(value) OVER (PARTITION BY sample_id) * 1e6 + 0.5) AS y FROM counts),
 s AS (SELECT s_suppkey AS sample_id, 'g' || (s_nationkey % 3) AS grp, s_acctbal / 1000 AS age FROM supplier),
 g AS (SELECT DISTINCT grp FROM s),
+cp AS (SELECT c.*, grp, value / sum(value) OVER (PARTITION BY sample_id) * 1e6 AS cpm FROM counts c JOIN s USING (sample_id)),
+need AS (SELECT g.grp, greatest(2, least(count(*) FILTER (s.grp = g.grp), count(*) FILTER (s.grp <> g.grp))) AS need FROM s, g GROUP BY 1),
+expr AS (SELECT g.grp, gene_id FROM cp, g, need WHERE need.grp = g.grp AND cpm >= 1 GROUP BY g.grp, gene_id
+  HAVING greatest(count(*) FILTER (cp.grp = g.grp), count(*) FILTER (cp.grp <> g.grp)) >= any_value(need)),
+yk AS (SELECT expr.grp, sample_id, gene_id, log2(value / sum(value) OVER (PARTITION BY expr.grp, sample_id) * 1e6 + 0.5) AS y FROM counts JOIN expr USING (gene_id)),
 d AS (SELECT g.grp, s.sample_id, CASE WHEN s.grp = g.grp THEN 1.0 ELSE 0.0 END AS x, age FROM s, g),
 dx AS (SELECT *, x - avg(x) OVER w - (covar_pop(x, age) OVER w / var_pop(age) OVER w) * (age - avg(age) OVER w) AS xr, count(*) OVER w AS n FROM d WINDOW w AS (PARTITION BY grp)),
-j AS (SELECT dx.grp, gene_id, dx.sample_id, xr, age, y, n FROM dx JOIN y USING (sample_id)),
+j AS (SELECT dx.grp, gene_id, dx.sample_id, xr, age, y, n FROM dx JOIN yk ON yk.grp = dx.grp AND yk.sample_id = dx.sample_id),
 k AS (SELECT grp, gene_id, any_value(n) AS n, sum(xr * y) / sum(xr * xr) AS b, sum(xr * xr) AS sxx, var_pop(y) * count(*) - (covar_pop(y, age) * count(*)) * (covar_pop(y, age) * count(*)) / (var_pop(age) * count(*)) AS ryy FROM j GROUP BY ALL)
 SELECT grp || '_vs_rest' AS comparison_id, gene_id, round(b, 7) AS logfc, round(b / sqrt((ryy - b * b * sxx) / (n - 3) / sxx), 5) AS stat FROM k"""
 

@@ -198,11 +198,11 @@ def expressed_genes(spark, d):
     )
     s = _samples(spark, d).filter("condition <> 'other'")
     m = s.select(F.lit("case_vs_control").alias("comparison_id"), F.when(F.col("condition") == "case", "a").otherwise("b").alias("arm"), "sample_id")
-    return ST.expressed_genes(counts.filter("value > 300"), m)
+    return ST.expressed_genes(counts, m)
 
 
 SQL_EXPRESSED = f"""WITH {SM}, counts AS (SELECT l_suppkey AS sample_id, p_brand AS gene_id, sum(l_quantity) AS value
-  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL HAVING sum(l_quantity) > 300),
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
 logs AS (SELECT *, value / sum(value) OVER (PARTITION BY sample_id) * 1e6 AS cpm FROM counts),
 m AS (SELECT CASE condition WHEN 'case' THEN 'a' ELSE 'b' END AS arm, sample_id FROM samples WHERE condition <> 'other'),
 need AS (SELECT greatest(2, least(count(*) FILTER (arm = 'a'), count(*) FILTER (arm = 'b'))) AS n FROM m),

@@ -127,7 +127,7 @@ FROM prog JOIN edges e USING (drug_id) JOIN u USING (drug_id) JOIN gw ON gw.gene
 def sparse_deconvolution(spark, d):
     prog = SC.group_programs(_z(spark, d), _groups(spark, d), "group_vs_rest")
     e = SC.weighted_edges(_edges(spark, d), None, None)
-    out = SC.sparse_deconvolution(prog, e, alpha=0.001, iterations=8)
+    out = SC.sparse_deconvolution(prog, e, alpha=0.001)
     return out.select("program", "gene_id", r6("score", 4).alias("score"))
 
 
@@ -311,19 +311,19 @@ SELECT t AS gene_id, round(sum(score / CAST(n AS DOUBLE)), 4) AS score FROM s JO
 
 def _freq(spark, d):
     p = part_features(spark, d)
-    f = p.filter("l_quantity > 48").groupBy("p_brand").agg(F.countDistinct("l_suppkey").alias("df"))
+    f = p.groupBy("p_partkey").agg(F.countDistinct("l_suppkey").alias("df"))
     n = table(spark, d, "supplier").agg(F.count("*").alias("n")).scalar()
     return f.withColumn("n", n)
 
 
 def _idf(fn):
-    return lambda spark, d: _freq(spark, d).select("p_brand", "df", r6(fn("df", "n"), 9).alias("idf"))
+    return lambda spark, d: _freq(spark, d).select("p_partkey", "df", r6(fn("df", "n"), 9).alias("idf"))
 
 
 def _idf_sql(expr):
-    return f"""WITH f AS (SELECT p_brand, count(DISTINCT l_suppkey) AS df, (SELECT count(*) FROM supplier) AS n
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 48 GROUP BY 1)
-SELECT p_brand, df, round({expr}, 9) AS idf FROM f"""
+    return f"""WITH f AS (SELECT p_partkey, count(DISTINCT l_suppkey) AS df, (SELECT count(*) FROM supplier) AS n
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
+SELECT p_partkey, df, round({expr}, 9) AS idf FROM f"""
 
 
 # --- sampling ---------------------------------------------------------------------------------
@@ -350,14 +350,14 @@ SELECT comparison_id, arm, min(n) OVER (PARTITION BY comparison_id) AS n FROM m"
 
 def fixpoint_filter(spark, d):
     e = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("cell_id"), F.col("l_partkey").alias("gene_id"), F.col("l_quantity").alias("value"))
-    out = SA.fixpoint_filter(e, 60.0, 650.0, rounds=3)
+    out = SA.fixpoint_filter(e, 30.0, 650.0)
     return out.groupBy("gene_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
 def _fix_sql(rounds):
     ctes, prev = ["e0 AS (SELECT l_orderkey AS c, l_partkey AS g, l_quantity AS v FROM lineitem WHERE l_quantity <> 0)"], "e0"
     for i in range(1, rounds + 1):
-        ctes.append(f"a{i} AS (SELECT * FROM {prev} WHERE c IN (SELECT c FROM {prev} GROUP BY c HAVING sum(v) >= 60))")
+        ctes.append(f"a{i} AS (SELECT * FROM {prev} WHERE c IN (SELECT c FROM {prev} GROUP BY c HAVING sum(v) >= 30))")
         ctes.append(f"e{i} AS (SELECT * FROM a{i} WHERE g IN (SELECT g FROM a{i} GROUP BY g HAVING sum(v) >= 650))")
         prev = f"e{i}"
     return f"WITH {', '.join(ctes)} SELECT g AS gene_id, count(*) AS n, sum(v) AS total FROM {prev} GROUP BY g"
@@ -405,6 +405,6 @@ QUERIES = {
     "idf_gene_recurrence": (_idf(idf.gene_recurrence_idf), _idf_sql("ln((n + 1.0) / (df + 1.0)) / ln(n + 1.0)")),
     "hash_rank_sample": (hash_rank_sample, SQL_SAMPLE),
     "balance_arms": (balance_arms, SQL_BALANCE),
-    "fixpoint_filter": (fixpoint_filter, _fix_sql(3)),
+    "fixpoint_filter": (fixpoint_filter, _fix_sql(6)),
     "select_k_stability": (select_k_stability, SQL_SELECTK),
 }

@@ -253,22 +253,22 @@ def read_dmr(spark: SparkSession, path: str) -> DataFrame:
     return d.withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long")).filter("chrom is not null and end > start")
 
 
-def read_profiles(spark: SparkSession, path: str, id_column: str = "sample_id", metadata_prefix: str = "Metadata_", probe_rows: int = 50) -> DataFrame:
+def read_profiles(spark: SparkSession, path: str, id_column: str = "sample_id", metadata_prefix: str = "Metadata_") -> DataFrame:
     """Profile table (TSV, CSV or Parquet) to (id, feature, value).
 
-    Columns with the metadata prefix are left out, and so are columns without a
-    number in the first rows; the probe reads those rows only to type columns.
+    Columns with the metadata prefix are left out. Rows that hold no number drop
+    out, and with them columns without any, wherever their first number stands.
     """
     if path.endswith(".parquet"):
         t = spark.read.parquet(path)
     else:
         t = read_table(spark, path, "," if path.endswith((".csv", ".csv.gz")) else "\t")
     cand = [c for c in t.columns if c not in (id_column, "row_ordinal") and not c.startswith(metadata_prefix)]
-    probe = t.select(*[S.soft_double(F.col(f"`{c}`")).alias(c.replace(".", "_")) for c in cand]).limit(probe_rows)
-    numeric = parseable(probe, [c.replace(".", "_") for c in cand])
-    keep = [c for c in cand if numeric[c.replace(".", "_")]]
-    typed = t.select(F.col(id_column).cast("string").alias("id"), *[S.soft_double(F.col(f"`{c}`")).alias(c) for c in keep])
-    return typed.unpivot(["id"], [F.col(f"`{c}`") for c in keep], "feature", "value").filter("value is not null")
+    if not cand:
+        return t.select(F.col(id_column).cast("string").alias("id"), F.lit("").alias("feature"), F.lit(0.0).alias("value")).limit(0)
+    # Pairs of name and value, so that names with dots or underscores stay what they are.
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), S.soft_double(F.col(f"`{c}`")).alias("value")) for c in cand])
+    return t.select(F.col(id_column).cast("string").alias("id"), F.inline(pairs)).filter("value is not null")
 
 
 def assay_multiplier(columns: Sequence[str]) -> Column:
@@ -382,9 +382,9 @@ def read_session(spark: SparkSession, path: str) -> DataFrame:
         return base.withColumn("group", label).drop(*wide).filter("subject_id is not null")
     # Wide layout: column groupN lists member ids; the N-th non-blank group_names entry is its label.
     members = t.unpivot([], [F.col(w) for w in wide], "_g", "subject_id").filter(S.clean("subject_id").isNotNull())
-    from lociweave.operators.selection import top_k
+    from lociweave.operators.sliced import ranked
 
-    labels = top_k(t.filter(S.clean("group_names").isNotNull()).select("group_names", "row_ordinal"), [], 99, [F.col("row_ordinal").asc()], "_n")
+    labels = ranked(t.filter(S.clean("group_names").isNotNull()).select("group_names", "row_ordinal"), [], [F.col("row_ordinal").asc()], "_n")
     m = members.select(S.clean("subject_id").alias("subject_id"), F.regexp_extract("_g", r"(\d+)$", 1).cast("long").alias("_n"))
     named = m.join(labels.select("_n", F.trim("group_names").alias("group")), "_n", "left").select("subject_id", F.coalesce("group", F.concat(F.lit("group"), "_n")).alias("group"))
     return base.drop(*wide).filter("subject_id is not null").join(named.dropDuplicates(["subject_id"]), "subject_id", "left")

@@ -17,7 +17,7 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
     lines = read_lines(spark, path).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
     return lines.withColumn("f", f).filter(F.size("f") >= 3).select(
         F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("start"), F.col("f")[2].cast("long").alias("end"),
-        F.slice("f", 4, 64).alias("columns"), "row_ordinal",
+        F.slice(F.col("f"), F.lit(4), F.size("f")).alias("columns"), "row_ordinal",
     )
 
 
