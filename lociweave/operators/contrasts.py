@@ -197,14 +197,12 @@ def arm_moments(values: DataFrame, samples: DataFrame, contrasts: DataFrame, fea
         F.count("*").alias("_n"), F.avg(value).alias("_m"), (F.var_pop(value) * F.count("*")).alias("_q")
     )
     m = per.join(contrasts, levels)
-    merged = m.groupBy("contrast_id", feature, "arm").agg(
-        F.sum("_n").alias("n"),
-        (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("mean"),
-        F.sum("_q").alias("_within"),
-        F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("_raw"),
-    )
-    between = F.greatest(F.lit(0.0), F.col("_raw") - F.col("n") * F.col("mean") * F.col("mean"))
-    return merged.withColumn("m2", F.col("_within") + between).drop("_within", "_raw")
+    by = ["contrast_id", feature, "arm"]
+    means = m.groupBy(*by).agg(F.sum("_n").alias("n"), (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("mean"))
+    # Deviations are taken from the mean before they are squared: sums of squares of large values would cancel.
+    off = F.col("_m") - F.col("mean")
+    m2 = attach(m, means, by).groupBy(*by).agg(F.max("n").alias("n"), F.max("mean").alias("mean"), F.sum(F.col("_q") + F.col("_n") * off * off).alias("m2"))
+    return m2
 
 
 def two_arm_statistic(moments: DataFrame, feature: str = "feature_id", stat: str = "welch_t", min_present: int = 2) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociweave.operators.joins import attach
+
 from lociweave.functions import scalars as S
 
 
@@ -142,3 +144,16 @@ def records_to_gene(
     if mode in ("sum", "mean"):
         return df.groupBy(*by).agg((F.sum if mode == "sum" else F.avg)(score).alias("score"))
     raise ValueError(f"unknown gene aggregation {mode!r}")
+
+
+def with_presence(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Adds ``_has_<column>``: whether the row's comparison holds any value there. A column that is missing counts as empty."""
+    there = [c for c in columns if c in df.columns]
+    out = df
+    if there:
+        out = attach(df, df.groupBy(*keys).agg(*[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in there]), keys)
+    for c in columns:
+        if c not in there:
+            out = out.withColumn(f"_has_{c}", F.lit(False))
+            out = out.withColumn(c, F.lit(None).cast("double"))
+    return out

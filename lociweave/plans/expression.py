@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
 from lociweave.session import materialize
-from lociweave.sources.tables import parseable
+from lociweave.operators.scoring import with_presence
 
 
 def filter_rows(de: DataFrame, padj_max: float | None = None, pvalue_max: float | None = None, min_abs_logfc: float | None = None) -> DataFrame:
@@ -26,24 +27,8 @@ def filter_rows(de: DataFrame, padj_max: float | None = None, pvalue_max: float
     return de if min_abs_logfc is None else de.filter(F.abs("logfc") >= min_abs_logfc)
 
 
-def de_mode(de: DataFrame, mode: str = "auto") -> tuple[str, str | None]:
-    """(score mode, p column): auto prefers a parseable stat, then logFC with padj, then with pvalue."""
-    have = parseable(de, [c for c in ("stat", "logfc", "padj", "pvalue") if c in de.columns])
-    p = "padj" if have.get("padj") else "pvalue" if have.get("pvalue") else None
-    if mode == "auto":
-        if have.get("stat"):
-            return "stat", None
-        if have.get("logfc") and p:
-            return "logfc_times_neglog10p", p
-        raise ValueError("no usable score columns")
-    if mode == "logfc_times_neglog10p":
-        return mode, p
-    if mode in ("signed_neglog10padj", "signed_neglog10pvalue"):
-        return mode, "padj" if mode.endswith("padj") else "pvalue"
-    return mode, None
-
-
 def de_score(de: DataFrame, mode: str, p: str | None, eps: float = 1e-300, cap: float = 50.0) -> DataFrame:
+    """Score per row in one mode for all comparisons."""
     if mode in ("stat", "logfc"):
         value = F.col(mode)
     elif mode == "custom_column":
@@ -56,6 +41,22 @@ def de_score(de: DataFrame, mode: str, p: str | None, eps: float = 1e-300, cap:
     return de.withColumn("score", value).filter("score is not null and gene_id is not null")
 
 
+def comparison_score(de: DataFrame, keys: Sequence[str] = (), mode: str = "auto", eps: float = 1e-300, cap: float = 50.0) -> DataFrame:
+    """Score per row; ``auto`` decides for each comparison: stat, else logFC with padj, else with pvalue.
+
+    A comparison without usable values has no rows left.
+    """
+    if mode not in ("auto", "logfc_times_neglog10p"):
+        return de_score(de, mode, "padj" if mode.endswith("padj") else "pvalue", eps, cap)
+    rows = with_presence(de, keys, ["stat", "logfc", "padj", "pvalue"])
+    has = lambda *c: reduce(lambda x, y: x & y, [F.col(f"_has_{x}") for x in c])
+    value = F.when(has("logfc", "padj"), S.effect_times_p("logfc", "padj", eps, cap)).when(has("logfc", "pvalue"), S.effect_times_p("logfc", "pvalue", eps, cap))
+    if mode == "auto":
+        value = F.when(has("stat"), F.col("stat")).otherwise(value)
+    rows = rows.withColumn("score", value).select(*de.columns, *([] if "score" in de.columns else ["score"]))
+    return rows.filter("score is not null and gene_id is not null")
+
+
 def rna_deg(
     de: DataFrame, keys: Sequence[str] = (), mode: str = "auto", duplicates: str = "sum", genes: DataFrame | None = None,
     exclude: Sequence[str] = S.DEFAULT_EXCLUDE_PATTERNS, select: dict | None = None, eps: float = 1e-300, cap: float = 50.0, **row_filters,
@@ -67,9 +68,8 @@ def rna_deg(
 
 def gene_scores(de, keys=(), mode="auto", duplicates="sum", genes=None, exclude=S.DEFAULT_EXCLUDE_PATTERNS, eps=1e-300, cap=50.0, **row_filters) -> DataFrame:
     rows = filter_rows(de, **row_filters)
-    m, p = de_mode(rows, mode)
     carry = [c for c in ("gene_symbol", "gene_biotype") if c in rows.columns]
-    merged = SC.merge_duplicates(de_score(rows, m, p, eps, cap), keys, duplicates, carry=carry)
+    merged = SC.merge_duplicates(comparison_score(rows, keys, mode, eps, cap), keys, duplicates, carry=carry)
     if "gene_symbol" not in merged.columns:
         merged = merged.withColumn("gene_symbol", F.lit(None).cast("string"))
     if genes is not None:

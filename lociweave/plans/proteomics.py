@@ -15,7 +15,7 @@ from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
 from lociweave.session import materialize
-from lociweave.sources.tables import parseable
+from lociweave.operators.scoring import with_presence
 
 
 def proteomics_diff(rows: DataFrame, keys: Sequence[str] = (), transform: str = "abs", normalize: str = "l1") -> DataFrame:
@@ -32,17 +32,17 @@ def _with(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def site_mode(sites: DataFrame, mode: str = "auto") -> tuple[str, str | None]:
-    """The p column is picked by header: padj when the table has one, even where it is blank."""
-    p = "padj" if "padj" in sites.columns else "pvalue" if "pvalue" in sites.columns else None
+def site_score(sites: DataFrame, keys: Sequence[str], mode: str, p: str | None) -> DataFrame:
+    """``base_score`` per row; ``auto`` decides for each comparison: stat, else logFC with p, else the score column."""
+    own = F.col("score") if "score" in sites.columns else F.lit(None).cast("double")
+    value = {"stat": lambda: F.col("stat"), "custom_column": lambda: own, "logfc_times_neglog10p": lambda: S.effect_times_p("logfc", p, clamped=False)}
     if mode != "auto":
-        return mode, p
-    have = parseable(sites, [c for c in ("stat", "logfc") if c in sites.columns])
-    if have.get("stat"):
-        return "stat", p
-    if have.get("logfc") and p:
-        return "logfc_times_neglog10p", p
-    return "custom_column", p
+        return sites.withColumn("base_score", value[mode]())
+    rows = with_presence(sites, keys, ["stat", "logfc"])
+    base = F.when(F.col("_has_stat"), value["stat"]())
+    if p:
+        base = base.when(F.col("_has_logfc"), value["logfc_times_neglog10p"]())
+    return rows.withColumn("base_score", base.otherwise(own)).drop("_has_stat", "_has_logfc")
 
 
 def ptm_site_diff(
@@ -51,10 +51,10 @@ def ptm_site_diff(
     duplicates: str = "highest_confidence", aggregation: str = "signed_topk_mean", k: int = 3, min_localization: float = 0.75, select: dict | None = None,
 ) -> DataFrame:
     """Site differences to selected genes: score, canonical key, gene, protein adjustment, weights, collapse, aggregate."""
-    m, p = site_mode(sites, mode)
+    # The p column is picked by header: padj when the table has one, even where it is blank.
+    p = "padj" if "padj" in sites.columns else "pvalue" if "pvalue" in sites.columns else None
     s = _with(sites, ["site_id", "site_group", "gene_id", "gene_symbol", "protein_accession", "residue", "position"])
-    base = {"stat": lambda: F.col("stat"), "custom_column": lambda: F.col("score"), "logfc_times_neglog10p": lambda: S.effect_times_p("logfc", p, clamped=False)}[m]()
-    s = s.withColumn("base_score", base).filter("base_score is not null").withColumn("_id", F.xxhash64("row_ordinal"))
+    s = site_score(s, keys, mode, p).filter("base_score is not null").withColumn("_id", F.xxhash64("row_ordinal"))
     pos = F.col("position").cast("string")
     own = S.site_key("protein_accession", "residue", pos, F.lit(ptm_type), "site_id", "site_group")
     if aliases is not None:

@@ -44,8 +44,10 @@ def drug_response_screen(
     gw = D.target_ubiquity(e, target_bundle)
     if model == "sparse_deconvolution":
         scores = D.sparse_deconvolution(prog, D.weighted_edges(e, dw, gw), alpha, signed=signed)
-        if scores.isEmpty():
-            scores = D.target_weighted_sum(prog, e, dw, gw, signed)
+        # Programs whose fit is empty get the weighted sum instead, each for itself.
+        scores = materialize(scores)
+        rest = prog.join(scores.select("program").distinct(), "program", "left_anti")
+        scores = scores.unionByName(D.target_weighted_sum(rest, e, dw, gw, signed))
     else:
         scores = D.target_weighted_sum(prog, e, dw, gw, signed)
     return SEL.select_and_weight(scores.filter("score <> 0"), ["program"], **(select or {}))

@@ -16,7 +16,7 @@ from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
 from lociweave.plans.proteomics import _with
 from lociweave.session import materialize
-from lociweave.sources.tables import parseable
+from lociweave.operators.scoring import with_presence
 
 
 def event_type(x) -> Column:
@@ -55,16 +55,26 @@ def canonical_key(e: DataFrame) -> DataFrame:
         "namespace", F.when(placed, "global_coordinate").when(named, "tcga_spliceseq_asid").otherwise("raw_id_fallback")).drop("_stable")
 
 
-def event_mode(e: DataFrame, mode: str = "auto") -> tuple[str, str | None]:
-    p = "padj" if "padj" in e.columns else "pvalue" if "pvalue" in e.columns else None
-    if mode != "auto":
-        return mode, p
-    have = parseable(e, [c for c in ("stat", "delta_psi") if c in e.columns])
-    if have.get("stat"):
-        return "stat", p
-    if have.get("delta_psi"):
-        return ("delta_psi_times_neglog10p" if p else "delta_psi_times_confidence"), p
-    return "custom_column", p
+def event_score(e: DataFrame, keys: Sequence[str], mode: str, p: str | None, reads: str | None, prob: str | None) -> DataFrame:
+    """``base_score`` per row; ``auto`` decides for each comparison: stat, else delta PSI with p or confidence, else the score column."""
+    rows = with_presence(e, keys, ["stat", "delta_psi"]) if mode == "auto" else e
+    null = F.lit(None).cast("double")
+    has = lambda c: F.col(c) if c in rows.columns else null
+    if mode == "delta_psi_times_confidence" or mode == "auto" and not p:
+        if reads:
+            rows = P.with_maximum(rows, reads, "_mr", keys)
+        proxy = F.coalesce(
+            *([F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(prob)))] if prob else []),
+            *([F.when(F.col("_mr") > 0, F.least(F.lit(1.0), F.log1p(reads) / F.log1p("_mr")))] if reads else []), F.lit(1.0),
+        )
+        psi = has("delta_psi") * proxy
+    else:
+        psi = S.effect_times_p("delta_psi", p, clamped=False) if p and mode in ("auto", "delta_psi_times_neglog10p") else null
+    if mode == "auto":
+        base = F.when(F.col("_has_stat"), has("stat")).when(F.col("_has_delta_psi"), psi).otherwise(has("score"))
+    else:
+        base = {"stat": has("stat"), "custom_column": has("score")}.get(mode, psi)
+    return rows.withColumn("base_score", base).drop("_has_stat", "_has_delta_psi")
 
 
 def splice_event_diff(
@@ -74,22 +84,12 @@ def splice_event_diff(
     diversity: str = "none", window: int = 20_000_000, impact_mode: str = "conservative", select: dict | None = None,
 ) -> DataFrame:
     """Event differences to selected genes with priors and penalties."""
-    m, p = event_mode(events, mode)
+    p = "padj" if "padj" in events.columns else "pvalue" if "pvalue" in events.columns else None
     cols = ["event_id", "event_group", "event_type", "gene_id", "gene_symbol", "chrom", "start", "end", "strand", "annotation_status", "novel_flag", "tool_family"]
     e = _with(events, cols).withColumn("event_type", event_type("event_type")).withColumn("_id", F.xxhash64("row_ordinal"))
     has = lambda c: c if c in e.columns else None
     reads, prob = has("read_support"), has("probability")
-    if m == "delta_psi_times_confidence":
-        if reads:
-            e = P.with_maximum(e, reads, "_mr", keys)
-        proxy = F.coalesce(
-            *([F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(prob)))] if prob else []),
-            *([F.when(F.col("_mr") > 0, F.least(F.lit(1.0), F.log1p(reads) / F.log1p("_mr")))] if reads else []), F.lit(1.0),
-        )
-        base = F.col("delta_psi") * proxy
-    else:
-        base = {"stat": lambda: F.col("stat"), "custom_column": lambda: F.col("score"), "delta_psi_times_neglog10p": lambda: S.effect_times_p("delta_psi", p, clamped=False)}[m]()
-    e = canonical_key(e.withColumn("base_score", base).filter("base_score is not null"))
+    e = canonical_key(event_score(e, keys, mode, p, reads, prob).filter("base_score is not null"))
     if aliases is not None:
         a = aliases.select("input_key", "canonical_event_key", "gene_symbol")
         e = ID.first_alias(e, a, [F.col("event_id"), F.col("event_group"), F.col("coord_key")], ["_id"], alias_columns=["canonical_event_key", "gene_symbol"])
@@ -105,7 +105,7 @@ def splice_event_diff(
             F.col("confidence") == "medium", P.shrink_to_neutral(F.col("_idf"), F.lit("medium"))).otherwise(1.0))
     else:
         e = e.withColumn("ubiquity_weight", F.lit(1.0))
-    raw, evid = P.default_impact("event_type", "annotation_status", S.boolish("novel_flag"))
+    raw, evid = P.default_impact("event_type", "annotation_status", (S.boolish("novel_flag") | (F.lower(S.clean("novel_flag")) == "novel")))
     fallback = F.greatest(F.lit(0.75), F.least(F.lit(1.35), P.shrink_to_neutral(1.0 + evid * (raw - 1.0), F.col("confidence"))))
     if impact_mode == "none":
         e = e.withColumn("impact_weight", F.lit(1.0))
