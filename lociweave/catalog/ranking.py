@@ -182,6 +182,24 @@ def rank_normal(spark, d):
     return ST.rank_normal(x, ["l_returnflag"], "value", "l_suppkey").select("l_suppkey", "l_returnflag", r6("z").alias("z"))
 
 
+def _poly(x, powers):
+    out = repr(float(powers[0])) + "::DOUBLE"
+    for c in powers[1:]:
+        out = f"({out} * {x} + {float(c)!r}::DOUBLE)"
+    return out
+
+
+def _ratio(x, parts):
+    return f"({_poly(x, parts[0])} / {_poly(x, parts[1])})"
+
+
+SQL_RANK_NORMAL = f"""WITH x AS (SELECT l_suppkey, l_returnflag, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
+p AS (SELECT l_suppkey, l_returnflag, (row_number() OVER w - 0.5::DOUBLE) / count(*) OVER (PARTITION BY l_returnflag) AS p FROM x WINDOW w AS (PARTITION BY l_returnflag ORDER BY value, l_suppkey)),
+q AS (SELECT *, p - 0.5::DOUBLE AS q, 0.180625::DOUBLE - (p - 0.5::DOUBLE) * (p - 0.5::DOUBLE) AS c, sqrt(-ln(least(p, 1 - p))) - 1.6::DOUBLE AS r FROM p)
+SELECT l_suppkey, l_returnflag, round(CASE WHEN abs(q) <= 0.425 THEN q * {_ratio('c', ST.QUANTILE_CENTRE)} ELSE sign(q) * CASE WHEN r <= 3.4 THEN {_ratio('r', ST.QUANTILE_TAIL)}
+  ELSE {_ratio('(r - 3.4::DOUBLE)', ST.QUANTILE_FAR)} END END, 6) + 0.0 AS z FROM q"""
+
+
 def bh_adjust(spark, d):
     """Rational p surrogate 1/(1+x^2) of a supplier x brand contrast, adjusted per supplier."""
     x = part_features(spark, d).groupBy("l_suppkey", "p_brand").agg((F.avg("l_quantity") - 25.5).alias("t"))
@@ -214,6 +232,6 @@ QUERIES = {
     "tie_diagnostics": (tie_diagnostics, SQL_TIES),
     "cnv_rank_order": (cnv_rank_order, SQL_CNV_ORDER),
     "robust_z": (robust_z, SQL_ROBUST),
-    "rank_normal": (rank_normal, None),
+    "rank_normal": (rank_normal, SQL_RANK_NORMAL),
     "bh_adjust": (bh_adjust, SQL_BH),
 }
