@@ -18,6 +18,7 @@ HEADLINE = [
     "linked_gene_score", "gene_aggregate_weighted_mean", "group_vs_rest", "welch_group_vs_rest", "ols_group_effect", "bh_adjust", "robust_z",
     "rank_all", "select_quantile", "gmt_topk", "target_weighted_sum", "topk_mean", "support_penalty", "event_ubiquity_prior", "subject_features",
     "trapezoid_auc", "hub_score", "rna_deg_multi", "ptm_site_diff",
+    "splice_event_diff", "methylation_programs", "atac_bulk", "sparse_deconvolution", "nmf_programs", "rna_de_prepare", "knn_evidence", "mechanism_scores",
 ]
 
 

@@ -31,7 +31,10 @@ def _gram(df: DataFrame, prefix: str, k: int) -> list[list[float]]:
 
 
 def _update(entries: DataFrame, mine: DataFrame, other: DataFrame, key: str, other_key: str, a: str, b: str, k: int) -> DataFrame:
-    """Multiplicative update of one factor: mine *= (V other) / (mine gram(other))."""
+    """Multiplicative update of one factor: mine *= (V other) / (mine gram(other)).
+
+    Also gives each row's share of the inner product of V with the new product, as ``_cross``.
+    """
     mc, oc = _columns(a, k), _columns(b, k)
     gram = _gram(other, b, k)
     num = entries.join(other, other_key).groupBy(key).agg(*[F.sum(F.col("value") * F.col(c)).alias(f"n_{c}") for c in oc])
@@ -43,23 +46,44 @@ def _update(entries: DataFrame, mine: DataFrame, other: DataFrame, key: str, oth
             total = total + F.col(mc[x]) * F.lit(float(gram[x][i]))
         return total
 
-    return materialize(j.select(key, *[(F.col(mc[i]) * F.col(f"n_{oc[i]}") / den(i)).alias(mc[i]) for i in range(k)]))
+    new = [F.col(mc[i]) * F.col(f"n_{oc[i]}") / den(i) for i in range(k)]
+    cross = sum((new[i] * F.col(f"n_{oc[i]}") for i in range(k)), F.lit(0.0))
+    return materialize(j.select(key, *[new[i].alias(mc[i]) for i in range(k)], cross.alias("_cross")))
+
+
+def _residual(total: float, w: DataFrame, h: DataFrame, k: int) -> float:
+    """Squared distance of V from W H, from sums over rows and the inner products of both factors."""
+    gw, gh = _gram(w, "w", k), _gram(h, "h", k)
+    return total - 2 * w.agg(F.sum("_cross")).first()[0] + sum(gw[i][j] * gh[i][j] for i in range(k) for j in range(k))
 
 
-def nmf_programs(entries: DataFrame, k: int, iterations: int = 20, seed: int = 0, cell: str = "cell_id", gene: str = "gene_id") -> tuple[DataFrame, DataFrame]:
+def nmf_programs(
+    entries: DataFrame, k: int, iterations: int = 1000, seed: int = 0, cell: str = "cell_id", gene: str = "gene_id", tol: float = 1e-4, check_every: int = 5
+) -> tuple[DataFrame, DataFrame]:
     """(cell usage W, gene loadings H) of a long non-negative table, by multiplicative updates.
 
     Both factors stay distributed with k columns each; per half-step the only
-    values on the driver are the k x k inner products. Values depend on the
-    start and are not comparable with another solver's.
+    values on the driver are the k x k inner products. Ends when the residual
+    falls by less than ``tol`` of itself per step; an error is raised if that
+    isn't reached in ``iterations``. Values depend on the start and are not
+    comparable with another solver's.
     """
     v = materialize(entries.filter("value > 0").groupBy(cell, gene).agg(F.sum("value").alias("value")))
     w = materialize(_start(v, cell, "w", k, seed))
     h = materialize(_start(v, gene, "h", k, seed + 1))
-    for _ in range(iterations):
+    total = v.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
+    if total is None:
+        return w, h
+    before = None
+    for step in range(iterations):
         h = _update(v, h, w, gene, cell, "h", "w", k)
         w = _update(v, w, h, cell, gene, "w", "h", k)
-    return w, h
+        if (step + 1) % check_every == 0:
+            now = _residual(float(total), w, h, k)
+            if now <= 1e-12 * total or before is not None and before - now <= tol * check_every * now:
+                return w.drop("_cross"), h.drop("_cross")
+            before = now
+    raise RuntimeError(f"the factors aren't settled after {iterations} steps")
 
 
 def loadings_long(h: DataFrame, k: int, gene: str = "gene_id") -> DataFrame:

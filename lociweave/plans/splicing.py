@@ -14,9 +14,10 @@ from lociweave.operators import priors as P
 from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
+from lociweave.operators.scoring import with_presence
 from lociweave.plans.proteomics import _with
 from lociweave.session import materialize
-from lociweave.operators.scoring import with_presence
+from lociweave.sources.assays import backfill_cluster_p
 
 
 def event_type(x) -> Column:
@@ -82,8 +83,30 @@ def splice_event_diff(
     burden: DataFrame | None = None, ambiguous: str = "drop", confidence: str = "combined", transform: str = "signed", floor: float = 0.05,
     duplicates: str = "highest_confidence", aggregation: str = "signed_topk_mean", k: int = 3, support: str = "auto", burden_mode: str = "auto",
     diversity: str = "none", window: int = 20_000_000, impact_mode: str = "conservative", select: dict | None = None,
+    dataset: str | None = None, own_dataset: str = "exclude", ubiquity_by_dataset: DataFrame | None = None, burden_by_dataset: DataFrame | None = None,
+    clusters: DataFrame | None = None, loci: DataFrame | None = None,
 ) -> DataFrame:
-    """Event differences to selected genes with priors and penalties."""
+    """Event differences to selected genes with priors and penalties.
+
+    Of the per-dataset priors the own ``dataset`` is left out (``own_dataset``
+    may also be ignore or fail), and medium-confidence events use a prior only
+    where other datasets carry it. ``clusters`` fills p-values by event group,
+    ``loci`` (gene_symbol, chromosome_arm) places genes for the diversity penalty.
+    """
+    if own_dataset not in ("exclude", "ignore", "fail"):
+        raise ValueError(f"unknown action {own_dataset!r}")
+    if clusters is not None:
+        events = backfill_cluster_p(events, clusters)
+    allowed = None
+    if ubiquity_by_dataset is not None:
+        if own_dataset == "fail" and dataset is not None and not ubiquity_by_dataset.filter(F.col("source_dataset") == dataset).isEmpty():
+            raise ValueError(f"dataset {dataset!r} is part of its own prior")
+        pooled = P.pool_event_ubiquity(ubiquity_by_dataset) if ubiquity is None else ubiquity
+        out = dataset if own_dataset == "exclude" else None
+        ubiquity = pooled if out is None else P.leave_dataset_out(pooled, ubiquity_by_dataset, out)
+        allowed = P.medium_prior_allowed(ubiquity_by_dataset, out).select(F.col("canonical_event_key").alias("record_key"), F.lit(True).alias("_allowed"))
+    if burden_by_dataset is not None:
+        burden = P.gene_burden(burden_by_dataset, dataset if own_dataset == "exclude" else None)
     p = "padj" if "padj" in events.columns else "pvalue" if "pvalue" in events.columns else None
     cols = ["event_id", "event_group", "event_type", "gene_id", "gene_symbol", "chrom", "start", "end", "strand", "annotation_status", "novel_flag", "tool_family"]
     e = _with(events, cols).withColumn("event_type", event_type("event_type")).withColumn("_id", F.xxhash64("row_ordinal"))
@@ -101,8 +124,9 @@ def splice_event_diff(
     if ubiquity is not None:
         u = ubiquity.select(F.col("canonical_event_key").alias("record_key"), "idf_ref")
         e = P.prior_weight(e, u, "record_key", "idf_ref", "_idf")
+        e = e.join(allowed, "record_key", "left") if allowed is not None else e.withColumn("_allowed", F.lit(True))
         e = e.withColumn("ubiquity_weight", F.when(F.col("confidence") == "high", F.col("_idf")).when(
-            F.col("confidence") == "medium", P.shrink_to_neutral(F.col("_idf"), F.lit("medium"))).otherwise(1.0))
+            (F.col("confidence") == "medium") & F.coalesce("_allowed", F.lit(False)), P.shrink_to_neutral(F.col("_idf"), F.lit("medium"))).otherwise(1.0))
     else:
         e = e.withColumn("ubiquity_weight", F.lit(1.0))
     raw, evid = P.default_impact("event_type", "annotation_status", (S.boolish("novel_flag") | (F.lower(S.clean("novel_flag")) == "novel")))
@@ -130,7 +154,11 @@ def splice_event_diff(
     place = F.struct("chrom", F.when(F.col("chrom").isNotNull(), F.concat_ws(":", "chrom", F.floor(mid / float(window)).cast("string"))).alias("locus_key"))
     info = grouped.groupBy(*by).agg(F.min_by("gene_symbol", "row_ordinal").alias("gene_symbol"), F.min_by(place, lead).alias("_p"), F.countDistinct("event_group").alias("n_groups_input"))
     s = P.support_penalty(grouped, genes, keys, support, k, aggregation).join(info.select(*by, "gene_symbol", "_p.chrom", "_p.locus_key"), by)
-    s = P.burden_penalty(s, info.select(*by, "n_groups_input"), keys, burden, burden_mode, k).withColumn("chromosome_arm", F.lit(None).cast("string"))
+    s = P.burden_penalty(s, info.select(*by, "n_groups_input"), keys, burden, burden_mode, k)
+    if loci is None:
+        s = s.withColumn("chromosome_arm", F.lit(None).cast("string"))
+    else:
+        s = s.join(loci.groupBy("gene_symbol").agg(F.min("chromosome_arm").alias("chromosome_arm")), "gene_symbol", "left")
     s = P.diversity_penalty(s, keys, diversity)
     return SEL.select_and_weight(s, keys, **(select or {}))
 

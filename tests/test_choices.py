@@ -47,12 +47,12 @@ def test_sparse_fit_meets_its_optimality_conditions(spark, monkeypatch, local):
     scores = spark.createDataFrame([(f"p{p}", f"d{i}", float(y[p, i])) for p in range(2) for i in range(14) if (p, i) != (1, 3)], "program string, drug_id string, score double")
     if not local:
         monkeypatch.setattr(SC, "GRAM_GENES", 0)
-    got = {(a.program, a.gene_id): a.score for a in SC.sparse_deconvolution(scores, edges, alpha=0.02, tol=1e-9 if local else 1e-4).collect()}
+    got = {(a.program, a.gene_id): a.score for a in SC.sparse_deconvolution(scores, edges, alpha=0.02, tol=1e-9 if local else 1e-3).collect()}
     for p in range(2):
         rows = [i for i in range(14) if (p, i) != (1, 3)]
         b = np.array([got.get((f"p{p}", f"g{j}"), 0.0) for j in range(5)])
         gap = x[rows].T @ (np.maximum(y[p, rows], 0) - x[rows] @ b) - 0.02 * len(rows)
-        slack = 1e-6 if local else 2e-2
+        slack = 1e-6 if local else 5e-2
         assert (np.abs(gap[b > 0]) < slack).all() and (gap[b == 0] < slack).all()
 
 
@@ -61,7 +61,7 @@ def test_fit_that_does_not_settle_is_an_error(spark, monkeypatch):
     scores = spark.createDataFrame([("p", "d1", 1.0), ("p", "d2", 2.0)], "program string, drug_id string, score double")
     edges = spark.createDataFrame([("d1", "g1", 1.0), ("d1", "g2", 0.9), ("d2", "g2", 1.0)], "drug_id string, gene_id string, x double")
     with pytest.raises(RuntimeError):
-        SC.sparse_deconvolution(scores, edges, iterations=5, tol=1e-12)
+        SC.sparse_deconvolution(scores, edges, iterations=2, tol=1e-12)
 
 
 def test_moments_of_large_values(spark):
@@ -135,3 +135,36 @@ def test_normal_tail_and_quantile_as_expressions(spark):
     assert all(g == pytest.approx(NormalDist().inv_cdf(x), rel=1e-12, abs=1e-14) for g, x in zip(got, p))
     nulls = spark.createDataFrame([(None,), (float("nan"),)], "t double").select(ST.normal_p("t"), ST.normal_quantile("t")).collect()
     assert all(v is None for r in nulls for v in r)
+
+
+def test_factors_settle_or_say_so(spark):
+    from lociweave.operators import factorization as NMF
+
+    r = np.random.default_rng(4)
+    v = r.random((12, 6))
+    rows = [(f"c{i}", f"g{j}", float(v[i, j])) for i in range(12) for j in range(6)]
+    df = spark.createDataFrame(rows, "cell_id string, gene_id string, value double")
+    w, h = NMF.nmf_programs(df, 2, tol=5e-2, check_every=2)
+    a = np.array([list(x)[1:] for x in w.orderBy("cell_id").collect()])
+    b = np.array([list(x)[1:] for x in h.orderBy("gene_id").collect()])
+    order = sorted(range(12), key=lambda i: f"c{i}")
+    assert np.linalg.norm(v[order] - a @ b.T) < 1.1 * np.linalg.norm(v - v.mean())
+    with pytest.raises(RuntimeError):
+        NMF.nmf_programs(df, 2, iterations=2, tol=1e-9, check_every=1)
+
+
+def test_own_dataset_is_left_out_of_splice_priors(spark):
+    from lociweave.plans import splicing as SP
+
+    e = spark.createDataFrame([("e1", "G1", 0.4, 0.001, 1), ("e2", "G2", 0.4, 0.001, 2)], "event_id string, gene_symbol string, delta_psi double, pvalue double, row_ordinal long")
+    e = e.withColumns({"gene_id": F.col("gene_symbol"), "event_type": F.lit("SE"), "chrom": F.lit("chr1"), "start": F.col("row_ordinal") * 100, "end": F.col("row_ordinal") * 100 + 50, "strand": F.lit("+")})
+    key = SP.canonical_key(e.withColumn("event_group", F.lit(None).cast("string")).withColumn("tool_family", F.lit("generic")).withColumn("event_type", SP.event_type("event_type"))).select("gene_symbol", "record_key")
+    prior = key.crossJoin(spark.createDataFrame([("own", 9), ("b", 2), ("c", 2)], "source_dataset string, df_ref int")).filter("gene_symbol = 'G1' or source_dataset = 'own'")
+    by = prior.select(F.col("record_key").alias("canonical_event_key"), "source_dataset", F.col("df_ref").cast("long").alias("df_ref"), F.lit(10).cast("long").alias("n_samples_ref"))
+    run = lambda **how: {r.gene_id: r.score for r in SP.splice_event_diff(e, select={"how": "none"}, ubiquity_by_dataset=by, **how).collect()}
+    without, used = run(dataset="own"), run(dataset="own", own_dataset="ignore")
+    assert without["G2"] != used["G2"] or without["G1"] != used["G1"]
+    with pytest.raises(ValueError):
+        run(dataset="own", own_dataset="fail")
+    with pytest.raises(ValueError):
+        run(own_dataset="maybe")
