@@ -269,7 +269,7 @@ SELECT c AS contrast_id, gene_id, row_number() OVER (PARTITION BY c ORDER BY abs
 
 def nmf_programs(spark, d):
     p = part_features(spark, d).select(F.col("l_suppkey").alias("cell_id"), F.col("p_brand").alias("gene_id"), F.col("l_quantity").alias("value"))
-    _, h = NMF.nmf_programs(p, 3, tol=1e-2)
+    _, h = NMF.nmf_programs(p, 3)
     return NMF.loadings_long(h, 3).select("program", "gene_id", r6("score", 4).alias("score"))
 
 
