@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["decontamination", "secrets", "tokens", "toxicity", "suffixes", "urls", "simhash", "mixing", "warc", "quality", "alignment", "collocations"]
+MODULES = ["decontamination", "secrets", "tokens", "toxicity", "suffixes", "urls", "simhash", "mixing", "warc", "quality", "licenses", "alignment", "collocations"]
 
 
 def entries() -> dict[str, tuple]:
