@@ -3,7 +3,7 @@
 Each text is tokenised whole by both. Places where tokens of both end, and
 both next tokens are marked with a space, are anchors; they cut a text into
 windows of token ids on either side. A window is aligned once: what it gives
-is kept under the pair of its id tuples, and words seldom make new windows.
+is kept under the pair of its id tuples, packed, and words seldom make new ones.
 
 An alignment cuts the window wherever tokens of both end; the two tokens that
 end there are a link. Of two linked tokens one's bytes end with the other's,
@@ -14,97 +14,85 @@ and their corpus counts fit into one array, whatever the corpus.
 from __future__ import annotations
 
 import hashlib
-import re
+import json
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.llm.common import map_texts, table, unpack
 from lociweave.llm.tokens import byte_letters
-from lociweave.session import discard, materialize
+from lociweave.session import materialize
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
-#: Distinct words of either tokenizer, and distinct windows, that a Python worker keeps; at this number it forgets them and goes on.
-REMEMBERED = 300_000
+#: Distinct windows that a Python worker keeps; beyond this number it forgets them and goes on.
+REMEMBERED = 200_000
 #: Tokens of a window above which its alignment is made anew each time.
 LONG_WINDOW = 64
 
 SPACE = "▁"
 
 
-class ByteBpe:
-    """Byte-level BPE; pre-tokens are tokenised once, the library encodes those not met before."""
+class Ragged:
+    """Rows of integers of different lengths, end to end."""
 
-    def __init__(self, path: str, pattern: str):
-        from tokenizers import Tokenizer
+    def __init__(self, rows: list[np.ndarray]):
+        self.flat, self.starts = np.concatenate(rows), np.concatenate(([0], np.cumsum([len(r) for r in rows])))
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        letters = byte_letters()
-        self.bytes = [b""] * (max(self.library.get_vocab(with_added_tokens=True).values()) + 1)
-        for token, at in self.library.get_vocab(with_added_tokens=False).items():
-            self.bytes[at] = bytes(map(letters.__getitem__, token))
-        self.words = regex.compile(pattern).findall
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows end to end, and where each begins, the end of all included."""
+        at, sizes = self.starts[rows], self.starts[rows + 1] - self.starts[rows]
+        begins = np.concatenate(([0], np.cumsum(sizes)))
+        return self.flat[np.repeat(at - begins[:-1], sizes) + np.arange(begins[-1])], begins
 
 
-class PieceBpe:
-    """Sentence pieces of BPE; no piece goes on past a space that follows another character, so such words are tokenised once."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
 
-    def __init__(self, path: str):
-        from sentencepiece import SentencePieceProcessor
 
-        self.library = SentencePieceProcessor(model_file=path)
-        pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
-            raise ValueError("pieces of this model reach over words")
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.words = re.compile(" +[^ ]*").findall
-
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """The library adds a space itself; a lone one stands for itself."""
-        found = self.library.encode([w[1:] for w in words], num_threads=1)
-        return [[self.library.piece_to_id(SPACE)] if w == " " else f for w, f in zip(words, found)]
-
-
-class Remembered:
-    """Whole texts as ids, through words met before."""
-
-    def __init__(self, tokenizer: ByteBpe | PieceBpe):
-        self.tokenizer, self.ids, self.odd = tokenizer, {}, set()
-
-    def texts(self, texts: list[str]) -> list[list[int] | None]:
-        """Ids of each text; None where their bytes don't join to the text."""
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.odd.clear()
-        split = [self.tokenizer.words(t) for t in texts]
-        new = list(set(chain.from_iterable(split)) - self.ids.keys())
-        for w, found in zip(new, self.tokenizer.encode(new)):
-            self.ids[w] = tuple(found)
-            if self.joined(found) != w.encode():
-                self.odd.add(w)
-        out = []
-        for t, words in zip(texts, split):
-            ids = list(chain.from_iterable(map(self.ids.__getitem__, words)))
-            same = not self.odd or self.odd.isdisjoint(words) or self.joined(ids) == t.encode()
-            out.append(ids if same else None)
-        return out
+class Tokenizers:
+    """A byte-level BPE and a sentence-piece BPE over whole texts."""
 
-    def joined(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.tokenizer.bytes.__getitem__, ids))
+    def __init__(self, byte_bpe: str, pieces: str, pattern: str):
+        from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
+
+        with open(byte_bpe, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        letters, vocab = byte_letters(), model["vocab"]
+        made = [vocab[m.replace(" ", "") if isinstance(m, str) else "".join(m)] for m in model["merges"]]
+        if made != sorted(made):
+            raise ValueError("ids of this vocabulary are not in the order of its merges")
+        ranks = {bytes(map(letters.__getitem__, token)): i for token, i in vocab.items()}
+        # The vocabulary file in a faster library: ids serve as ranks, special strings are ordinary text.
+        self.bpe = Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
+        self.pieces = SentencePieceProcessor(model_file=pieces)
+        names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
+
+    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Whether a space and each text is what its tokens join to; ids of both sides and their ends per text, of those that are."""
+        plain = [t.decode() for t in texts]
+        a = [self.bpe.encode_ordinary(" " + t) for t in plain]
+        b = self.pieces.encode(plain, num_threads=1)
+        joined = [[b"".join(map(known.__getitem__, x)) for x in side] for known, side in ((self.a_bytes, a), (self.b_bytes, b))]
+        good = [x == b" " + t == y for t, x, y in zip(texts, *joined)]
+        flat = [[x for x, g in zip(side, good) if g] for side in (a, b)]
+        a, b = ((np.fromiter(chain.from_iterable(x), np.int32), np.cumsum([len(y) for y in x], dtype=np.int64)) for x in flat)
+        return np.array(good, bool), *a, *b
 
 
 class Links:
-    """Numbers of all pairs of tokens of which one ends with the other."""
+    """All pairs of tokens of which one ends with the other, numbered by their place in a sorted array."""
 
     def __init__(self, a: list[bytes], b: list[bytes]):
         of_a, of_b = {}, {}
@@ -112,19 +100,13 @@ class Links:
             for i, t in enumerate(tokens):
                 if t:
                     known.setdefault(t, []).append(i)
-        self.number: dict[tuple[int, int], int] = {}
-        put = lambda x, y: self.number.setdefault((x, y), len(self.number))
-        for t, ids in of_a.items():
-            for k in range(len(t)):
-                for y in of_b.get(t[k:], ()):
-                    for x in ids:
-                        put(x, y)
-        for t, ids in of_b.items():
-            for k in range(1, len(t)):
-                for x in of_a.get(t[k:], ()):
-                    for y in ids:
-                        put(x, y)
-        self.right = np.fromiter((y for _, y in self.number), np.int64, len(self.number))
+        found = [x << 32 | y for t, ids in of_a.items() for k in range(len(t)) for y in of_b.get(t[k:], ()) for x in ids]
+        found += [x << 32 | y for t, ids in of_b.items() for k in range(1, len(t)) for x in of_a.get(t[k:], ()) for y in ids]
+        self.keys = np.unique(np.array(found, np.int64))
+        self.right = self.keys & 0xFFFFFFFF
+
+    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.keys, a.astype(np.int64) << 32 | b).astype(np.int32)
 
 
 class Aligner:
@@ -133,68 +115,95 @@ class Aligner:
     def __init__(self, byte_bpe: str, pieces: str):
         import public_tokenizers
 
-        self.a = Remembered(ByteBpe(public_tokenizers.path(byte_bpe), public_tokenizers.PATTERN))
-        self.b = Remembered(PieceBpe(public_tokenizers.path(pieces)))
-        self.sides = [(np.array([len(t) for t in r.tokenizer.bytes], np.int64), np.array([t.startswith(b" ") for t in r.tokenizer.bytes])) for r in (self.a, self.b)]
-        self.links = Links(self.a.tokenizer.bytes, self.b.tokenizer.bytes)
-        self.known: dict[tuple[tuple, tuple], tuple[bytes, tuple]] = {}
-
-    def window(self, a: tuple, b: tuple) -> tuple[bytes, tuple]:
-        """Groups of a window as text, and its links' numbers."""
-        size_a, size_b = self.a.tokenizer.bytes, self.b.tokenizer.bytes
-        groups, links, i, j = [], [], 0, 0
-        while i < len(a):
-            k, m, ahead = i + 1, j + 1, len(size_a[a[i]]) - len(size_b[b[j]])
-            while ahead:
-                if ahead < 0:
-                    ahead += len(size_a[a[k]])
-                    k += 1
-                else:
-                    ahead -= len(size_b[b[m]])
-                    m += 1
-            groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-            links.append(self.links.number[a[k - 1], b[m - 1]])
-            i, j = k, m
-        return ";".join(groups).encode(), tuple(links)
-
-    def anchors(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[int]]:
+        self.tokenizers = Tokenizers(public_tokenizers.path(byte_bpe), public_tokenizers.path(pieces), public_tokenizers.PATTERN)
+        both = (self.tokenizers.a_bytes, self.tokenizers.b_bytes)
+        self.sizes = [np.array([len(t) for t in tokens], np.int64) for tokens in both]
+        self.spaced = [np.array([t.startswith(b" ") for t in tokens]) for tokens in both]
+        self.links = Links(*both)
+        # An id as it is written inside and at the end of a group's side.
+        self.written = [b"%d%c" % (i, c) for tokens, marks in zip(both, (b",|", b",;")) for i in range(len(tokens)) for c in marks]
+        self.known: dict[tuple[bytes, bytes], tuple[bytes, np.ndarray]] = {}
+
+    def windows(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[bytes, np.ndarray]]:
+        """Groups as text and numbers of the links, of windows given as packed ids."""
+        a, b = (np.frombuffer(b"".join(side), np.int32) for side in zip(*keys))
+        ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        at_a, at_b = np.zeros(int(ends_a[-1]) + 1, bool), np.zeros(int(ends_a[-1]) + 1, bool)
+        at_a[ends_a] = at_b[ends_b] = True
+        last_a, last_b = at_b[ends_a], at_a[ends_b]
+        numbers = self.links.numbers(a[last_a], b[last_b])
+        # Tokens of a group stand together, side a first.
+        through_a, through_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        place_a = np.arange(len(a)) + np.concatenate(([0], through_b[:-1]))[np.cumsum(last_a) - last_a]
+        place_b = np.arange(len(b)) + through_a[np.cumsum(last_b) - last_b]
+        code = np.empty(len(a) + len(b), np.int64)
+        code[place_a], code[place_b] = 2 * a + last_a, 2 * (len(self.sizes[0]) + b) + last_b
+        text = list(map(self.written.__getitem__, code.tolist()))
+        upto_a = np.cumsum([len(x) // 4 for x, _ in keys])
+        upto = [0, *(upto_a + np.cumsum([len(y) // 4 for _, y in keys])).tolist()]
+        linked = [0, *np.cumsum(last_a)[upto_a - 1].tolist()]
+        return [(b"".join(text[i:k])[:-1], numbers[m:n]) for i, k, m, n in zip(upto, upto[1:], linked, linked[1:])]
+
+    def anchors(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Token places on either side of the anchors, first and last place included; ``ends`` are byte ends of texts."""
-        n = int(ends[-1])
         marked = []
-        for ids, (size, spaced) in zip((a, b), self.sides):
+        for ids, size, spaced in zip((a, b), self.sizes, self.spaced):
             begins = np.cumsum(size[ids]) - size[ids]
-            at = np.zeros(n + 1, bool)
+            at = np.zeros(int(ends[-1]) + 1, bool)
             at[begins[spaced[ids]]] = True
             marked.append((begins, at))
         shared = marked[0][1] & marked[1][1]
         shared[ends] = True
         shared[0] = True
-        return tuple([*np.flatnonzero(shared[begins]).tolist(), len(begins)] for begins, _ in marked)
+        return [np.append(np.flatnonzero(shared[begins]), len(begins)) for begins, _ in marked]
+
+    def alike(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+        """For each window the place of one with the same ids: found by a hash, and compared."""
+        key, sides = np.zeros(len(at_a) - 1, np.uint64), []
+        for ids, at in ((a, at_a), (b, at_b)):
+            size = np.diff(at)
+            place = np.arange(len(ids)) - np.repeat(at[:-1], size)
+            mixed = _mix(ids.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32)))
+            key = _mix(key + np.add.reduceat(mixed, at[:-1]))
+            sides.append((ids, at, size, place))
+        _, first, group = np.unique(key, return_index=True, return_inverse=True)
+        like = first[group]
+        same = np.ones(len(like), bool)
+        for ids, at, size, place in sides:
+            same &= size == size[like]
+            there = np.minimum(np.repeat(at[like], size) + place, len(ids) - 1)
+            same &= np.logical_and.reduceat(ids == ids[there], at[:-1])
+        return np.where(same, like, np.arange(len(like)))
 
     def aligned(self, texts: list[bytes]) -> dict:
-        plain = [" " + t.decode() for t in texts]
-        some = [i for i, t in enumerate(texts) if t]
-        both = [(i, x, y) for i, x, y in zip(some, self.a.texts([plain[i] for i in some]), self.b.texts([plain[i] for i in some])) if x is not None and y is not None]
         out = {"n_a": [0] * len(texts), "n_b": [0] * len(texts), "groups_sha256": [""] * len(texts), "links": [()] * len(texts)}
-        if not both:
+        some = [i for i, t in enumerate(texts) if t]
+        if not some:
+            return out
+        good, a, ends_a, b, ends_b = self.tokenizers.texts([texts[i] for i in some])
+        some = [i for i, g in zip(some, good.tolist()) if g]
+        if not some:
             return out
-        a, b = [np.fromiter(chain.from_iterable(x[side] for x in both), np.int64) for side in (1, 2)]
-        ends = np.cumsum([len(texts[i]) + 1 for i, _, _ in both])
-        at_a, at_b = self.anchors(a, b, ends)
-        a, b = a.tolist(), b.tolist()
-        keys = [(tuple(a[i:k]), tuple(b[j:m])) for i, k, j, m in zip(at_a, at_a[1:], at_b, at_b[1:])]
-        long = {k: self.window(*k) for k in set(keys) if len(k[0]) > LONG_WINDOW}
+        at_a, at_b = self.anchors(a, b, np.cumsum([len(texts[i]) + 1 for i in some]))
+        distinct, window = np.unique(self.alike(a, b, at_a, at_b), return_inverse=True)
+        a, b = a.tobytes(), b.tobytes()
+        spans = zip(*[(4 * x).tolist() for x in (at_a[distinct], at_a[distinct + 1], at_b[distinct], at_b[distinct + 1])])
+        keys = [(a[i:k], b[j:m]) for i, k, j, m in spans]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        for k in set(keys) - self.known.keys() - long.keys():
-            self.known[k] = self.window(*k)
-        found = list(map((self.known | long if long else self.known).__getitem__, keys))
-        text_ends = np.searchsorted(at_a, np.cumsum([len(x) for _, x, _ in both])).tolist()
-        for (i, x, y), lo, hi in zip(both, [0, *text_ends], text_ends):
-            part = found[lo:hi]
-            out["n_a"][i], out["n_b"][i] = len(x), len(y)
-            out["groups_sha256"][i] = hashlib.sha256(b";".join([g for g, _ in part])).hexdigest()
-            out["links"][i] = np.fromiter(chain.from_iterable([n for _, n in part]), np.int32)
+        found = list(map(self.known.get, keys))
+        new = [k for k, f in zip(keys, found) if f is None]
+        if new:
+            made = dict(zip(new, self.windows(new)))
+            found = [made[k] if f is None else f for k, f in zip(keys, found)]
+            self.known.update((k, f) for k, f in made.items() if len(k[0]) <= 4 * LONG_WINDOW)
+        links, begins = Ragged([n for _, n in found]).take(window)
+        upto = [0, *np.searchsorted(at_a, ends_a).tolist()]
+        groups = list(map([g for g, _ in found].__getitem__, window.tolist()))
+        for i, n_a, n_b, lo, hi in zip(some, np.diff(ends_a, prepend=0).tolist(), np.diff(ends_b, prepend=0).tolist(), upto, upto[1:]):
+            out["n_a"][i], out["n_b"][i] = n_a, n_b
+            out["groups_sha256"][i] = hashlib.sha256(b";".join(groups[lo:hi])).hexdigest()
+            out["links"][i] = links[begins[lo] : begins[hi]]
         return out
 
 
