@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["linking", "ranking", "contrasting", "screening", "curation", "priors", "profiles", "expansions", "assays"]
+MODULES = ["linking", "ranking", "contrasting", "screening", "curation", "priors", "profiles", "expansions", "designs", "assays"]
 
 
 def entries() -> dict[str, tuple]:

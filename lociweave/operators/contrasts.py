@@ -176,6 +176,71 @@ def level_contrasts(samples: DataFrame, kind: str, column: str, a: str | None =
     raise ValueError(f"unknown contrast kind {kind!r}")
 
 
+def _named(column: str, of: Column | str, to: Column | str, strata: Sequence[str]) -> Column:
+    """``column=of_vs_to`` and the strata by name."""
+    parts = [F.lit(f"{column}="), of if isinstance(of, Column) else F.lit(of), F.lit("_vs_"), to if isinstance(to, Column) else F.lit(to)]
+    for s in sorted(strata):
+        parts += [F.lit(f"__{s}="), F.col(s)]
+    return F.concat(*parts)
+
+
+def _text(column: str) -> Column:
+    return F.trim(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
+def stratified_contrasts(samples: DataFrame, kind: str, column: str, strata: Sequence[str] = (), a: str | None = None, b: str | None = None, reference: str | None = None) -> DataFrame:
+    """Samples in the arms of one design made anew in every stratum: (comparison_id, arm, sample_id).
+
+    kinds: condition_a_vs_b, group_vs_rest (``a`` against all others), and
+    reference_level (each other level against ``reference``). A stratum lacking
+    a level that the design needs gives no comparison. Levels and strata are
+    trimmed text; samples without a level take no part; an empty stratum value
+    is a stratum. Only levels are compared with levels, never samples with
+    samples.
+    """
+    # Without strata the whole design is one.
+    s = samples.select("sample_id", _text(column).alias("_level"), F.lit("").alias("_all"), *[_text(c).alias(c) for c in strata]).filter("_level <> ''")
+    keys = ["_all", *strata]
+    levels = s.select("_level", *keys).distinct()
+    have = levels.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))
+    if kind == "condition_a_vs_b":
+        made = have.filter(F.array_contains("_levels", a) & F.array_contains("_levels", b)).select(*keys, F.lit(a).alias("_a"), F.array(F.lit(b)).alias("_b"), _named(column, a, b, strata).alias("comparison_id"))
+    elif kind == "group_vs_rest":
+        rest = F.array_remove("_levels", a)
+        made = have.filter(F.array_contains("_levels", a) & (F.size(rest) > 0)).select(*keys, F.lit(a).alias("_a"), rest.alias("_b"), _named(column, a, "rest", strata).alias("comparison_id"))
+    elif kind == "reference_level":
+        each = have.filter(F.array_contains("_levels", reference)).withColumn("_a", F.explode(F.array_remove("_levels", reference)))
+        made = each.select(*keys, "_a", F.array(F.lit(reference)).alias("_b"), _named(column, F.col("_a"), reference, strata).alias("comparison_id"))
+    else:
+        raise ValueError(f"unknown contrast kind {kind!r}")
+    arm = F.when(F.col("_level") == F.col("_a"), "a").when(F.array_contains("_b", F.col("_level")), "b")
+    member = levels.join(made, keys).select(*keys, "_level", "comparison_id", arm.alias("arm")).filter("arm is not null")
+    return s.join(member, [*keys, "_level"]).select("comparison_id", "arm", "sample_id")
+
+
+def comparison_table(comparisons: DataFrame, samples: DataFrame, default_column: str | None = None, strata: Sequence[str] = ()) -> DataFrame:
+    """Samples in the arms of written comparisons: (comparison_id, arm, sample_id).
+
+    ``comparisons`` has comparison_id and group_a, and may have group_column,
+    group_b and columns named like strata. Without group_b, all other levels
+    are the other arm. A stratum value that is given narrows both arms; an
+    empty one doesn't. Rows without an id are left out.
+    """
+    if missing := {"comparison_id", "group_a"} - set(comparisons.columns):
+        raise ValueError(f"comparisons lack {sorted(missing)}")
+    given = lambda c, other: _text(c) if c in comparisons.columns else F.lit(other)
+    column = given("group_column", "")
+    c = comparisons.select(
+        _text("comparison_id").alias("comparison_id"), F.when(column == "", F.lit(default_column)).otherwise(column).alias("_column"),
+        _text("group_a").alias("_a"), given("group_b", "").alias("_b"), *[given(x, "").alias(f"_want_{x}") for x in strata]).filter("comparison_id <> ''")
+    # The columns of a sample table are few; each becomes (column, level) rows that comparisons meet by equality.
+    names = [x for x in samples.columns if x != "sample_id"]
+    long = samples.select("sample_id", *[_text(x).alias(f"_have_{x}") for x in strata], F.inline(F.array(*[F.struct(F.lit(x).alias("_column"), _text(x).alias("_level")) for x in names]))).filter("_level <> ''")
+    on = [long["_column"] == c["_column"]] + [(c[f"_want_{x}"] == "") | (c[f"_want_{x}"] == long[f"_have_{x}"]) for x in strata]
+    arm = F.when(F.col("_level") == F.col("_a"), "a").when((F.col("_b") == "") | (F.col("_level") == F.col("_b")), "b")
+    return long.join(c, on).select("comparison_id", arm.alias("arm"), "sample_id").filter("arm is not null")
+
+
 def infer_two_levels(samples: DataFrame, column: str) -> tuple[str, str]:
     """The two levels of a two-level design column, ordered; anything else is an error."""
     levels = [r[0] for r in samples.filter(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(3).collect()]

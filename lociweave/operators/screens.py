@@ -86,11 +86,20 @@ def merge_drug_ids(edges: DataFrame, aliases: DataFrame) -> DataFrame:
 
 def group_programs(z: DataFrame, groups: DataFrame, kind: str = "group_vs_rest", min_group: int = 5,
                    case: DataFrame | None = None) -> DataFrame:
-    """Drug scores per program: per_sample, group_mean, group_vs_rest or case_control.
+    """Drug scores per program: per_sample, group_mean, group_vs_rest, case_control or case_control_within_group.
 
     Sums and counts per (group, drug) are aggregated once; "rest" is the total
-    minus the group. Both arms must be present for a drug.
+    minus the group. Both arms must be present for a drug. Within groups, each
+    group of at least ``min_group`` samples compares its own cases with its own
+    controls; samples without a case flag only count for the group's size.
     """
+    if kind == "case_control_within_group":
+        fit = program_audit(z, groups, min_group, case).filter("reason = ''").select("group")
+        arms = groups.select("sample_id", "group").distinct().join(fit, "group", "left_semi").join(case.select("sample_id", "is_case"), "sample_id")
+        mean = lambda which: F.avg(F.when(which, F.col("z")))
+        both = z.join(arms, "sample_id").groupBy("group", "drug_id").agg(mean(F.col("is_case")).alias("_a"), mean(~F.col("is_case")).alias("_b"))
+        return both.filter("_a is not null and _b is not null").select(
+            F.concat(F.col("group"), F.lit("_case_vs_control")).alias("program"), "drug_id", (F.col("_a") - F.col("_b")).alias("score"))
     if kind == "per_sample":
         return z.select(F.col("sample_id").alias("program"), "drug_id", F.col("z").alias("score"))
     if kind == "case_control":
@@ -115,6 +124,25 @@ def group_programs(z: DataFrame, groups: DataFrame, kind: str = "group_vs_rest",
     return x.select(F.concat(F.col("group"), F.lit("_vs_rest")).alias("program"), "drug_id", (F.col("_s") / F.col("_n") - rest).alias("score"))
 
 
+def program_audit(z: DataFrame, groups: DataFrame, min_group: int = 5, case: DataFrame | None = None) -> DataFrame:
+    """Per group its samples, those outside, cases and controls, and why it gives no program (empty if it does).
+
+    A group counts the samples that have scores. With ``case`` a group also
+    needs a case and a control.
+    """
+    samples = z.select("sample_id").distinct()
+    placed = groups.select("sample_id", "group").distinct().filter("group is not null").join(samples, "sample_id", "left_semi")
+    if case is not None:
+        placed = placed.join(case.select("sample_id", "is_case"), "sample_id", "left")
+    else:
+        placed = placed.withColumn("is_case", F.lit(None).cast("boolean"))
+    per = placed.groupBy("group").agg(F.count("*").alias("n_group"), F.count_if("is_case").alias("n_case"), F.count_if(~F.col("is_case")).alias("n_control"))
+    out = attach(per, samples.agg(F.count("*").alias("_n")), []).withColumn("n_rest", F.col("_n") - F.col("n_group"))
+    lacking = F.lit(case is not None) & (F.least("n_case", "n_control") < 1)
+    reason = F.when(F.col("n_group") < max(1, min_group), "min_group_size").when(lacking, "missing_case_or_control").otherwise("")
+    return out.select("group", "n_group", "n_rest", "n_case", "n_control", reason.alias("reason"))
+
+
 def strongest_programs(scores: DataFrame, k: int = 50) -> DataFrame:
     """Programs with the largest mean absolute drug score."""
     m = scores.groupBy("program").agg(F.avg(F.abs("score")).alias("_m"))

@@ -372,6 +372,39 @@ def _xtx_inverse():
     return invert
 
 
+def _estimable():
+    """Grouped function: rank of one comparison's Gram matrix, and whether its group coefficient can be told from the others."""
+
+    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(set(pdf["i"]) | set(pdf["j"]))
+        at = {n: k for k, n in enumerate(names)}
+        a = np.zeros((len(names), len(names)))
+        a[pdf["i"].map(at), pdf["j"].map(at)] = pdf["v"]
+        # Columns of unit length, so that rank doesn't depend on units.
+        size = np.sqrt(np.maximum(np.diag(a), 1e-300))
+        values, vectors = np.linalg.eigh(a / np.outer(size, size))
+        span = vectors[:, values > 1e-9 * len(names)]
+        group = at.get("1:group")
+        told = group is not None and bool(abs((span @ span[group])[group] - 1.0) < 1e-6) and a[group, group] > 0
+        return pd.DataFrame({"comparison_id": [pdf["comparison_id"].iloc[0]], "coefficients": [len(names)], "rank": [span.shape[1]], "estimable": [told]})
+
+    return judge
+
+
+def estimability(design: DataFrame) -> DataFrame:
+    """Per comparison: samples of either arm, coefficients, rank of the design, and whether the group effect is estimable.
+
+    ``design`` is that of ``design_table``. A comparison with one arm, or whose
+    groups differ exactly as a covariate does, is not estimable.
+    """
+    a = design.select("comparison_id", "sample_id", F.col("coef").alias("i"), F.col("x").alias("_x"))
+    b = design.select("comparison_id", "sample_id", F.col("coef").alias("j"), F.col("x").alias("_z"))
+    gram = a.join(b, ["comparison_id", "sample_id"]).groupBy("comparison_id", "i", "j").agg(F.sum(F.col("_x") * F.col("_z")).alias("v"))
+    ranks = gram.groupBy("comparison_id").applyInPandas(_estimable(), "comparison_id string, coefficients long, rank long, estimable boolean")
+    sizes = design.filter("coef = '1:group'").groupBy("comparison_id").agg(F.count_if(F.col("x") == 1.0).alias("n_a"), F.count_if(F.col("x") == 0.0).alias("n_b"))
+    return sizes.join(ranks, "comparison_id")
+
+
 def ols_group_effect(log_values: DataFrame, design: DataFrame, zero: float = math.log2(0.5)) -> DataFrame:
     """Group coefficient, t and residual variance of every gene in every comparison.
 
