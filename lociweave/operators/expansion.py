@@ -115,7 +115,7 @@ def vote_neighbours(
     that it shares with the query the narrowest counts. Voters are cut to
     eight times ``max_neighbours`` (at least 60), those kept anyway first to stay.
     """
-    c = candidates.filter("query_modality = 'compound'")
+    c = candidates.filter("query_modality = 'compound'").select("query_id", "ref_id", "similarity", "modality", "query_modality", "qc", "raw_rank")
     ref_labels, query_labels = reference_labels(ref_genes, gene_labels), own_labels(own_genes, gene_labels)
     flags = {
         "voter": voting_references(c, ref_genes, ref_labels, own_genes, query_labels, first, ratio),

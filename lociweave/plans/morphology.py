@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociweave.operators import expansion as X
 from lociweave.operators import selection as SEL
 from lociweave.operators import similarity as SIM
 from lociweave.operators import statistics as ST
@@ -32,6 +33,38 @@ def reference_genes(metadata: DataFrame, compound_targets: DataFrame) -> DataFra
     return attach(both, t, ["ref_id"]).withColumn("weight", F.col("weight") / F.greatest(F.lit(1.0), F.col("_t"))).drop("_t")
 
 
+#: Short names of the label levels that expansion uses, besides its own.
+LEVEL_NAMES = dict(zip(("pathway", "class", "mechanism", "family"), X.LEVELS))
+
+
+def expansion(
+    rated: DataFrame, kept: DataFrame, support: DataFrame, base: DataFrame, genes: DataFrame, gene_labels: DataFrame, own_genes: DataFrame,
+    mode: str = "hybrid", max_neighbours: int = 20, min_effective: int = 5, bundle_genes: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Label decision of every query, and its scores after expansion.
+
+    ``rated`` are neighbours with similarity, qc, evidence, modality,
+    query_modality and protected; ``kept`` those after the cut, ``support`` the
+    genes that they back, ``base`` the scores to expand. Compound queries vote
+    with boosted evidence, others with that of their most evident neighbours.
+    """
+    name = F.col("level")
+    for short, level in LEVEL_NAMES.items():
+        name = F.when(F.col("level") == short, level).otherwise(name)
+    labels = gene_labels.select("gene_id", name.alias("level"), "label").filter(F.col("level").isin(*X.LEVELS) & (F.col("label") != ""))
+    pool = max(8 * max_neighbours, min_effective, 50)
+    ranked = materialize(SEL.top_k(rated, ["query_id"], max(pool, 80), [F.col("similarity").desc(), F.col("ref_id").asc()], "raw_rank"))
+    leading = materialize(SEL.top_k(ranked, ["query_id"], pool, [F.col("protected").desc(), F.col("evidence").desc(), F.col("similarity").desc(), F.col("ref_id").asc()], "_r").drop("_r"))
+    by = ["query_id", "ref_id", "similarity", "evidence", "modality", "query_modality"]
+    compound = X.vote_neighbours(ranked, genes, labels, own_genes, leading.select("query_id", "ref_id"), ranked.filter("protected").select("query_id", "ref_id"), max_neighbours, min_effective)
+    voted = materialize(compound.select(*by).unionByName(leading.filter("query_modality is null or query_modality <> 'compound'").select(*by)))
+    raw = ranked.join(voted.select("query_id", "ref_id"), ["query_id", "ref_id"], "left_semi").withColumn("evidence", F.col("similarity") * F.col("qc"))
+    exact = support.filter("score > 0").join(own_genes, ["query_id", "gene_id"], "left_semi").select("query_id")
+    asked = rated.groupBy("query_id").agg(F.max("query_modality").alias("query_modality"))
+    decision = materialize(X.expansion_decision(asked, raw.select(*by), voted, kept.select(*by), X.reference_labels(genes, labels), X.own_labels(own_genes, labels), exact, mode))
+    return decision, X.expand_by_label(base, decision, kept, genes, labels, own_genes, bundle_genes)
+
+
 def align(queries: DataFrame, references: DataFrame, stats: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both long tables on their shared features, standardised when feature statistics are given.
 
@@ -50,13 +83,21 @@ def morphology_profile_query(
     stats: DataFrame | None = None, controls: str = "mean_center", metric: str = "cosine", polarity: str = "similar", mode: str = "direct_target",
     gene_labels: DataFrame | None = None, max_neighbours: int = 20, min_similarity: float = 0.0, power: float = 1.0, hub_mode: str = "inverse_rank",
     cross_penalty: float = 0.35, min_effective: int = 5, drop_ratio: float = 0.25, mutual: bool = False, select: dict | None = None,
+    own_genes: DataFrame | None = None, bundle_genes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Query profiles to genes by direct targets, mechanism or their merge.
 
+    With ``gene_labels`` (gene_id, level, label), mechanism and hybrid scores are
+    expanded by the label that each query's neighbours agree on; ``own_genes``
+    (query_id, gene_id) are genes that queries name themselves. The result then
+    has ``decision`` and the preferred ``variant`` of every query as well.
+
     ``queries`` (id, feature, value), ``references`` likewise; ``metadata`` has
     id, modality, gene_symbol, compound_id, is_control, qc_weight, hub_score.
     Controls calibrate both sides and leave the reference, and so do query ids.
     """
+    expanding = gene_labels is not None and mode in ("mechanism", "hybrid")
+    own_genes = queries.sparkSession.createDataFrame([], "query_id string, gene_id string") if own_genes is None else own_genes
     metadata = metadata.withColumn("modality", modality("modality"))
     q, r, names = align(queries, references, stats)
     ctrl = metadata.filter("is_control").select("id")
@@ -75,7 +116,7 @@ def morphology_profile_query(
     # Cross-modality and mutual damping can only lower evidence, and by no more than this.
     least = min(cross_penalty, 1.0) * (0.5 if mutual else 1.0)
     found = materialize(SIM.candidates_by_evidence(
-        qv, rated, max_neighbours, power, least, min_similarity, polarity, metric == "pearson", leading=max(max_neighbours, 5), near_best=0.9, counts=True))
+        qv, rated, max_neighbours, power, least, min_similarity, polarity, metric == "pearson", leading=max(8 * max_neighbours, 80) if expanding else max(max_neighbours, 5), near_best=0.9, counts=True))
     counts = found.filter("ref_id is null")
     cand = SIM.polarity_candidates(found.filter("ref_id is not null").select("query_id", "ref_id", "similarity"), polarity, min_similarity)
     if polarity == "opposite":
@@ -93,16 +134,23 @@ def morphology_profile_query(
     e = recovered.unionByName(e.filter("query_modality is null"))
     if mutual:
         e = SIM.mutual_filter(e, rv).drop("mutual_similarity")
-    flagged = SIM.protect_same_modality(e)
+    flagged = SIM.protect_same_modality(e, own_genes=own_genes, ref_genes=genes)
     kept = materialize(SIM.neighbour_cut(SIM.keep_protected(flagged, max_neighbours), max_neighbours, min_effective, drop_ratio))
     support = materialize(SIM.nominate_core(SIM.target_support(kept, genes)))
     core = support.filter("core").select("query_id", "gene_id", "score")
     total = core.groupBy("query_id").agg(F.sum("score").alias("_t"))
     core = attach(core, total, ["query_id"]).filter("_t > 0").select("query_id", "gene_id", (F.col("score") / F.col("_t")).alias("score"))
     mech = SIM.mechanism_scores(kept, genes, idf=SIM.gene_recurrence(genes))
+    extra = {}
+    if expanding:
+        extra["decision"], grown = expansion(flagged, kept, support, mech, genes, gene_labels, own_genes, mode, max_neighbours, min_effective, bundle_genes)
+        mech = materialize(grown)
+        sized = lambda d: SEL.select_and_weight(d.select("query_id", "gene_id", "score"), ["query_id"], **(select or {}))
+        extra["variant"] = X.preferred_variant(sized(core), sized(mech), extra["decision"], mode)
+        mech = mech.select("query_id", "gene_id", "score")
     scores = {"direct_target": core, "mechanism": mech, "hybrid": SIM.hybrid_merge(core, mech)}[mode]
     picked = SEL.select_and_weight(scores, ["query_id"], **(select or {}))
-    out = {"genes": picked, "neighbours": kept, "support": support}
+    out = {"genes": picked, "neighbours": kept, "support": support, **extra}
     if gene_labels is not None:
         lab = genes.join(gene_labels, "gene_id").select("ref_id", "level", "label", "weight")
         out["votes"] = SIM.label_vote(kept, lab)

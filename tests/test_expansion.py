@@ -289,3 +289,26 @@ def test_preferred_variant(spark):
     got = {r.query_id: (r.variant, r.why) for r in X.preferred_variant(core, more, d).collect()}
     assert got == {"a": ("expanded", "expansion_confidence"), "b": ("core", "exact_target_confidence"), "c": ("expanded", "fallback_expanded"), "d": ("core", "fallback_core"), "e": ("core", "exact_target_confidence")}
     assert {r.why for r in X.preferred_variant(core, more, d, "mechanism").collect()} == {"mechanism_mode"}
+
+
+def test_profile_query_expands_by_the_agreed_label(spark):
+    from lociweave.plans import morphology as MO
+
+    prof = {"q1": (0.95, 0.05, 0), "q2": (0, 0.1, 1), **{f"r{i}": (1, 0.03 * i, 0) for i in range(5)}, "far": (0, 0, 1)}
+    long = lambda names: table(spark, [(k, f"f{i}", float(x)) for k in names for i, x in enumerate(prof[k])], "id string, feature string, value double")
+    refs = [k for k in prof if k[0] != "q"]
+    meta = table(spark, [(k, "compound" if k != "far" else "orf", "GF" if k == "far" else None, f"c{k}", False, 1.0, 0.1) for k in refs],
+                 "id string, modality string, gene_symbol string, compound_id string, is_control boolean, qc_weight double, hub_score double")
+    targets = table(spark, [(f"cr{i}", f"G{i % 3}", 1.0) for i in range(5)], "compound_id string, gene_id string, weight double")
+    labels = table(spark, [(f"G{i}", lv, t) for i in range(3) for lv, t in (("family", "kinase"), ("mechanism", "m1"))] + [("GX", "mechanism", "m1"), ("GY", "family", "kinase"), ("GF", "mechanism", "m1")], LABELS)
+    members = table(spark, [("q1", "compound"), ("q2", "orf")], "query_id string, modality string")
+    out = MO.morphology_profile_query(long(["q1", "q2"]), long(refs), meta, targets, members, controls="none", mode="hybrid", gene_labels=labels,
+                                      own_genes=table(spark, [("q1", "G1")], OWN), select={"how": "none"}, min_similarity=0.1)
+    decided = {r.query_id: r for r in out["decision"].collect()}
+    assert decided["q1"].level == "mechanism_label" and decided["q1"].label == "m1" and decided["q1"].reason == "prelabel_coherent_label_support"
+    genes = {(r.query_id, r.gene_id) for r in out["genes"].collect()}
+    # GF carries the label and is no neighbour's target; nothing at all backs GX, and GY only shares the family.
+    assert ("q1", "GF") in genes and ("q1", "GX") not in genes and ("q1", "GY") not in genes
+    assert {r.query_id: r.variant for r in out["variant"].collect()}["q1"] == "expanded"
+    plain = MO.morphology_profile_query(long(["q1"]), long(refs), meta, targets, controls="none", mode="direct_target", gene_labels=labels, select={"how": "none"})
+    assert "decision" not in plain and {r.gene_id for r in plain["genes"].collect()} <= {"G0", "G1", "G2", "GF"}
