@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
@@ -80,14 +81,15 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
 
     def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Whether a space and each text is what its tokens join to; ids of both sides and their ends per text, of those that are."""
+        """Whether each text is what its tokens join to; ids of both sides and their ends per text, of those that are."""
         plain = [t.decode() for t in texts]
         a = [self.bpe.encode_ordinary(" " + t) for t in plain]
         b = self.pieces.encode(plain, num_threads=1)
-        joined = [[b"".join(map(known.__getitem__, x)) for x in side] for known, side in ((self.a_bytes, a), (self.b_bytes, b))]
-        good = [x == b" " + t == y for t, x, y in zip(texts, *joined)]
-        flat = [[x for x, g in zip(side, good) if g] for side in (a, b)]
-        a, b = ((np.fromiter(chain.from_iterable(x), np.int32), np.cumsum([len(y) for y in x], dtype=np.int64)) for x in flat)
+        known = self.b_bytes.__getitem__
+        # Side a only cuts the text into pieces, side b may change it.
+        good = [b"".join(map(known, x)) == b" " + t for t, x in zip(texts, b)]
+        flat = [[array("i", x) for x, g in zip(side, good) if g] for side in (a, b)]
+        a, b = ((np.frombuffer(b"".join(x), np.int32), np.cumsum([len(y) for y in x], dtype=np.int64)) for x in flat)
         return np.array(good, bool), *a, *b
 
 
