@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lociweave.catalog.tables import r6, table
 from lociweave.operators import expansion as X
+from lociweave.operators.joins import attach_total
+from lociweave.session import materialize
 
 KINDS = {0: "compound", 1: "compound", 2: "orf", 3: "crispr"}
 
@@ -116,4 +118,43 @@ SELECT query_id, f IS NOT NULL AS allow, coalesce(f.r, 'prelabel_label_support_t
 FROM d LEFT JOIN mis USING (query_id)"""
 
 
-QUERIES = {"expansion_decision": (expansion_decision, SQL_DECISION)}
+def label_expansion(spark, d):
+    decision, kept, genes, labels, own = _decisions(spark, d, "mechanism")
+    decision, kept = materialize(decision), materialize(kept)
+    base = kept.join(genes, "ref_id").groupBy("query_id", "gene_id").agg(F.sum(F.col("evidence") * F.col("weight")).alias("score"))
+    bundle = genes.filter("gene_id like 'Brand#1%'").select("gene_id")
+    out = X.expand_by_label(base, decision, kept, genes, labels, own, bundle)
+    share = attach_total(out, ["query_id"], "score", "total").withColumn("share", F.col("score") / F.col("total"))
+    return share.select("query_id", "gene_id", r6("share", 8).alias("share"), "expanded", "scope")
+
+
+SQL_EXPANSION = f"""WITH {_rules('mechanism')},
+near AS (SELECT * FROM pairs WHERE flag = 'R'),
+base AS (SELECT query_id, gene, sum(e * w) AS s FROM near JOIN g USING (ref_id) GROUP BY ALL),
+ch AS (SELECT query_id, lv, f.l AS label, f.c AS conf FROM d WHERE f IS NOT NULL),
+c0 AS (SELECT ch.query_id, lv, lab.gene, lab.gene LIKE 'Brand#1%' AS b, base.s IS NOT NULL AS nr, coalesce(base.s, 0) AS loc, own.gene IS NOT NULL AS own
+  FROM ch JOIN lab USING (lv, label) LEFT JOIN base ON base.query_id = ch.query_id AND base.gene = lab.gene LEFT JOIN own ON own.query_id = ch.query_id AND own.gene = lab.gene),
+c1 AS (SELECT *, CASE WHEN ab THEN 'bundle' WHEN an THEN 'local' ELSE 'global' END AS scope FROM (SELECT *, bool_or(b) OVER p AS ab, bool_or(nr) OVER p AS an FROM c0 WINDOW p AS (PARTITION BY query_id))
+  WHERE lv < 3 OR own OR CASE WHEN ab THEN b WHEN an THEN nr ELSE true END),
+bel AS (SELECT c1.query_id, c1.gene, lab.lv AS sub, lab.label AS txt, loc FROM c1 JOIN lab ON lab.gene = c1.gene AND lab.lv < c1.lv),
+vt AS (SELECT query_id, sub, txt, sum(loc) AS m, count(*) AS n FROM bel GROUP BY ALL),
+va AS (SELECT vt.*, named.label IS NOT NULL AND m > 0 AS asked FROM vt LEFT JOIN named ON named.query_id = vt.query_id AND named.lv = sub AND named.label = txt),
+vb AS (SELECT *, bool_or(asked) OVER p AS byq, max(CASE WHEN asked THEN m END) OVER p AS am, sum(m) OVER p AS t,
+  row_number() OVER (PARTITION BY query_id, sub ORDER BY m DESC, n DESC, txt DESC) AS rk FROM va WINDOW p AS (PARTITION BY query_id, sub)),
+lk AS (SELECT query_id, sub, txt, byq, CASE WHEN byq THEN am ELSE m END AS s FROM vb WHERE asked OR (NOT byq AND rk = 1 AND t > 0 AND m / t >= 0.6 AND n >= 2)),
+pg AS (SELECT query_id, gene, sum(s) AS bonus, max(s) AS most, bool_or(byq) AS fits FROM bel JOIN lk USING (query_id, sub, txt) GROUP BY ALL),
+nar AS (SELECT DISTINCT query_id, true AS nar FROM lk WHERE byq),
+rf AS (SELECT gene, count(DISTINCT ref_id) AS r FROM g GROUP BY 1),
+c2 AS (SELECT query_id, gene, own, scope, coalesce(most, 0) AS most, (loc + 0.25 * coalesce(r, 0) + 0.25 * coalesce(bonus, 0)) * CASE WHEN nar AND NOT coalesce(fits, false) THEN 0.25 ELSE 1 END AS w0
+  FROM c1 LEFT JOIN pg USING (query_id, gene) LEFT JOIN nar USING (query_id) LEFT JOIN rf USING (gene) WHERE nar IS NULL OR coalesce(fits, false) OR own),
+c3 AS (SELECT query_id, gene, scope, CASE WHEN own THEN greatest(w0, 0.75 + 2.5 * most) ELSE w0 END AS w FROM c2),
+al AS (SELECT query_id, sum(w) AS allw, min(scope) AS sc FROM c3 GROUP BY 1),
+tt AS (SELECT query_id, sum(s) AS t FROM base GROUP BY 1),
+j AS (SELECT query_id, gene, base.s, c3.w FROM base FULL JOIN c3 USING (query_id, gene)),
+r AS (SELECT j.query_id, gene, s, w, conf, allw, sc, conf IS NOT NULL AND allw IS NOT NULL AS touched, coalesce(t, 0) AS t FROM j LEFT JOIN ch USING (query_id) LEFT JOIN al USING (query_id) LEFT JOIN tt USING (query_id)),
+o AS (SELECT query_id, gene AS gene_id, touched, touched AND coalesce(w, 0) > 0 AS expanded, CASE WHEN touched THEN sc ELSE 'none' END AS scope,
+  CASE WHEN NOT touched THEN s ELSE coalesce(s, 0) * CASE WHEN w IS NULL THEN greatest(0.2, 1 - 1.1 * conf) ELSE 1 END + CASE WHEN coalesce(w, 0) > 0 THEN greatest(1e-6, 0.35 * t * conf) * w / allw ELSE 0 END END AS score FROM r)
+SELECT query_id, gene_id, round(score / sum(score) OVER (PARTITION BY query_id), 8) AS share, expanded, scope FROM o"""
+
+
+QUERIES = {"expansion_decision": (expansion_decision, SQL_DECISION), "label_expansion": (label_expansion, SQL_EXPANSION)}

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lociweave.operators.joins import attach
 from lociweave.operators.selection import top_k
+from lociweave.session import materialize
 
 # Levels from narrow to broad, with the certainty that a vote of the level carries.
 LEVELS = {"pathway_seed": 1.0, "target_class": 0.92, "mechanism_label": 0.85, "target_family": 0.75}
@@ -145,21 +146,34 @@ POOLS = ("raw", "own", "voted", "kept")
 
 
 class _Seen:
-    """Columns of one query: the leading vote of each pool at each level, and the labels that the query names."""
+    """Columns of one query: the leading vote of each pool at each level, and whether the query names its label."""
+
+    @staticmethod
+    def columns() -> dict[str, Column]:
+        """The votes and named labels of the maps ``_votes`` and ``_named`` as plain columns."""
+        out = {}
+        for level in LEVELS:
+            named = F.element_at("_named", F.lit(level))
+            out[f"_names_{level}"] = F.coalesce(F.size(named) > 0, F.lit(False))
+            for pool in POOLS:
+                vote = F.element_at("_votes", F.lit(f"{pool} {level}"))
+                out[f"_{pool}_{level}_label"] = vote.getField("label")
+                out |= {f"_{pool}_{level}_{f}": F.coalesce(vote.getField(f), F.lit(0)) for f in ("mass", "support", "same")}
+                out[f"_{pool}_{level}_fits"] = F.coalesce(F.array_contains(named, vote.getField("label")), F.lit(False))
+        return out
 
     def vote(self, pool: str, level: str, field: str) -> Column:
-        got = F.element_at("_votes", F.lit(f"{pool} {level}")).getField(field)
-        return got if field == "label" else F.coalesce(got, F.lit(0))
+        return F.col(f"_{pool}_{level}_{field}")
 
     def has(self, pool: str, level: str) -> Column:
         return self.vote(pool, level, "label").isNotNull()
 
     def names(self, level: str) -> Column:
-        return F.coalesce(F.size(F.element_at("_named", F.lit(level))) > 0, F.lit(False))
+        return F.col(f"_names_{level}")
 
     def fits(self, pool: str, level: str) -> Column:
         """Whether the vote's label is one that the query names."""
-        return F.coalesce(F.array_contains(F.element_at("_named", F.lit(level)), self.vote(pool, level, "label")), F.lit(False))
+        return F.col(f"_{pool}_{level}_fits")
 
     def sure(self, pool: str, level: str, references: Column, enough: int) -> Column:
         """Share of the vote, less where few references are behind it, and by the level's certainty."""
@@ -277,7 +291,9 @@ def expansion_decision(
         "_compound": kind == "compound", "_genetic": kind.isin("orf", "crispr"), "_mode": F.lit(mode),
         "_exact": F.coalesce("_exact", F.lit(False)) if exact is not None else F.lit(False),
     })
+    # Written, so that the rules read plain columns.
     s = _Seen()
+    q = materialize(q.withColumns(_Seen.columns()).drop("_votes", "_named"))
     levels = {level: _at_level(s, level) for level in LEVELS}
     expandable = F.lit(mode in ("mechanism", "hybrid"))
     first = F.coalesce(*_override(s))
