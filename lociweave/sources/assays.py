@@ -340,8 +340,12 @@ def read_prior(spark: SparkSession, path: str, key: str, numeric: Sequence[str]
 
 
 def read_calorimetry(spark: SparkSession, path: str) -> DataFrame:
-    """CSV trace to (subject_id, variable, t_hours, value); hours from hour/day, else the timestamp."""
+    """CSV trace to (subject_id, variable, t_hours, value); hours from hour/day, else the timestamp, else the row's number in the file from 0."""
+    from lociweave.operators.sliced import ranked
+
     t = read_table(spark, path, ",")
+    numbered = ranked(t.select("row_ordinal"), [], [F.col("row_ordinal").asc()], "_n").select("row_ordinal", (F.col("_n") - 1).cast("double").alias("_index"))
+    t = t.join(numbered, "row_ordinal")
     q = lambda c: F.col(f"`{c}`")
     subject = resolve_column(t.columns, "subject", ("subject.id", "subject_id", "id"), required=True)
     hour = resolve_column(t.columns, "hour", ("exp.hour", "exp_hour", "hour"))
@@ -352,11 +356,11 @@ def read_calorimetry(spark: SparkSession, path: str) -> DataFrame:
     h, d = num(hour), num(day)
     ts = S.parse_time(q(stamp)) if stamp else F.lit(None).cast("timestamp")
     from_ts = F.hour(ts) + F.minute(ts) / 60.0 + (F.dayofmonth(ts) - 1) * 24.0
-    when = F.coalesce(h + (F.coalesce(d, F.lit(1.0)) - 1) * 24.0, from_ts)
+    when = F.coalesce(h + (F.coalesce(d, F.lit(1.0)) - 1) * 24.0, from_ts, F.col("_index"))
     found = {v: resolve_column(t.columns, v, names) for v, names in CALORIMETRY_VARIABLES.items()}
     cols = [num(c).alias(v) for v, c in found.items() if c]
     names = [v for v, c in found.items() if c]
-    wide = t.select(S.clean(q(subject)).alias("subject_id"), when.alias("t_hours"), *cols).filter("subject_id is not null and t_hours is not null")
+    wide = t.select(S.clean(q(subject)).alias("subject_id"), when.alias("t_hours"), *cols).filter("subject_id is not null")
     return wide.unpivot(["subject_id", "t_hours"], [F.col(f"`{n}`") for n in names], "variable", "value").filter("value is not null")
 
 

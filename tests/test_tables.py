@@ -133,6 +133,13 @@ def test_calorimetry_times(spark, tmp_path):
     assert got == {("A", "vo2"): (30.5, 1.0), ("A", "feed"): (30.5, 2.0), ("B", "vo2"): (29.0, 3.0)}
 
 
+def test_trace_without_times_is_numbered(spark, tmp_path):
+    bare = put(tmp_path / "bare.csv", "subject.id,vo2\nA,1\nB,2\n,9\nA,3\n")
+    assert {(r["subject_id"], r["t_hours"], r["value"]) for r in A.read_calorimetry(spark, bare).collect()} == {("A", 0.0, 1.0), ("B", 1.0, 2.0), ("A", 3.0, 3.0)}
+    some = put(tmp_path / "some.csv", "subject.id,exp.hour,exp.day,vo2\nA,5,2,1\nA,,,2\nA,x,1,3\n")
+    assert {(r["t_hours"], r["value"]) for r in A.read_calorimetry(spark, some).collect()} == {(29.0, 1.0), (1.0, 2.0), (2.0, 3.0)}
+
+
 def test_sessions(spark, tmp_path):
     long = put(tmp_path / "l.csv", "id,group1,Lean.Mass\nA,wt,20\nB,ko,21\n")
     wide = put(tmp_path / "w.csv", "id,group1,group2,group_names,exc,Total.Mass\nA,A,B,wt,,30\nB,,,ko,10,31\n")
