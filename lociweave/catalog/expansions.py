@@ -53,13 +53,13 @@ named AS (SELECT DISTINCT query_id, lv, label FROM own JOIN lab USING (gene))"""
 
 def _pools(pairs):
     by = ["query_id", "ref_id", "modality", "query_modality"]
-    whole = pairs.groupBy(*by).agg(F.sum("evidence").alias("evidence"))
-    return whole, pairs.filter("flag = 'N'").select(*by, "evidence"), pairs.filter("flag = 'R'").select(*by, "evidence")
+    # The vote adds up a reference's rows.
+    return pairs.select(*by, "evidence"), pairs.filter("flag = 'N'").select(*by, "evidence"), pairs.filter("flag = 'R'").select(*by, "evidence")
 
 
 def _decisions(spark, d, mode):
     queries, pairs, genes, labels, own = _world(spark, d)
-    raw, voted, kept = _pools(pairs)
+    raw, voted, kept = _pools(materialize(pairs))
     return X.expansion_decision(queries, raw, voted, kept, X.reference_labels(genes, labels), X.own_labels(own, labels), queries.filter("exact"), mode), kept, genes, labels, own
 
 
@@ -120,11 +120,11 @@ FROM d LEFT JOIN mis USING (query_id)"""
 
 def label_expansion(spark, d):
     decision, kept, genes, labels, own = _decisions(spark, d, "mechanism")
-    decision, kept = materialize(decision), materialize(kept)
-    base = kept.join(genes, "ref_id").groupBy("query_id", "gene_id").agg(F.sum(F.col("evidence") * F.col("weight")).alias("score"))
+    decision = materialize(decision)
+    base = materialize(X.neighbour_genes(kept, genes, "score"))
     bundle = genes.filter("gene_id like 'Brand#1%'").select("gene_id")
     out = X.expand_by_label(base, decision, kept, genes, labels, own, bundle)
-    share = attach_total(out, ["query_id"], "score", "total").withColumn("share", F.col("score") / F.col("total"))
+    share = attach_total(materialize(out), ["query_id"], "score", "total").withColumn("share", F.col("score") / F.col("total"))
     return share.select("query_id", "gene_id", r6("share", 8).alias("share"), "expanded", "scope")
 
 

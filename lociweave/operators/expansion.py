@@ -39,16 +39,37 @@ def reference_labels(ref_genes: DataFrame, gene_labels: DataFrame) -> DataFrame:
     return found.withColumn("weight", F.least(F.lit(1.0), "weight"))
 
 
-def level_votes(neighbours: DataFrame, ref_labels: DataFrame) -> DataFrame:
-    """Leading label per (query, level): label, its share ``mass``, references behind it, and those of the query's modality."""
+def _label_sets(ref_labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ref_id, set_id) and (set_id, labels): references with the same labels and weights share one set."""
+    packed = ref_labels.groupBy("ref_id").agg(F.sort_array(F.collect_list(F.struct("level", "label", "weight"))).alias("labels"))
+    packed = materialize(packed)
+    sets = materialize(packed.groupBy("labels").agg(F.min("ref_id").alias("set_id")))
+    return packed.join(sets, "labels").select("ref_id", "set_id"), sets.select("set_id", "labels")
+
+
+def pool_votes(pools: DataFrame, ref_labels: DataFrame) -> DataFrame:
+    """``level_votes`` of several pools of neighbours at once, those of ``pool``.
+
+    The neighbours are dealt by query with the number of their label set; what
+    follows stays where the query is, so labels are never shuffled.
+    """
     same = F.coalesce(F.col("modality") == F.col("query_modality"), F.lit(False))
+    of, sets = _label_sets(ref_labels)
+    rows = pools.filter("evidence > 0").select("query_id", "pool", "ref_id", "evidence", same.alias("_same")).join(of, "ref_id").repartition("query_id")
+    once = rows.groupBy("query_id", "pool", "ref_id").agg(F.sum("evidence").alias("evidence"), F.max("_same").alias("_same"), F.first("set_id").alias("set_id"))
+    by_set = once.groupBy("query_id", "pool", "set_id").agg(F.sum("evidence").alias("evidence"), F.count("*").alias("_n"), F.count_if("_same").alias("_s"))
     votes = (
-        neighbours.filter("evidence > 0").withColumn("_same", same).join(ref_labels, "ref_id").groupBy("query_id", "level", "label")
-        .agg(F.sum(F.col("evidence") * F.col("weight")).alias("_m"), F.countDistinct("ref_id").alias("support"), F.countDistinct(F.when(F.col("_same"), F.col("ref_id"))).alias("same"))
+        by_set.join(sets, "set_id").select("query_id", "pool", "evidence", "_n", "_s", F.inline("labels")).groupBy("query_id", "pool", "level", "label")
+        .agg(F.sum(F.col("evidence") * F.col("weight")).alias("_m"), F.sum("_n").alias("support"), F.sum("_s").alias("same"))
     )
     first = F.min_by(F.struct("label", "_m", "support", "same"), F.struct((-F.col("_m")).alias("m"), F.col("label").alias("l"))).alias("_b")
-    led = votes.groupBy("query_id", "level").agg(first, F.sum("_m").alias("_t")).filter("_t > 0")
-    return led.select("query_id", "level", "_b.label", (F.col("_b._m") / F.col("_t")).alias("mass"), "_b.support", "_b.same")
+    led = votes.groupBy("query_id", "pool", "level").agg(first, F.sum("_m").alias("_t")).filter("_t > 0")
+    return led.select("query_id", "pool", "level", "_b.label", (F.col("_b._m") / F.col("_t")).alias("mass"), "_b.support", "_b.same")
+
+
+def level_votes(neighbours: DataFrame, ref_labels: DataFrame) -> DataFrame:
+    """Leading label per (query, level): label, its share ``mass``, references behind it, and those of the query's modality."""
+    return pool_votes(neighbours.withColumn("pool", F.lit("")), ref_labels).drop("pool")
 
 
 def own_labels(own_genes: DataFrame, gene_labels: DataFrame) -> DataFrame:
@@ -277,11 +298,12 @@ def expansion_decision(
     same = raw.filter(F.col("modality") == F.col("query_modality"))
     pools = None
     for name, pool in zip(POOLS, (raw, same, voted, kept)):
-        votes = level_votes(pool, ref_labels).withColumn("_key", F.concat(F.lit(f"{name} "), "level"))
-        pools = votes if pools is None else pools.unionByName(votes)
+        part = pool.select(F.lit(name).alias("pool"), "query_id", "ref_id", "evidence", "modality", "query_modality")
+        pools = part if pools is None else pools.unionByName(part)
+    votes = pool_votes(pools, ref_labels).withColumn("_key", F.concat("pool", F.lit(" "), "level"))
     entry = F.struct("_key", F.struct("label", "mass", "support", "same"))
     # At most one vote per pool and level, and few labels that a query names.
-    votes = pools.groupBy("query_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_votes"))
+    votes = votes.groupBy("query_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_votes"))
     named = query_labels.groupBy("query_id", "level").agg(F.collect_set("label").alias("_l")).groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("level", "_l"))).alias("_named"))
     q = queries.select("query_id", "query_modality").join(votes, "query_id", "left").join(named, "query_id", "left")
     if exact is not None:
@@ -334,6 +356,13 @@ def _narrower(level: Column) -> Column:
     return out
 
 
+def neighbour_genes(neighbours: DataFrame, ref_genes: DataFrame, out: str) -> DataFrame:
+    """(query_id, gene_id, ``out``): evidence times weight over the genes of a query's neighbours, summed where the query is."""
+    packed = ref_genes.groupBy("ref_id").agg(F.collect_list(F.struct("gene_id", "weight")).alias("_g"))
+    rows = neighbours.select("query_id", "ref_id", "evidence").join(packed, "ref_id").repartition("query_id")
+    return rows.select("query_id", "evidence", F.inline("_g")).groupBy("query_id", "gene_id").agg(F.sum(F.col("evidence") * F.col("weight")).alias(out))
+
+
 def expand_by_label(
     scores: DataFrame, decisions: DataFrame, neighbours: DataFrame, ref_genes: DataFrame, gene_labels: DataFrame, own_genes: DataFrame,
     bundle_genes: DataFrame | None = None, inject: float = 0.35, damp: float = 1.1, least_damped: float = 0.2,
@@ -351,10 +380,12 @@ def expand_by_label(
     chosen = decisions.filter("level is not null").select("query_id", "level", "label", "confidence")
     labelled = chosen.join(gene_labels, ["level", "label"]).select("query_id", "gene_id", "level")
     bundle = (ref_genes if bundle_genes is None else bundle_genes).select("gene_id").distinct().withColumn("_b", F.lit(True))
-    local = neighbours.select("query_id", "ref_id", "evidence").join(ref_genes, "ref_id").groupBy("query_id", "gene_id").agg(F.sum(F.col("evidence") * F.col("weight")).alias("_local"))
+    local = neighbour_genes(neighbours, ref_genes, "_local")
     named = own_genes.select("query_id", "gene_id").distinct().withColumn("_own", F.lit(True))
     c = labelled.join(bundle, "gene_id", "left").join(local, ["query_id", "gene_id"], "left").join(named, ["query_id", "gene_id"], "left")
     c = c.withColumns({"_b": F.coalesce("_b", F.lit(False)), "_near": F.col("_local").isNotNull(), "_local": F.coalesce("_local", F.lit(0.0)), "_own": F.coalesce("_own", F.lit(False))})
+    # Read more than once, here and below.
+    c = materialize(c)
     c = attach(c, c.groupBy("query_id").agg(F.max("_b").alias("_any_b"), F.max("_near").alias("_any_near")), ["query_id"])
     scope = F.when(F.col("_any_b"), "bundle").when(F.col("_any_near"), "local").otherwise("global")
     within = F.when(F.col("_any_b"), F.col("_b")).when(F.col("_any_near"), F.col("_near")).otherwise(True)
@@ -364,14 +395,17 @@ def expand_by_label(
     # What the candidates' narrower labels say.
     below = c.withColumn("_sub", F.explode(_narrower(F.col("level")))).join(
         gene_labels.select("gene_id", F.col("level").alias("_sub"), F.col("label").alias("_text")), ["gene_id", "_sub"])
+    below = materialize(below)
     votes = below.groupBy("query_id", "_sub", "_text").agg(F.sum("_local").alias("_m"), F.count("*").alias("_n"))
     asked = own_labels(own_genes, gene_labels).select("query_id", F.col("level").alias("_sub"), F.col("label").alias("_text"), F.lit(True).alias("_asked"))
     votes = votes.join(asked, ["query_id", "_sub", "_text"], "left").withColumn("_asked", F.coalesce("_asked", F.lit(False)) & (F.col("_m") > 0))
+    votes = materialize(votes)
     lead = votes.groupBy("query_id", "_sub").agg(
         F.max("_asked").alias("_by_query"), F.max(F.when(F.col("_asked"), F.col("_m"))).alias("_asked_m"), F.sum("_m").alias("_t"), F.max(F.struct("_m", "_n", "_text")).alias("_top"))
     v = attach(votes, lead, ["query_id", "_sub"])
     clear = ~F.col("_by_query") & (F.col("_text") == F.col("_top._text")) & (F.col("_t") > 0) & (F.col("_m") / F.col("_t") >= 0.6) & (F.col("_n") >= 2)
     liked = v.filter(F.col("_asked") | clear).select("query_id", "_sub", "_text", "_by_query", F.when(F.col("_by_query"), F.col("_asked_m")).otherwise(F.col("_m")).alias("_s"))
+    liked = materialize(liked)
     per_gene = below.join(liked, ["query_id", "_sub", "_text"]).groupBy("query_id", "gene_id").agg(F.sum("_s").alias("_bonus"), F.max("_s").alias("_most"), F.max("_by_query").alias("_fits"))
     narrowed = liked.filter("_by_query").select("query_id").distinct().withColumn("_narrow", F.lit(True))
     c = c.join(per_gene, ["query_id", "gene_id"], "left").join(narrowed, "query_id", "left")
@@ -384,7 +418,7 @@ def expand_by_label(
     w = F.col("_local") + 0.25 * F.coalesce("_refs", F.lit(0)) + 0.25 * F.col("_bonus")
     w = w * F.when(F.col("_narrow") & ~F.col("_fits"), 0.25).otherwise(1.0)
     w = F.when(F.col("_own"), F.greatest(w, 0.75 + 2.5 * F.col("_most"))).otherwise(w)
-    c = c.select("query_id", "gene_id", "scope", w.alias("_w"))
+    c = materialize(c.select("query_id", "gene_id", "scope", w.alias("_w")))
 
     total = scores.groupBy("query_id").agg(F.sum("score").alias("_total"))
     weight = c.groupBy("query_id").agg(F.sum("_w").alias("_all"), F.first("scope").alias("_scope"))

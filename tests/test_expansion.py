@@ -312,3 +312,20 @@ def test_profile_query_expands_by_the_agreed_label(spark):
     assert {r.query_id: r.variant for r in out["variant"].collect()}["q1"] == "expanded"
     plain = MO.morphology_profile_query(long(["q1"]), long(refs), meta, targets, controls="none", mode="direct_target", gene_labels=labels, select={"how": "none"})
     assert "decision" not in plain and {r.gene_id for r in plain["genes"].collect()} <= {"G0", "G1", "G2", "GF"}
+
+
+def test_votes_shuffle_no_labels_and_count_a_repeated_reference_once(spark):
+    near = table(spark, [("q", "r1", 0.5, 1.0, "orf", "orf"), ("q", "r1", 0.5, 2.0, "orf", "orf"), ("q", "r2", 0.5, 1.0, None, "orf"), ("q", "r3", 0.5, 0.0, "orf", "orf")], NEAR)
+    labels = table(spark, [(r, "target_class", t, w) for r in ("r1", "r2", "r3") for t, w in (("a", 0.75), ("b", 0.25))], "ref_id string, level string, label string, weight double")
+    votes = X.level_votes(near, labels)
+    plan = votes._jdf.queryExecution().executedPlan().toString()
+    # A distinct count multiplies the rows that go into the shuffle.
+    assert "Expand" not in plan
+    assert [tuple(r) for r in votes.collect()] == [("q", "target_class", "a", 0.75, 2, 1)]
+
+
+def test_label_expansion_reads_what_it_wrote(spark):
+    from lociweave.catalog import expansions
+
+    found = expansions.label_expansion(spark, "/root/testdata/sf0.001")
+    assert not any(f.endswith("part.parquet") or "part.parquet/" in f for f in found.inputFiles())
