@@ -56,3 +56,10 @@ def test_few_trusted_documents_leave_the_fixed_value(spark):
     trusted = quality.trusted_documents(docs, labels, "doc_id")
     weights = quality.ratio_weights(trusted, docs, "text", BUCKETS, quality.fold_of("doc_id"), quality.FOLDS)
     assert quality.held_out_threshold(trusted, "text", quality.fold_of("doc_id"), weights) == quality.THRESHOLD
+
+
+def test_every_good_document_is_trusted(spark):
+    n = 20_300
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert quality.trusted_documents(docs, labels, "doc_id").count() == n
