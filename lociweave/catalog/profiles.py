@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lociweave.catalog.tables import r6, table
 from lociweave.operators import similarity as SIM
 from lociweave.operators import statistics as ST
+from lociweave.session import materialize
 
 
 def _vectors(spark, d):
@@ -58,19 +59,22 @@ SQL_HUB = f"WITH {VEC}, {HUB} SELECT v.id, round(coalesce(hub_score, 0), 6) AS h
 
 
 def _evidence(spark, d, polarity="similar"):
-    """The 20 references of most evidence among all that reach the minimum similarity."""
+    """The 20 references of most evidence among all that reach the minimum similarity.
+
+    Hub scores and evidence are written: each costs a product of all pairs and is read more than once.
+    """
     v = _vectors(spark, d)
-    hub = SIM.hub_scores(v.select("id", "vec"), 10)
+    hub = materialize(SIM.hub_scores(v.select("id", "vec"), 10))
     refs = v.select("id", "label").join(hub, "id").withColumn("qc_weight", (F.col("label") + 1) / 10.0)
     factors = SIM.reference_factors(refs, "inverse_rank")
     rated = v.join(factors.select(F.col("ref_id").alias("id"), (F.col("qc") * F.col("hub_factor")).alias("factor")), "id").select("id", "vec", "factor")
     found = SIM.candidates_by_evidence(v.select("id", "vec"), rated, 20, 2.0, min_similarity=0.1, polarity=polarity, exclude_self=True)
     e = SIM.neighbour_evidence(SIM.polarity_candidates(found, polarity, 0.1), refs, 2.0, factors=factors)
-    return SIM.neighbour_cut(e, 20, 20).drop("neighbour_rank"), v
+    return materialize(SIM.neighbour_cut(e, 20, 20).drop("neighbour_rank")), v, hub
 
 
 def knn_evidence(spark, d):
-    e, _ = _evidence(spark, d)
+    e, _, _ = _evidence(spark, d)
     cut = SIM.neighbour_cut(e, 10, 3, 0.25)
     return cut.select("query_id", "ref_id", "neighbour_rank", r6("evidence", 9).alias("evidence"))
 
@@ -84,7 +88,7 @@ SELECT query_id, ref_id, rk AS neighbour_rank, round(evidence, 9) AS evidence FR
 
 
 def opposite_evidence(spark, d):
-    e, _ = _evidence(spark, d, "opposite")
+    e, _, _ = _evidence(spark, d, "opposite")
     return SIM.neighbour_cut(e, 10, 3, 0.25).select("query_id", "ref_id", "neighbour_rank", r6("evidence", 9).alias("evidence"))
 
 
@@ -92,8 +96,8 @@ SQL_OPPOSITE = SQL_KNN.replace("WHERE similarity >= 0.1", "WHERE -similarity >=
 
 
 def high_hub_mass(spark, d):
-    e, v = _evidence(spark, d)
-    out = SIM.high_hub_mass(e, SIM.hub_scores(v.select("id", "vec"), 10))
+    e, _, hub = _evidence(spark, d)
+    out = SIM.high_hub_mass(e, hub)
     return out.select("query_id", r6("high_hub_mass").alias("high_hub_mass"))
 
 
@@ -103,7 +107,7 @@ SELECT query_id, round(sum(CASE WHEN n >= 4 AND rk > floor(0.75 * n) THEN eviden
 
 
 def target_agreement(spark, d):
-    e, v = _evidence(spark, d)
+    e, v, _ = _evidence(spark, d)
     genes = v.select(F.col("id").alias("ref_id"), F.explode(F.array(F.struct(F.concat(F.lit("G"), "label").alias("gene_id"), F.lit(0.5).alias("weight")),
         F.struct(F.concat(F.lit("H"), F.col("label") % 4).alias("gene_id"), F.when(F.col("label") % 2 == 0, 0.5).otherwise(0.3).alias("weight"))))).select("ref_id", "col.*")
     out = SIM.target_agreement(e, genes, 1)
@@ -120,7 +124,7 @@ SELECT query_id, round(p / t, 6) AS primary_agreement, round(k / t, 6) AS top_ag
 
 
 def label_vote(spark, d):
-    e, v = _evidence(spark, d)
+    e, v, _ = _evidence(spark, d)
     lab = v.select(F.col("id").alias("ref_id"), F.lit("class").alias("level"), F.col("label"), F.lit(0.7).alias("weight"))
     lab = lab.unionByName(v.select(F.col("id").alias("ref_id"), F.lit("family").alias("level"), (F.col("label") % 3).cast("int").alias("label"), F.lit(1.4).alias("weight")))
     top = SIM.top_label(SIM.label_vote(e, lab).withColumn("mass", F.round("mass", 12)))
@@ -135,7 +139,7 @@ QUALIFY row_number() OVER (PARTITION BY query_id, level ORDER BY round(mass, 12)
 
 
 def target_support(spark, d):
-    e, v = _evidence(spark, d)
+    e, v, _ = _evidence(spark, d)
     genes = v.select(F.col("id").alias("ref_id"), F.explode(F.array(F.concat(F.lit("G"), "label"), F.concat(F.lit("H"), F.col("label") % 4))).alias("gene_id"), F.lit(0.8).alias("weight"))
     s = SIM.nominate_core(SIM.target_support(e, genes), min_refs=4)
     return s.select("query_id", "gene_id", r6("score").alias("score"), "n_refs", "core")
@@ -181,7 +185,7 @@ SELECT label, feature, round(sum((value - c) / s), 6) + 0.0 AS value FROM l JOIN
 
 
 def mutual_neighbours(spark, d):
-    e, v = _evidence(spark, d)
+    e, v, _ = _evidence(spark, d)
     out = SIM.mutual_filter(e, v.select("id", "vec"), anchors=5, floor=0.1)
     return out.groupBy("query_id").agg(r6(F.sum("mutual_similarity")).alias("mutual"), r6(F.sum("evidence")).alias("evidence"))
 
@@ -195,7 +199,7 @@ SELECT query_id, round(sum(mu), 6) AS mutual, round(sum(evidence), 6) AS evidenc
 
 def cross_modality(spark, d):
     """Modality = parity of the label; cross-modality evidence damped unless a target or family is shared with the anchors."""
-    e, v = _evidence(spark, d)
+    e, v, _ = _evidence(spark, d)
     m = v.select(F.col("id"), (F.col("label") % 2).alias("m"))
     n = e.join(m.select(F.col("id").alias("ref_id"), F.col("m").alias("modality")), "ref_id").join(
         m.select(F.col("id").alias("query_id"), F.col("m").alias("query_modality")), "query_id")
@@ -237,7 +241,7 @@ SELECT gene_id, round(sum(score), 6) AS score, count(*) AS n FROM g GROUP BY 1""
 
 def mechanism_scores(spark, d):
     """Modality from the label: 0-3 compound, others crispr; two genes per reference."""
-    e, v = _evidence(spark, d)
+    e, v, _ = _evidence(spark, d)
     m = v.select(F.col("id"), F.when(F.col("label") < 4, "compound").otherwise("crispr").alias("m"))
     n = e.join(m.select(F.col("id").alias("ref_id"), F.col("m").alias("modality")), "ref_id").join(
         m.select(F.col("id").alias("query_id"), F.col("m").alias("query_modality")), "query_id")
