@@ -34,6 +34,9 @@ MARGIN = 0.05
 LEAST_HELD_OUT = 200
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
+#: Bits of the bitmap of good ids that tasks get, whatever the corpus (8 MB), and how many of them mark an id.
+ID_BITS = 1 << 26
+PROBES = 4
 SMOOTHING = 1.0
 #: N-grams per bucket that the trusted side borrows from the corpus.
 BORROWED = 1.0
@@ -96,11 +99,61 @@ def bucket_counts(docs: DataFrame, text: str, buckets: int = BUCKETS, fold: Colu
     return marked.mapInArrow(count, "fold long, bucket long, n long").groupBy("fold", "bucket").agg(F.sum("n").alias("n"))
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
-    """All documents labelled good."""
-    # Written, so that the optimizer knows whether the ids are few enough to leave the texts in place.
-    good = materialize(labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("_lw_id")).filter("_lw_id is not null").distinct())
-    return docs.join(good, col(doc_id) == F.col("_lw_id"), "left_semi")
+def _marks(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The bits of each hash, PROBES arrays of them."""
+    h = h.view(np.uint64)
+    first, step = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
+    return [((first + np.uint64(k) * step) % np.uint64(bits)).astype(np.int64) for k in range(PROBES)]
+
+
+def _marked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    known = np.ones(len(h), bool)
+    for bit in _marks(h, len(bitmap) * 64):
+        known &= (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) != 0
+    return known
+
+
+def id_bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of all rows of the column ``_lw_hash``; its size is fixed, so the driver may hold and send it."""
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.concatenate(_marks(batch.column("_lw_hash").to_numpy(), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(bit >> 6), pa.array(np.left_shift(np.uint64(1), (bit & 63).astype(np.uint64)).view(np.int64))], names=["at", "bits"])
+
+    found = hashes.select("_lw_hash").mapInArrow(marks, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _only_marked(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """Rows whose ``_lw_hash`` the bitmap knows."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_marked(sent.value, batch.column("_lw_hash").to_numpy())))
+
+    return rows.mapInArrow(known, rows.schema)
+
+
+def trusted_documents(docs: DataFrame, labels: DataFrame, doc_id: str, bits: int = ID_BITS) -> DataFrame:
+    """All documents labelled good.
+
+    Only ids are shuffled, texts stay in place: a bitmap of the good ids, of a
+    fixed size, rules out nearly all other documents, and those that it lets
+    through are known by id and left out by a join.
+    """
+    good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("_lw_good")).filter("_lw_good is not null").distinct()
+    ids = docs.select(col(doc_id).alias("_lw_id")).filter("_lw_id is not null").distinct()
+    ids = materialize(ids.join(good, F.col("_lw_id") == F.col("_lw_good"), "left").select("_lw_id", F.xxhash64("_lw_id").alias("_lw_hash"), F.col("_lw_good").isNotNull().alias("_lw_good")))
+    bitmap = id_bitmap(ids.filter("_lw_good"), bits)
+    # Written, so that the optimizer knows that these are few.
+    stray = materialize(_only_marked(ids.filter("not _lw_good").select("_lw_id", "_lw_hash"), bitmap).select("_lw_id"))
+    discard(ids)
+    known = _only_marked(docs.filter(col(doc_id).isNotNull()).withColumn("_lw_hash", F.xxhash64(col(doc_id))), bitmap).drop("_lw_hash")
+    return known.join(stray, col(doc_id) == F.col("_lw_id"), "left_anti")
 
 
 def fold_of(doc_id: str, folds: int = FOLDS) -> Column:

@@ -63,3 +63,25 @@ def test_every_good_document_is_trusted(spark):
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     assert quality.trusted_documents(docs, labels, "doc_id").count() == n
+
+
+def test_texts_of_trusted_documents_are_not_shuffled(spark):
+    n = 3000
+    docs = spark.range(n).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("words "), "id").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 3 > 0).cast("int").alias("quality"))
+    want = {i for i in range(n) if i % 7 and i % 3}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+    try:
+        found = quality.trusted_documents(docs, labels, "doc_id")
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in found.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_ids_that_share_their_bits_are_told_apart(spark):
+    docs = spark.range(600).union(spark.range(50)).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    labels = spark.range(600).select(F.col("id").cast("int").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    found = [r.doc_id for r in quality.trusted_documents(docs, labels, "doc_id", bits=64).collect()]
+    assert sorted(found) == sorted([i for i in range(600) if i % 2] + [i for i in range(50) if i % 2])
