@@ -46,7 +46,9 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def word_stream(text: Column) -> Column:
     """Words in order, a space before, between and after them."""
-    lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
+    plain = F.coalesce(text.cast("string"), F.lit(""))
+    # Lower-casing an ASCII text changes A-Z alone, and costs far less than looking up each character.
+    lowered = F.when(F.length(plain) == F.octet_length(plain), F.lower(plain)).otherwise(F.translate(plain, UPPER, LOWER))
     return F.regexp_replace(F.concat(F.lit(" "), lowered, F.lit(" ")), SEPARATORS, " ")
 
 
@@ -61,9 +63,6 @@ SEEN = "struct<at:int,spans:array<struct<first:int,last:int>>>"
 def _spans(words: Column, pattern: Column) -> Column:
     """Word spans (first, last exclusive) of the matches of a pattern, left to right."""
     whole = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
-    found = F.regexp_extract_all(words, whole, F.lit(0))
-    gaps = F.slice(F.split(words, whole, -1), F.lit(1), F.size(found))
-    pairs = F.zip_with(gaps, found, lambda g, m: F.struct(spaces(g).alias("gap"), spaces(m).alias("inner")))
 
     def step(seen: Column, x: Column) -> Column:
         first = seen.at + x.gap - 1
@@ -71,7 +70,14 @@ def _spans(words: Column, pattern: Column) -> Column:
         return F.struct((seen.at + x.gap + x.inner).alias("at"), F.concat(seen.spans, F.array(span)).alias("spans")).cast(SEEN)
 
     none = F.struct(F.lit(0).alias("at"), F.array().alias("spans")).cast(SEEN)
-    return F.aggregate(pairs, none, step).spans
+
+    def placed(found: Column) -> Column:
+        # Few rules match, so the text is searched once for each and cut up only where there is something to place.
+        gaps = F.slice(F.split(words, whole, -1), F.lit(1), F.size(found))
+        pairs = F.zip_with(gaps, found, lambda g, m: F.struct(spaces(g).alias("gap"), spaces(m).alias("inner")))
+        return F.when(F.size(found) > 0, F.aggregate(pairs, none, step).spans).otherwise(none.spans)
+
+    return bound(F.regexp_extract_all(words, whole, F.lit(0)), placed)
 
 
 def _detections(words: Column, rule_list: Sequence[Rule]) -> Column:
@@ -81,7 +87,8 @@ def _detections(words: Column, rule_list: Sequence[Rule]) -> Column:
         F.struct(F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(n).alias("rule"), F.lit(k).alias("keyword"), F.lit(pattern).alias("pattern"))
         for n, (label, p, k, pattern) in enumerate(rule_list)
     ])
-    present = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(words, F.concat(F.lit(" "), k, F.lit(" "))))
+    # One pass over the words, not one over the text for each keyword.
+    present = F.array_intersect(F.split(words, " "), F.array(*map(F.lit, keywords)))
 
     def of_rule(r: Column) -> Column:
         return F.transform(_spans(words, r.pattern), lambda s: F.struct(s.first.alias("first"), (-s.last).alias("back"), r.priority.alias("priority"), r.rule.alias("rule"), r.label.alias("label")))

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lociweave.llm import licenses as m
 from lociweave.llm.common import table
@@ -125,3 +126,16 @@ def test_empty_table_clashing_columns_and_bad_priority(spark):
     assert [(r.row.labels, r.res.labels, r.row.n_words, r.res.n_words) for r in rows] == [("x", "mit", 3, 2)] * 2
     with pytest.raises(ValueError):
         m.licenses(df, ["doc_id"], rule_list=[("x", 9, "a", "a")])
+
+
+def test_each_rule_searches_a_text_once(spark):
+    docs = spark.createDataFrame([("the mit license",)], "text string")
+    plan = docs.select(m._detections(F.col("text"), [("mit", 4, "mit", "mit license")]).alias("found"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "contains(" not in plan.replace("array_contains(", "").lower()
+
+
+def test_only_ascii_capitals_are_lowered(spark):
+    texts = ["THE MIT LICENSE", "ÉTÉ İSTANBUL MIT License", "", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    found = [r.w for r in docs.select("i", m.word_stream(F.col("text")).alias("w")).orderBy("i").collect()]
+    assert found == [" the mit license ", " ÉtÉ İstanbul mit license ", " ", " "]
