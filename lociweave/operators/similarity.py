@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociweave.operators.joins import attach, attach_count, attach_total
@@ -16,6 +16,8 @@ from lociweave.operators.selection import top_k
 #: Vectors of a block; a task multiplies two blocks, STEP_ROWS queries at a time.
 BLOCK_ROWS = 16384
 STEP_ROWS = 128
+#: References that a step multiplies at a time where only the leading ones are asked for: the products stay in cache.
+TILE_ROWS = 2048
 #: Columns whose largest value stands for them where a bound is enough.
 GROUP = 32
 
@@ -96,12 +98,107 @@ def _block_product(schema: str, keep, exclude_self: bool):
     return run
 
 
+class _Leaders:
+    """The k best of each query so far, and every pair that may still be among them."""
+
+    def __init__(self, rows: int, k: int, least: float):
+        self.best, self.least, self.found = np.full((rows, k), -np.inf), least, []
+
+    def bound(self) -> np.ndarray:
+        return self.best.min(axis=1) * self.least
+
+    def add(self, i: np.ndarray, j: np.ndarray, similarity: np.ndarray, score: np.ndarray) -> None:
+        self.found.append((i, j, similarity, score))
+        order = np.lexsort((-score, i))
+        rows, first, sizes = np.unique(i[order], return_index=True, return_counts=True)
+        place, k = np.arange(len(order)) - np.repeat(first, sizes), self.best.shape[1]
+        own, top = np.repeat(np.arange(len(rows)), sizes), place < k
+        new = np.full((len(rows), k), -np.inf)
+        new[own[top], place[top]] = score[order][top]
+        self.best[rows] = -np.partition(-np.hstack((self.best[rows], new)), k - 1, axis=1)[:, :k]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j, similarity, score = map(np.concatenate, zip(*self.found)) if self.found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0))
+        bound = self.bound()[i]
+        stays = score >= bound - np.where(np.isfinite(bound), 1e-12 * np.maximum(1.0, np.abs(bound)), 0.0)
+        return i[stays], j[stays], similarity[stays]
+
+
+def _leading_product(schema: str, k: int, exclude_self: bool, low: float = -math.inf, positive: bool = False, sign: float = 1.0, power: float = 1.0, least_factor: float = 1.0):
+    """Cogrouped function over a query and a reference block: pairs that may be among a query's k best by strength^power x factor.
+
+    The strength is ``sign`` x similarity, at least ``low`` and, if asked,
+    positive. References are multiplied by the root of their factor, so products
+    order pairs like their evidence, and taken by falling factor: once not even
+    a similarity of 1 reaches the k-th best so far, the rest is left out.
+    Products of single precision, widened by their largest error, only say
+    which pairs are computed in full; neither step loses one.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        factor = r["factor"].to_numpy(float) if "factor" in r else np.ones(len(r))
+        r, factor = r[~np.isnan(factor)], factor[~np.isnan(factor)]
+        if q.empty or r.empty:
+            return pd.DataFrame({c: [] for c in names})
+        scale = np.clip(np.sign(factor) * np.abs(factor) ** (1.0 / power), -1e30, 1e30)
+        order = np.argsort(-scale, kind="stable")
+        scale, rid = scale[order], r["ref_id"].to_numpy()[order]
+        right = sign * np.stack(r["ref_vec"].to_numpy())[order]
+        single = (right * scale[:, None]).astype(np.float32)
+        # Both sides of a product of unit vectors, each of its sums and the bound are rounded once.
+        error = 2.0 ** -24 * (right.shape[1] + 8)
+        reach = np.maximum.accumulate(np.abs(scale)[::-1])[::-1]
+        limited = low > -math.inf and scale[-1] >= 0
+        out = []
+        for at in range(0, len(q), STEP_ROWS):
+            part = q.iloc[at : at + STEP_ROWS]
+            qid, left = part["query_id"].to_numpy(), np.stack(part["query_vec"].to_numpy())
+            rough = left.astype(np.float32)
+            lead = _Leaders(len(qid), k, least_factor ** (1.0 / power))
+            for lo in range(0, len(rid), TILE_ROWS):
+                hi = min(lo + TILE_ROWS, len(rid))
+                slack, bound = error * reach[lo], lead.bound()
+                live = np.flatnonzero(~(bound > (1.0 + 1e-6) * reach[lo]))
+                if not len(live):
+                    break
+                product = (rough if len(live) == len(rough) else rough[live]) @ single[lo:hi].T
+                bound = bound[live]
+                if lo == 0:
+                    # A first bound: k pairs are certain to reach it.
+                    sure = np.ones(product.shape, bool) if low == -math.inf else (product >= low * scale[lo:hi] + slack) & (product > 0 if positive else True) & (scale[lo:hi] >= 0)
+                    if exclude_self:
+                        sure &= qid[live, None] != rid[None, lo:hi]
+                    bound = (_kth(np.where(sure, product, -np.inf), k)[:, 0].astype(float) - slack) * lead.least
+                if limited:
+                    bound = np.maximum(bound, low * scale[hi - 1 if low >= 0 else lo])
+                hit = np.flatnonzero(product >= (bound - slack).astype(np.float32)[:, None])
+                i, j = live[hit // (hi - lo)], lo + hit % (hi - lo)
+                may = qid[i] != rid[j] if exclude_self else np.ones(len(hit), bool)
+                if limited:
+                    may &= product.ravel()[hit] >= low * scale[j] - slack
+                i, j = i[may], j[may]
+                strength = np.einsum("ij,ij->i", left[i], right[j])
+                ok = (strength >= low) & (strength > 0 if positive else True)
+                i, j, strength = i[ok], j[ok], strength[ok]
+                if len(i):
+                    lead.add(i, j, sign * strength, strength * scale[j])
+            i, j, similarity = lead.rows()
+            out.append(pd.DataFrame({"query_id": qid[i], "ref_id": rid[j], "similarity": similarity}))
+        return pd.concat(out)
+
+    return run
+
+
 def _block(column: str, n: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
 
 
-def _blocks(queries: DataFrame, references: DataFrame, pearson: bool, keep, exclude_self: bool, extra: Sequence[str] = (), counts: bool = False) -> DataFrame:
-    """Block products of all queries and references (``id, vec`` and the extra columns); pairs never exist as rows."""
+def _blocks(queries: DataFrame, references: DataFrame, pearson: bool, product, extra: Sequence[str] = (), counts: bool = False) -> DataFrame:
+    """Block products of all queries and references (``id, vec`` and the extra columns); pairs never exist as rows.
+
+    ``product`` gives the cogrouped function for a schema.
+    """
     nq = max(1, math.ceil(queries.count() / BLOCK_ROWS))
     nr = max(1, math.ceil(references.count() / BLOCK_ROWS))
     # Both sides get columns of their own: a self-comparison must not share attributes.
@@ -112,7 +209,7 @@ def _blocks(queries: DataFrame, references: DataFrame, pearson: bool, keep, excl
     schema = f"query_id {queries.schema['id'].dataType.simpleString()}, ref_id {references.schema['id'].dataType.simpleString()}, similarity double"
     if counts:
         schema += ", n_positive bigint, n_negative bigint, n_all bigint"
-    return q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(_block_product(schema, keep, exclude_self), schema)
+    return q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(product(schema), schema)
 
 
 def similar(
@@ -123,14 +220,11 @@ def similar(
     if k is None and min_similarity is None:
         raise ValueError("give k or min_similarity")
 
-    def keep(sim, valid, q, r):
-        ok = valid if min_similarity is None else valid & (sim >= min_similarity)
-        # Everything that reaches the bound stays, ties included; the final ranking decides.
-        return ok if k is None else ok & (sim >= _floor(np.where(ok, sim, -np.inf), k) - 1e-12)
-
-    pairs = _blocks(queries, references, pearson, keep, exclude_self)
     if k is None:
-        return pairs
+        return _blocks(queries, references, pearson, lambda schema: _block_product(schema, lambda sim, valid, q, r: valid & (sim >= min_similarity), exclude_self))
+    # Everything that reaches the bound stays, ties included; the final ranking decides.
+    low = -math.inf if min_similarity is None else min_similarity
+    pairs = _blocks(queries, references, pearson, lambda schema: _leading_product(schema, k, exclude_self, low))
     return top_k(pairs, ["query_id"], k, [F.col("similarity").desc(), F.col("ref_id").asc()])
 
 
@@ -167,8 +261,11 @@ def candidates_by_evidence(
             mask |= ok & (s >= near_best * s.max(axis=1, keepdims=True) - 1e-12)
         return mask
 
+    if not (leading or counts) and near_best is None:
+        low, sign = max(min_similarity, 0.0), 1.0 if polarity == "similar" else -1.0
+        return _blocks(queries, references, pearson, lambda schema: _leading_product(schema, k, exclude_self, low, True, sign, power, least_factor), ["factor"])
     extra = ["factor", "modality"] if has_modality else ["factor"]
-    return _blocks(queries, references, pearson, keep, exclude_self, extra, counts=counts)
+    return _blocks(queries, references, pearson, lambda schema: _block_product(schema, keep, exclude_self), extra, counts=counts)
 
 
 def hub_scores(profiles: DataFrame, k: int = 10) -> DataFrame:
@@ -259,8 +356,9 @@ def neighbour_evidence(candidates: DataFrame, refs: DataFrame, power: float = 1.
 def neighbour_cut(evidence: DataFrame, k: int = 20, keep_first: int = 5, drop_ratio: float = 0.25) -> DataFrame:
     """Top k per query; beyond the first few only while evidence stays >= ratio x the top's."""
     r = top_k(evidence, ["query_id"], k, [F.col("evidence").desc(), F.col("ref_id").asc()], "neighbour_rank")
-    top = r.groupBy("query_id").agg(F.max("evidence").alias("_top"))
-    return attach(r, top, ["query_id"]).filter(
+    # At most k rows of a query are left and stand together: a summary joined back would compute all pairs again.
+    top = F.max("evidence").over(Window.partitionBy("query_id"))
+    return r.withColumn("_top", top).filter(
         (F.col("neighbour_rank") <= keep_first) | (F.col("evidence") >= drop_ratio * F.col("_top"))
     ).drop("_top")
 

@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lociweave.catalog import profiles
@@ -33,3 +34,35 @@ def test_bound_loses_no_value():
         x[1] = 1.0
         for k in (1, 5, 20):
             assert (SIM._floor(x, k) <= SIM._kth(x, k)).all()
+
+
+def test_pairs_are_computed_once_for_a_cut(spark):
+    v = spark.createDataFrame([(i, [float(i % 3), 1.0, float(i)]) for i in range(20)], "id long, vec array<double>")
+    refs = v.select("id", F.lit(1.0).alias("qc_weight"), F.lit(1.0).alias("hub_score"))
+    found = SIM.candidates_by_evidence(v, v.withColumn("factor", F.lit(1.0)), 4, 2.0, exclude_self=True)
+    cut = SIM.neighbour_cut(SIM.neighbour_evidence(SIM.polarity_candidates(found), refs, 2.0), 4, 2)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("CoGroup") == 1
+
+
+def test_leading_pairs_are_those_of_all_products(monkeypatch):
+    monkeypatch.setattr(SIM, "TILE_ROWS", 100)
+    r = np.random.default_rng(2)
+    q, x = (np.linalg.qr(r.normal(size=(n, n)))[0][:, :16] for n in (150, 700))
+    q, x = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (q, x))
+    x[:30], x[40], x[41] = q[:30], 0.0, x[42]
+    factor = r.permutation(700.0 / (1 + np.arange(700)))
+    factor[3], factor[4] = 0.0, np.nan
+    ids = np.arange(150), np.arange(700)
+    left = pd.DataFrame({"query_id": ids[0], "query_vec": list(q)})
+    right = pd.DataFrame({"ref_id": ids[1], "ref_vec": list(x), "factor": factor})
+    for k, low, positive, sign, power, least in ((5, -np.inf, False, 1, 1.0, 1.0), (5, 0.4, False, 1, 1.0, 1.0), (900, 0.1, True, 1, 2.0, 1.0), (10, 0.1, True, 1, 2.0, 0.5), (10, 0.2, True, -1, 3.0, 1.0)):
+        f = factor if positive else np.ones(700)
+        got = SIM._leading_product("query_id long, ref_id long, similarity double", k, True, low, positive, sign, power, least)(left, right.assign(factor=f))
+        sim = q @ x.T
+        ok = (ids[0][:, None] != ids[1]) & (sign * sim >= low) & ((sign * sim > 0) | (not positive)) & ~np.isnan(f)
+        score = np.where(ok, np.sign(sim * sign) * np.abs(sim) ** power * np.nan_to_num(f), -np.inf)
+        kth = -np.sort(-score, axis=1)[:, min(k, 700) - 1 : k] * least
+        have = np.zeros(sim.shape, bool)
+        have[got.query_id, got.ref_id] = True
+        assert (have <= ok).all() and (ok & (score >= kth) <= have).all() and not (have & (score < kth - 1e-9)).any()
+        assert np.allclose(got.similarity, sim[got.query_id, got.ref_id], atol=1e-14)
