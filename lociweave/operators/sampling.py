@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lociweave.operators.joins import attach
 from lociweave.operators.selection import top_k
-from lociweave.session import materialize
+from lociweave.session import discard, materialize
 
 
 def hash_order(ids: Sequence[str], seed: int) -> list[Column]:
@@ -38,21 +38,38 @@ def balance_arms(members: DataFrame, keys: Sequence[str] = ("comparison_id",), a
 def fixpoint_filter(
     entries: DataFrame, min_cell_total: float, min_gene_total: float, rounds: int = 6, cell: str = "cell_id", gene: str = "gene_id"
 ) -> DataFrame:
-    """Repeat cell-total and gene-total filters until nothing changes, at most ``rounds`` times; zero genes drop out."""
-    cur = materialize(entries.filter("value <> 0"))
-    size = cur.count()
-    for _ in range(rounds):
-        cells = cur.groupBy(cell).agg(F.sum("value").alias("_t")).filter(F.col("_t") >= min_cell_total).select(cell)
-        a = cur.join(cells, cell, "left_semi")
-        genes = a.groupBy(gene).agg(F.sum("value").alias("_t")).filter(
-            (F.col("_t") >= min_gene_total) & (F.col("_t") > 0)
-        ).select(gene)
-        cur = materialize(a.join(genes, gene, "left_semi"))
-        now = cur.count()
-        if now == size:
+    """Repeat cell-total and gene-total filters until nothing changes, at most ``rounds`` times; zero genes drop out.
+
+    From the second round on only cells that lost an entry, and genes of cells
+    that were dropped, are added up again; the totals of all others still hold.
+    """
+    low_cell = ~(F.col("_t") >= min_cell_total)
+    low_gene = ~((F.col("_t") >= min_gene_total) & (F.col("_t") > 0))
+
+    def low(rows: DataFrame, key: str, rule: Column) -> DataFrame:
+        return materialize(rows.groupBy(key).agg(F.sum("value").alias("_t")).filter(rule).select(key))
+
+    def judged(rows: DataFrame, genes: DataFrame) -> DataFrame:
+        flagged = rows.join(genes.withColumn("_low", F.lit(True)), gene, "left")
+        return materialize(flagged.select(*rows.columns, (F.col("_low").isNull() & F.col(gene).isNotNull()).alias("_stays")))
+
+    if rounds < 1:
+        return materialize(entries.filter("value <> 0"))
+    start = materialize(entries.filter("value <> 0").filter(F.col(cell).isNotNull()))
+    rows = materialize(start.join(low(start, cell, low_cell), cell, "left_anti").select(*start.columns))
+    discard(start)
+    state = judged(rows, low(rows.filter(F.col(gene).isNotNull()), gene, low_gene))
+    discard(rows)
+    for _ in range(rounds - 1):
+        kept, lost = state.filter("_stays").drop("_stays"), state.filter("not _stays")
+        cells = low(kept.join(lost.select(cell).distinct(), cell, "left_semi"), cell, low_cell)
+        if cells.isEmpty():
             break
-        size = now
-    return cur
+        rows = kept.join(cells, cell, "left_anti").select(*kept.columns)
+        touched = kept.join(cells, cell, "left_semi").select(gene).distinct()
+        before, state = state, judged(rows, low(rows.join(touched, gene, "left_semi"), gene, low_gene))
+        discard(before)
+    return state.filter("_stays").drop("_stays")
 
 
 def select_k(curve: DataFrame, run: str = "run_id", min_stability: float = 0.0, fraction: float = 0.95) -> DataFrame:

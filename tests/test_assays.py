@@ -1,7 +1,9 @@
 """Assay operators and plans on small fixtures with hand-derived values."""
 
 import math
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,6 +304,46 @@ def test_fixpoint_needs_a_second_round(spark):
     assert got == {("c3", "g1")}
 
 
+def test_fixpoint_agrees_with_whole_rounds(spark):
+    r = np.random.default_rng(5)
+    rows = [(int(c) if c else None, int(g) if g else None, float(v)) for c, g, v in zip(r.integers(0, 60, 400), r.integers(0, 40, 400), r.integers(-1, 9, 400))]
+    df = spark.createDataFrame(rows, "cell_id int, gene_id int, value double")
+
+    def whole(left, rounds):
+        left = [x for x in left if x[2]]
+        for _ in range(rounds):
+            for place, least in ((0, 20.0), (1, 35.0)):
+                total = {}
+                for x in left:
+                    total[x[place]] = total.get(x[place], 0.0) + x[2]
+                left = [x for x in left if x[place] is not None and total[x[place]] >= least and (place == 0 or total[x[place]] > 0)]
+        return sorted(left)
+
+    sizes = set()
+    for rounds in (1, 2, 3, 10):
+        got = sorted(tuple(x) for x in SA.fixpoint_filter(df, 20.0, 35.0, rounds).collect())
+        assert got == whole(rows, rounds)
+        sizes.add(len(got))
+    assert len(sizes) > 2
+
+
+def test_fixpoint_adds_up_only_what_may_have_changed(spark):
+    chain = [("c", 7, 6.0), ("c", 10, 6.0), ("d", 10, 7.0), ("d", 11, 7.0), ("e", 11, 6.0), ("e", 12, 5.0)]
+    df = spark.createDataFrame([(str(c), c % 5, 50.0) for c in range(20_000)] + chain, "cell_id string, gene_id int, value double")
+
+    def shuffled():
+        sc = spark.sparkContext
+        none = sc._jvm.java.util.ArrayList()
+        stages = sc._jsc.sc().statusStore().stageList(none, False, False, sc._gateway.new_array(sc._jvm.double, 0), none)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+    before = shuffled()
+    assert SA.fixpoint_filter(df, 10.0, 12.0).count() == 20_000
+    time.sleep(1)
+    # One round adds up all cells; the three that follow touch one cell and one gene each.
+    assert 20_000 < sum(n for i, n in shuffled().items() if i not in before) < 30_000
+
+
 def test_hash_sample_is_stable_and_capped(spark):
     df = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(100)], "id long, bucket string")
     one = {r["id"] for r in SA.cap_per_bucket(df, ["bucket"], ["id"], 10, seed=1).collect()}
