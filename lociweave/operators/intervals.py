@@ -174,16 +174,19 @@ def overlap_flag(
     on: Sequence[str] = ("chrom",),
     start: str = "start",
     end: str = "end",
+    distinct: bool = False,
 ) -> DataFrame:
     """Attach a boolean: does the span meet any region?
 
     Only the furthest end per region start matters for existence, so the
-    region side shrinks to at most one row per start position.
+    region side shrinks to at most one row per start position. ``distinct``
+    says that no span comes twice.
     """
     on = list(on)
+    places = spans.select(*on, F.col(start).alias("l_start"), F.col(end).alias("l_end")) if distinct else _distinct_spans(spans, on, start, end)
     reach = regions.groupBy(*on, F.col(start).alias("r_start")).agg(F.max(end).alias("r_end"))
     hits = (
-        overlap_pairs(_distinct_spans(spans, on, start, end), reach, on)
+        overlap_pairs(places, reach, on)
         .select(*on, F.col("l_start").alias(start), F.col("l_end").alias(end))
         .distinct()
         .withColumn("_hit", F.lit(True))

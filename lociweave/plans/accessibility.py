@@ -48,26 +48,32 @@ def program_grid(preset: str = "connectable", programs: Sequence[str] | None = N
     return [(p, m) for p in chosen for m in methods]
 
 
-def span_links(
-    features: DataFrame, genes: DataFrame, methods: Sequence[str], external: DataFrame | None = None,
-    upstream: int = 2000, downstream: int = 500, nearest_max: int = 100_000, decay_max: int = 500_000, decay_length: float = 50_000.0, max_genes: int = 5,
+def link_values(
+    long: DataFrame, spans: DataFrame, genes: DataFrame, need: Sequence[tuple[str, str]],
+    external: DataFrame | None = None, upstream: int = 2000, downstream: int = 500, nearest_max: int = 100_000, decay_max: int = 500_000,
+    decay_length: float = 50_000.0, max_genes: int = 5,
 ) -> DataFrame:
-    """(link_method, chrom, start, end, gene_id, link_weight) for the distinct spans of the features."""
-    spans = features.select("chrom", "start", "end").distinct().withColumn("centre", F.floor((F.col("start") + F.col("end")) / 2).cast("long"))
-    cols = ["chrom", "start", "end", "gene_id", "link_weight"]
+    """Rows of ``long`` with link_method, gene_id and link_weight, for the (program, link) pairs in ``need``.
+
+    ``spans`` are the distinct spans of the rows. Values meet the links of a
+    centre at the centre: links are never repeated for each span.
+    """
+    centred = spans.select("chrom", F.floor((F.col("start") + F.col("end")) / 2).cast("long").alias("centre"))
     out = None
-    for m in methods:
+    for m in sorted({m for _, m in need}):
+        rows, on = long.filter(F.col("program").isin(sorted({p for p, of in need if of == m}))), ["chrom", "centre"]
         if m == "promoter_overlap":
-            got = I.promoter_links(spans, genes, upstream, downstream)
+            links, on = I.promoter_links(spans, genes, upstream, downstream), ["chrom", "start", "end"]
         elif m == "nearest_tss":
-            got = spans.join(I.nearest_links(spans, genes, nearest_max), ["chrom", "centre"])
+            links = I.nearest_links(centred, genes, nearest_max)
         elif m == "distance_decay":
-            got = spans.join(I.decay_links(spans, genes, decay_max, decay_length, max_genes), ["chrom", "centre"])
+            links = I.decay_links(centred, genes, decay_max, decay_length, max_genes)
         elif m == "external":
-            got = I.external_links(spans, external)
+            links, on = I.external_links(spans, external), ["chrom", "start", "end"]
         else:
             raise ValueError(f"unknown link method {m!r}")
-        got = got.select(F.lit(m).alias("link_method"), *cols)
+        rows = rows.withColumn("centre", F.floor((F.col("start") + F.col("end")) / 2).cast("long"))
+        got = rows.join(links.select(*on, "gene_id", "link_weight"), on).select(*long.columns, F.lit(m).alias("link_method"), "gene_id", "link_weight")
         out = got if out is None else out.unionByName(got)
     return out
 
@@ -88,7 +94,6 @@ def program_scores(
     plain = [(p, m) for p, m in grid if p != "enhancer_bias"]
     bias_links = [m for p, m in grid if p == "enhancer_bias"]
     need = set(plain) | {(p, m) for m in bias_links for p in ("promoter_activity", "distal_activity")}
-    methods = sorted({m for _, m in need})
     genes = materialize(genes.select("chrom", "tss", "strand", "gene_id", "gene_ordinal"))
     prom = I.promoters(genes, upstream, downstream).select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
     x = S.transform_score("weight", transform)
@@ -97,11 +102,14 @@ def program_scores(
         agg.append(F.sum(S.transform_score(distal_weight, transform)).alias("wd"))
     # The features are read once; masks, priors and links all start from the written spans.
     collapsed = materialize(features.groupBy(*keys, "chrom", "start", "end").agg(*agg))
-    spans = materialize(collapsed.select("chrom", "start", "end").distinct())
-    flagged = I.overlap_flag(spans, prom, "in_promoter")
+    spans = collapsed.select("chrom", "start", "end")
+    if keys:
+        spans = materialize(spans.distinct())
+    flagged = I.overlap_flag(spans, prom, "in_promoter", distinct=True)
     if reference is not None:
         flagged = I.overlap_max(flagged, reference, "idf_ref", "idf")
-    by_span = collapsed.join(flagged, ["chrom", "start", "end"])
+    # Written, as each link method reads it.
+    by_span = materialize(collapsed.join(flagged, ["chrom", "start", "end"]))
     # One column per program, unpivoted after the sum: masked features contribute zero.
     value = {
         "linked_activity": F.col("w"),
@@ -117,12 +125,8 @@ def program_scores(
     items = F.array(*[F.struct(F.lit(p).alias("program"), value[p].alias("v")) for p in names])
     long = by_span.select(*keys, "chrom", "start", "end", F.explode(items).alias("i"), F.array(*calibrations).alias("c")).filter("i.v <> 0")
     long = long.select(*keys, "chrom", "start", "end", "i.program", "i.v", F.explode("c").alias("c")).select("*", "c.*").drop("c")
-    links = span_links(spans, genes, methods, upstream=upstream, downstream=downstream, **link_settings)
-    wanted = F.lit(False)
-    for p, m in need:
-        wanted = wanted | ((F.col("program") == p) & (F.col("link_method") == m))
     g = [*keys, "calibration", "program", "link_method"]
-    scores = long.join(links, ["chrom", "start", "end"]).filter(wanted).groupBy(*g, "gene_id").agg(
+    scores = link_values(long, spans, genes, sorted(need), upstream=upstream, downstream=downstream, **link_settings).groupBy(*g, "gene_id").agg(
         F.sum(F.col("v") * F.col("f") * F.col("link_weight")).alias("score")
     ).filter("score <> 0")
     if not bias_links:

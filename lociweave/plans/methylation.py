@@ -12,7 +12,7 @@ from lociweave.operators import identifiers as ID
 from lociweave.operators import intervals as I
 from lociweave.operators import scoring as SC
 from lociweave.operators import selection as SEL
-from lociweave.plans.accessibility import program_grid, span_links
+from lociweave.plans.accessibility import link_values, program_grid
 from lociweave.session import materialize
 
 # Sex chromosomes by either spelling.
@@ -52,11 +52,12 @@ def methylation_programs(
     up, down = link_settings.get("upstream", 2000), link_settings.get("downstream", 500)
     prom = I.promoters(genes, up, down).select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
     places = materialize(f.select("chrom", "start", "end").distinct())
-    spans = I.overlap_flag(places, prom, "in_promoter")
+    spans = I.overlap_flag(places, prom, "in_promoter", distinct=True)
     if enhancers is not None:
-        spans = I.overlap_flag(spans, enhancers, "in_enhancer")
+        spans = I.overlap_flag(spans, enhancers, "in_enhancer", distinct=True)
     grid = list(grid or CONNECTABLE)
-    x = f.join(spans, ["chrom", "start", "end"])
+    # Written, as each link method reads it.
+    x = materialize(f.join(spans, ["chrom", "start", "end"]))
     distal = ~F.col("in_promoter") & (F.col("in_enhancer") if enhancers is not None else F.lit(True))
     value = {
         "linked_activity": F.col("value"),
@@ -65,11 +66,7 @@ def methylation_programs(
     }
     items = F.array(*[F.struct(F.lit(p).alias("program"), S.transform_score(value[p], transform).alias("v")) for p in sorted({p for p, _ in grid})])
     long = x.withColumn("_i", F.explode(items)).select(*keys, "chrom", "start", "end", "_i.program", F.col("_i.v").alias("value"), *[c for c in ("row_ordinal",) if c in x.columns])
-    links = span_links(places, genes, sorted({m for _, m in grid}), **link_settings)
-    wanted = F.lit(False)
-    for p, m in grid:
-        wanted = wanted | ((F.col("program") == p) & (F.col("link_method") == m))
-    linked = long.join(links, ["chrom", "start", "end"]).filter(wanted)
+    linked = link_values(long, places, genes, grid, **link_settings)
     by = [*keys, "program", "link_method"]
     ties = [F.col("row_ordinal")] if "row_ordinal" in linked.columns else []
     scores = SC.aggregate_to_gene(linked, by, aggregation, tiebreak=ties)

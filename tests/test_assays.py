@@ -327,21 +327,41 @@ def test_fixpoint_agrees_with_whole_rounds(spark):
     assert len(sizes) > 2
 
 
+def _shuffled(spark):
+    """Records written by the shuffles of each stage so far."""
+    sc = spark.sparkContext
+    none = sc._jvm.java.util.ArrayList()
+    stages = sc._jsc.sc().statusStore().stageList(none, False, False, sc._gateway.new_array(sc._jvm.double, 0), none)
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+
 def test_fixpoint_adds_up_only_what_may_have_changed(spark):
     chain = [("c", 7, 6.0), ("c", 10, 6.0), ("d", 10, 7.0), ("d", 11, 7.0), ("e", 11, 6.0), ("e", 12, 5.0)]
     df = spark.createDataFrame([(str(c), c % 5, 50.0) for c in range(20_000)] + chain, "cell_id string, gene_id int, value double")
 
-    def shuffled():
-        sc = spark.sparkContext
-        none = sc._jvm.java.util.ArrayList()
-        stages = sc._jsc.sc().statusStore().stageList(none, False, False, sc._gateway.new_array(sc._jvm.double, 0), none)
-        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
-
-    before = shuffled()
+    before = _shuffled(spark)
     assert SA.fixpoint_filter(df, 10.0, 12.0).count() == 20_000
     time.sleep(1)
     # One round adds up all cells; the three that follow touch one cell and one gene each.
-    assert 20_000 < sum(n for i, n in shuffled().items() if i not in before) < 30_000
+    assert 20_000 < sum(n for i, n in _shuffled(spark).items() if i not in before) < 30_000
+
+
+def test_links_are_not_repeated_for_each_span(spark):
+    from lociweave.plans import accessibility as AX
+
+    peaks = spark.createDataFrame([("1", 5000 - i, 5000 + i, 1.0) for i in range(1, 2001)], "chrom string, start long, end long, weight double")
+    genes = spark.createDataFrame([("1", 4998 + i, "+", f"g{i}", i) for i in range(5)], "chrom string, tss long, strand string, gene_id string, gene_ordinal long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = _shuffled(spark)
+        got = {r.gene_id: r.score for r in AX.program_scores(peaks, genes, grid=[("linked_activity", "distance_decay")], decay_length=1.0).collect()}
+        time.sleep(1)
+        records = sum(n for i, n in _shuffled(spark).items() if i not in before)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == pytest.approx({f"g{i}": 2000 * math.exp(-abs(i - 2)) for i in range(5)})
+    assert records < 18_000
 
 
 def test_hash_sample_is_stable_and_capped(spark):
