@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociweave.operators.joins import attach, attach_count, attach_total
 from lociweave.operators.selection import top_k
+from lociweave.session import write_table
 
-#: Vectors of a block; a task multiplies two blocks, STEP_ROWS queries at a time.
+#: References that a task holds at a time, and queries that meet all of them in one task, STEP_ROWS at a time.
 BLOCK_ROWS = 16384
+QUERY_ROWS = 4096
 STEP_ROWS = 128
+#: With fewer blocks of queries than this, the files of the references are dealt over so many tasks.
+LEAST_TASKS = 16
 #: References that a step multiplies at a time where only the leading ones are asked for: the products stay in cache.
 TILE_ROWS = 2048
 #: Columns whose largest value stands for them where a bound is enough.
@@ -68,14 +75,18 @@ def _floor(values: np.ndarray, k: int) -> np.ndarray:
     return _kth(values[:, : n * GROUP].reshape(len(values), GROUP, n).max(axis=1), k)
 
 
+def _no_rows(names: Sequence[str]) -> pd.DataFrame:
+    """Columns without a type of their own: empty numbers don't convert to strings."""
+    return pd.DataFrame({c: [] for c in names}, dtype=object)
+
+
 def _block_product(schema: str, keep, exclude_self: bool):
     """Cogrouped function over one query block and one reference block; ``keep(sim, valid, queries, references)`` gives a mask."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: [] for c in names})
         if q.empty or r.empty:
-            return empty
+            return _no_rows(names)
         right, rid = np.stack(r["ref_vec"].to_numpy()).T, r["ref_id"].to_numpy()
         out = []
         for at in range(0, len(q), STEP_ROWS):
@@ -88,7 +99,7 @@ def _block_product(schema: str, keep, exclude_self: bool):
             if "n_all" in names:
                 # One further row per query counts what the block holds, kept or not.
                 n = len(qid)
-                rows = {"query_id": np.concatenate((rows["query_id"], qid)), "ref_id": pd.array([*rows["ref_id"], *[None] * n], dtype=r["ref_id"].convert_dtypes().dtype),
+                rows = {"query_id": np.concatenate((rows["query_id"], qid)), "ref_id": np.append(rows["ref_id"].astype(object), [None] * n),
                         "similarity": np.concatenate((rows["similarity"], np.zeros(n)))}
                 for name, hit in (("n_positive", sim > 0), ("n_negative", sim < 0), ("n_all", sim == sim)):
                     rows[name] = np.concatenate((np.zeros(len(i), np.int64), (hit & valid).sum(1)))
@@ -99,16 +110,19 @@ def _block_product(schema: str, keep, exclude_self: bool):
 
 
 class _Leaders:
-    """The k best of each query so far, and every pair that may still be among them."""
+    """The k best of each query so far, and every pair that may still be among them.
 
-    def __init__(self, rows: int, k: int, least: float):
-        self.best, self.least, self.found = np.full((rows, k), -np.inf), least, []
+    With ``first_ids`` only the k of largest score, of equal ones those of smallest id, may be.
+    """
+
+    def __init__(self, rows: int, k: int, least: float, first_ids: bool):
+        self.best, self.least, self.first_ids, self.found = np.full((rows, k), -np.inf), least, first_ids, []
 
     def bound(self) -> np.ndarray:
         return self.best.min(axis=1) * self.least
 
-    def add(self, i: np.ndarray, j: np.ndarray, similarity: np.ndarray, score: np.ndarray) -> None:
-        self.found.append((i, j, similarity, score))
+    def add(self, i: np.ndarray, ref: np.ndarray, similarity: np.ndarray, score: np.ndarray) -> None:
+        self.found.append((i, ref, similarity, score))
         order = np.lexsort((-score, i))
         rows, first, sizes = np.unique(i[order], return_index=True, return_counts=True)
         place, k = np.arange(len(order)) - np.repeat(first, sizes), self.best.shape[1]
@@ -117,75 +131,126 @@ class _Leaders:
         new[own[top], place[top]] = score[order][top]
         self.best[rows] = -np.partition(-np.hstack((self.best[rows], new)), k - 1, axis=1)[:, :k]
 
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        i, j, similarity, score = map(np.concatenate, zip(*self.found)) if self.found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0))
+    def cut(self) -> None:
+        """Forget the pairs that can't lead any more."""
+        if not self.found:
+            return
+        i, ref, similarity, score = map(np.concatenate, zip(*self.found))
         bound = self.bound()[i]
         stays = score >= bound - np.where(np.isfinite(bound), 1e-12 * np.maximum(1.0, np.abs(bound)), 0.0)
-        return i[stays], j[stays], similarity[stays]
-
-
-def _leading_product(schema: str, k: int, exclude_self: bool, low: float = -math.inf, positive: bool = False, sign: float = 1.0, power: float = 1.0, least_factor: float = 1.0):
-    """Cogrouped function over a query and a reference block: pairs that may be among a query's k best by strength^power x factor.
-
-    The strength is ``sign`` x similarity, at least ``low`` and, if asked,
+        i, ref, similarity, score = i[stays], ref[stays], similarity[stays], score[stays]
+        if self.first_ids:
+            order = np.lexsort((np.unique(ref, return_inverse=True)[1], -score, i))
+            _, first, sizes = np.unique(i[order], return_index=True, return_counts=True)
+            order = order[np.arange(len(order)) - np.repeat(first, sizes) < self.best.shape[1]]
+            i, ref, similarity, score = i[order], ref[order], similarity[order], score[order]
+        self.found = [(i, ref, similarity, score)]
+
+
+def _gathered(parts, rows: int) -> Iterator[pd.DataFrame]:
+    """Batches (pandas or Arrow) joined to frames of ``rows`` or a little more."""
+    held, n = [], 0
+    joined = lambda: pd.concat([b.to_pandas() if isinstance(b, pa.RecordBatch) else b for b in held], ignore_index=True)
+    for part in parts:
+        held.append(part)
+        n += len(part)
+        if n >= rows:
+            yield joined()
+            held, n = [], 0
+    if n:
+        yield joined()
+
+
+def _stored(folder: str, share: int = 0, shares: int = 1) -> Iterator[pd.DataFrame]:
+    """A written table block by block, in the order of its files; of several shares one, dealt by file."""
+    store, root = fs.FileSystem.from_uri(folder)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(root)) if f.base_name.startswith("part-"))
+
+    def batches() -> Iterator[pa.RecordBatch]:
+        for file in files[share::shares]:
+            with store.open_input_file(file) as source:
+                yield from pq.ParquetFile(source).iter_batches(BLOCK_ROWS, use_threads=False)
+
+    return _gathered(batches(), BLOCK_ROWS)
+
+
+def _leading_product(
+    schema: str, k: int, exclude_self: bool, low: float = -math.inf, positive: bool = False, sign: float = 1.0, power: float = 1.0, least_factor: float = 1.0,
+    first_ids: bool = False,
+):
+    """Cogrouped function over a query block and its references: pairs that may be among a query's k best by strength^power x factor.
+
+    The references are one block, or rows that name the folder where they are
+    written; then they are read block by block, and the best so far are carried
+    on. The strength is ``sign`` x similarity, at least ``low`` and, if asked,
     positive. References are multiplied by the root of their factor, so products
-    order pairs like their evidence, and taken by falling factor: once not even
-    a similarity of 1 reaches the k-th best so far, the rest is left out.
+    order pairs like their evidence, and taken by falling factor: where not even
+    a similarity of 1 reaches the k-th best so far, they are left out.
     Products of single precision, widened by their largest error, only say
-    which pairs are computed in full; neither step loses one.
+    which pairs are computed in full; neither step loses one. With ``first_ids``
+    pairs that tie for the last place are cut by reference id.
     """
     names = [c.split()[0] for c in schema.split(", ")]
+    root = 1.0 / power
 
-    def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        factor = r["factor"].to_numpy(float) if "factor" in r else np.ones(len(r))
-        r, factor = r[~np.isnan(factor)], factor[~np.isnan(factor)]
-        if q.empty or r.empty:
-            return pd.DataFrame({c: [] for c in names})
-        scale = np.clip(np.sign(factor) * np.abs(factor) ** (1.0 / power), -1e30, 1e30)
-        order = np.argsort(-scale, kind="stable")
-        scale, rid = scale[order], r["ref_id"].to_numpy()[order]
-        right = sign * np.stack(r["ref_vec"].to_numpy())[order]
-        single = (right * scale[:, None]).astype(np.float32)
+    def advance(lead: _Leaders, qid: np.ndarray, left: np.ndarray, rid: np.ndarray, right: np.ndarray, single: np.ndarray, scale: np.ndarray) -> None:
+        """Meet the references of one block, by falling scale."""
         # Both sides of a product of unit vectors, each of its sums and the bound are rounded once.
         error = 2.0 ** -24 * (right.shape[1] + 8)
-        reach = np.maximum.accumulate(np.abs(scale)[::-1])[::-1]
         limited = low > -math.inf and scale[-1] >= 0
-        out = []
-        for at in range(0, len(q), STEP_ROWS):
-            part = q.iloc[at : at + STEP_ROWS]
-            qid, left = part["query_id"].to_numpy(), np.stack(part["query_vec"].to_numpy())
-            rough = left.astype(np.float32)
-            lead = _Leaders(len(qid), k, least_factor ** (1.0 / power))
-            for lo in range(0, len(rid), TILE_ROWS):
-                hi = min(lo + TILE_ROWS, len(rid))
-                slack, bound = error * reach[lo], lead.bound()
-                live = np.flatnonzero(~(bound > (1.0 + 1e-6) * reach[lo]))
-                if not len(live):
-                    break
-                product = (rough if len(live) == len(rough) else rough[live]) @ single[lo:hi].T
-                bound = bound[live]
-                if lo == 0:
-                    # A first bound: k pairs are certain to reach it.
-                    sure = np.ones(product.shape, bool) if low == -math.inf else (product >= low * scale[lo:hi] + slack) & (product > 0 if positive else True) & (scale[lo:hi] >= 0)
-                    if exclude_self:
-                        sure &= qid[live, None] != rid[None, lo:hi]
-                    bound = (_kth(np.where(sure, product, -np.inf), k)[:, 0].astype(float) - slack) * lead.least
-                if limited:
-                    bound = np.maximum(bound, low * scale[hi - 1 if low >= 0 else lo])
-                hit = np.flatnonzero(product >= (bound - slack).astype(np.float32)[:, None])
-                i, j = live[hit // (hi - lo)], lo + hit % (hi - lo)
-                may = qid[i] != rid[j] if exclude_self else np.ones(len(hit), bool)
-                if limited:
-                    may &= product.ravel()[hit] >= low * scale[j] - slack
-                i, j = i[may], j[may]
-                strength = np.einsum("ij,ij->i", left[i], right[j])
-                ok = (strength >= low) & (strength > 0 if positive else True)
-                i, j, strength = i[ok], j[ok], strength[ok]
-                if len(i):
-                    lead.add(i, j, sign * strength, strength * scale[j])
-            i, j, similarity = lead.rows()
-            out.append(pd.DataFrame({"query_id": qid[i], "ref_id": rid[j], "similarity": similarity}))
-        return pd.concat(out)
+        rough = left.astype(np.float32)
+        for lo in range(0, len(rid), TILE_ROWS):
+            hi = min(lo + TILE_ROWS, len(rid))
+            reach, bound = max(abs(scale[lo]), abs(scale[hi - 1])), lead.bound()
+            slack = error * reach
+            live = np.flatnonzero(~(bound > (1.0 + 1e-6) * reach))
+            if not len(live):
+                continue
+            product = (rough if len(live) == len(rough) else rough[live]) @ single[lo:hi].T
+            bound = bound[live]
+            new = np.flatnonzero(bound == -np.inf)
+            if len(new):
+                # A first bound: k pairs of this tile are certain to reach it.
+                of = product if len(new) == len(live) else product[new]
+                sure = np.ones(of.shape, bool) if low == -math.inf else (of >= low * scale[lo:hi] + slack) & (of > 0 if positive else True) & (scale[lo:hi] >= 0)
+                if exclude_self:
+                    sure &= qid[live[new], None] != rid[None, lo:hi]
+                bound[new] = (_kth(np.where(sure, of, -np.inf), k)[:, 0].astype(float) - slack) * lead.least
+            if limited:
+                bound = np.maximum(bound, low * scale[hi - 1 if low >= 0 else lo])
+            hit = np.flatnonzero(product >= (bound - slack).astype(np.float32)[:, None])
+            i, j = live[hit // (hi - lo)], lo + hit % (hi - lo)
+            may = qid[i] != rid[j] if exclude_self else np.ones(len(hit), bool)
+            if limited:
+                may &= product.ravel()[hit] >= low * scale[j] - slack
+            i, j = i[may], j[may]
+            strength = np.einsum("ij,ij->i", left[i], right[j])
+            ok = (strength >= low) & (strength > 0 if positive else True)
+            i, j, strength = i[ok], j[ok], strength[ok]
+            if len(i):
+                lead.add(i, rid[j], sign * strength, strength * scale[j])
+
+    def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or r.empty:
+            return _no_rows(names)
+        ids, vectors = q["query_id"].to_numpy(), np.stack(q["query_vec"].to_numpy())
+        steps = [(ids[at : at + STEP_ROWS], vectors[at : at + STEP_ROWS]) for at in range(0, len(ids), STEP_ROWS)]
+        leads = [_Leaders(len(qid), k, least_factor ** root, first_ids) for qid, _ in steps]
+        for block in [r] if "ref_vec" in r else _stored(*r[["folder", "_share", "shares"]].iloc[0]):
+            factor = block["factor"].to_numpy(float) if "factor" in block else np.ones(len(block))
+            block, factor = block[~np.isnan(factor)], factor[~np.isnan(factor)]
+            if block.empty:
+                continue
+            scale = np.clip(np.sign(factor) * np.abs(factor) ** root, -1e30, 1e30)
+            order = np.argsort(-scale, kind="stable")
+            scale, rid = scale[order], block["ref_id"].to_numpy()[order]
+            right = sign * np.stack(block["ref_vec"].to_numpy())[order]
+            single = (right * scale[:, None]).astype(np.float32)
+            for lead, (qid, left) in zip(leads, steps):
+                advance(lead, qid, left, rid, right, single, scale)
+                lead.cut()
+        out = [pd.DataFrame({"query_id": qid[i], "ref_id": ref, "similarity": similarity}) for lead, (qid, _) in zip(leads, steps) for i, ref, similarity, _ in lead.found if len(i)]
+        return pd.concat(out) if out else _no_rows(names)
 
     return run
 
@@ -194,22 +259,39 @@ def _block(column: str, n: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
 
 
-def _blocks(queries: DataFrame, references: DataFrame, pearson: bool, product, extra: Sequence[str] = (), counts: bool = False) -> DataFrame:
-    """Block products of all queries and references (``id, vec`` and the extra columns); pairs never exist as rows.
+def _blocks(queries: DataFrame, references: DataFrame, pearson: bool, product, extra: Sequence[str] = (), counts: bool = False, leading: bool = False) -> DataFrame:
+    """Products of all queries and references (``id, vec`` and the extra columns); pairs never exist as rows.
 
-    ``product`` gives the cogrouped function for a schema.
+    ``product`` gives the function for a schema. The references are written once
+    and read, block by block, by the task of each query block, so neither side
+    is shuffled once for each block of the other. With ``leading`` the function
+    carries a query block through all its references; otherwise it gives the
+    rows of one block at a time.
     """
-    nq = max(1, math.ceil(queries.count() / BLOCK_ROWS))
-    nr = max(1, math.ceil(references.count() / BLOCK_ROWS))
-    # Both sides get columns of their own: a self-comparison must not share attributes.
-    q = queries.select(F.col("id").alias("query_id"), unit("vec", pearson).alias("query_vec"))
-    r = references.select(F.col("id").alias("ref_id"), unit("vec", pearson).alias("ref_vec"), *[F.col(c).alias(c) for c in extra])
-    q = q.withColumn("_qb", _block("query_id", nq)).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))))
-    r = r.withColumn("_rb", _block("ref_id", nr)).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    nq = max(1, math.ceil(queries.count() / QUERY_ROWS))
+    shares = math.ceil(LEAST_TASKS / nq)
+    q = queries.select(F.col("id").alias("query_id"), unit("vec", pearson).alias("query_vec")).withColumn("_qb", _block("query_id", nq))
+    r = references.select(F.col("id").alias("ref_id"), unit("vec", pearson).alias("ref_vec"), *extra)
+    folder = write_table(r.orderBy(F.col("factor").desc()) if leading and "factor" in extra else r)
     schema = f"query_id {queries.schema['id'].dataType.simpleString()}, ref_id {references.schema['id'].dataType.simpleString()}, similarity double"
     if counts:
         schema += ", n_positive bigint, n_negative bigint, n_all bigint"
-    return q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(product(schema), schema)
+    run, by = product(schema), ["_qb", "_share"]
+    q = q.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    if leading:
+        where = q.sparkSession.range(nq * shares).select(
+            F.floor(F.col("id") / shares).cast("int").alias("_qb"), (F.col("id") % shares).cast("int").alias("_share"), F.lit(folder).alias("folder"), F.lit(shares).alias("shares"))
+        return q.groupBy(*by).cogroup(where.groupBy(*by)).applyInPandas(run, schema)
+
+    def each(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for gathered in _gathered(parts, BLOCK_ROWS):
+            for share, of in gathered.groupby("_share"):
+                for block in _stored(folder, share, shares):
+                    found = run(of, block)
+                    if len(found):
+                        yield found
+
+    return q.repartition(nq * shares, *by).mapInPandas(each, schema)
 
 
 def similar(
@@ -222,9 +304,8 @@ def similar(
 
     if k is None:
         return _blocks(queries, references, pearson, lambda schema: _block_product(schema, lambda sim, valid, q, r: valid & (sim >= min_similarity), exclude_self))
-    # Everything that reaches the bound stays, ties included; the final ranking decides.
     low = -math.inf if min_similarity is None else min_similarity
-    pairs = _blocks(queries, references, pearson, lambda schema: _leading_product(schema, k, exclude_self, low))
+    pairs = _blocks(queries, references, pearson, lambda schema: _leading_product(schema, k, exclude_self, low, first_ids=True), leading=True)
     return top_k(pairs, ["query_id"], k, [F.col("similarity").desc(), F.col("ref_id").asc()])
 
 
@@ -263,7 +344,7 @@ def candidates_by_evidence(
 
     if not (leading or counts) and near_best is None:
         low, sign = max(min_similarity, 0.0), 1.0 if polarity == "similar" else -1.0
-        return _blocks(queries, references, pearson, lambda schema: _leading_product(schema, k, exclude_self, low, True, sign, power, least_factor), ["factor"])
+        return _blocks(queries, references, pearson, lambda schema: _leading_product(schema, k, exclude_self, low, True, sign, power, least_factor), ["factor"], leading=True)
     extra = ["factor", "modality"] if has_modality else ["factor"]
     return _blocks(queries, references, pearson, lambda schema: _block_product(schema, keep, exclude_self), extra, counts=counts)
 

@@ -66,3 +66,20 @@ def test_leading_pairs_are_those_of_all_products(monkeypatch):
         have[got.query_id, got.ref_id] = True
         assert (have <= ok).all() and (ok & (score >= kth) <= have).all() and not (have & (score < kth - 1e-9)).any()
         assert np.allclose(got.similarity, sim[got.query_id, got.ref_id], atol=1e-14)
+
+
+def test_a_query_meets_all_blocks_in_one_task(spark, monkeypatch):
+    """Rows are k of a query, ties included, not k for each block of references."""
+    for name, rows in (("BLOCK_ROWS", 8), ("QUERY_ROWS", 8), ("LEAST_TASKS", 1)):
+        monkeypatch.setattr(SIM, name, rows, raising=False)
+    v = spark.range(160).select("id", F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.sin(i * (F.col("id") % 10 + 1.0))).alias("vec")).repartition(4)
+    found = []
+    monkeypatch.setattr(SIM, "top_k", lambda pairs, *a: found.append(pairs.collect()))
+    SIM.similar(v, v, k=3, exclude_self=True)
+    assert {(p.query_id, p.ref_id) for p in found[0]} == {(i, j) for i in range(160) for j in [j for j in range(160) if j % 10 == i % 10 and j != i][:3]}
+    assert len(found[0]) == 160 * 3
+
+
+def test_text_ids_without_any_pair(spark):
+    v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "id string, vec array<double>")
+    assert SIM.similar(v, v, k=1, min_similarity=0.5, exclude_self=True).count() == 0
