@@ -48,6 +48,13 @@ def transform_score(x, mode: str) -> Column:
     return choices[mode]()
 
 
+def significant(x, digits: int = 12) -> Column:
+    """Rounded to so many significant digits: sums of the same numbers in another order become equal."""
+    x = _c(x)
+    unit = F.pow(F.lit(10.0), F.lit(float(digits)) - F.ceil(F.log10(F.abs(x))))
+    return F.when(x == 0, x).otherwise(F.round(x * unit) / unit)
+
+
 def neglog10_clamped(p, eps: float = 1e-300, cap: float = 50.0) -> Column:
     """-log10 with p clamped to [eps, 1] and eps added again; used by DE and methylation scores."""
     q = F.least(F.lit(1.0), F.greatest(F.lit(eps), _c(p)))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 FINEST_BITS = 7
 STEP_BITS = 3
+#: A stretch, within which features and genes stand together, is so many times as long as the links reach.
+STRETCH = 8
 
 
 def _grid_width(start: str, end: str) -> Column:
@@ -321,6 +323,61 @@ def decay_links(
     return pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_genes).drop("_r")
 
 
+def stretch_links(
+    features: DataFrame,
+    payload: Sequence[Column],
+    genes: DataFrame,
+    longest: int,
+    upstream: int = 2000,
+    downstream: int = 500,
+    nearest_max: int | None = None,
+    decay_max: int | None = None,
+    decay_length: float = 50_000.0,
+    max_genes: int = 5,
+) -> DataFrame:
+    """Pairs of a distinct span and a gene that are linked, each side shuffled once.
+
+    ``payload`` are the aggregates of a span's features. A pair has
+    ``in_promoter`` (the span meets any promoter), ``promoter_overlap`` (it meets
+    this gene's), ``nearest_tss`` and ``distance_decay`` (with ``decay_weight``),
+    as in ``promoter_links``, ``nearest_links`` and ``decay_links``; a distance of
+    None leaves that link out. No span may be longer than ``longest``.
+
+    A feature belongs to the stretch of positions that holds its centre, a gene
+    to every stretch that its links reach into, so pairs, flags and ranks are
+    formed where the rows are.
+    """
+    reach = max(nearest_max or 0, decay_max or 0, longest // 2 + max(upstream, downstream, 0) + 2, 1)
+    at = lambda c: F.floor(c / F.lit(float(STRETCH * reach))).cast("long")
+    place, span = ["chrom", "_stretch"], ["chrom", "_stretch", "start", "end"]
+    centre = F.floor((F.col("start") + F.col("end")) / 2).cast("long")
+    spans = features.withColumn("_stretch", at(centre)).repartition(*place).groupBy(*span).agg(*payload)
+    spans = spans.withColumn("centre", centre)
+    tss = F.col("tss").cast("long")
+    reached = F.explode(F.sequence(at(tss - reach), at(tss + reach)))
+    g = genes.select("chrom", tss.alias("tss"), "strand", "gene_id", "gene_ordinal", reached.alias("_stretch")).repartition(*place)
+    # Genes of one position are equally far from any centre: only the first names, and the first and last of the file, can be linked by distance.
+    here = Window.partitionBy(*place, "tss")
+    ordinal = F.col("gene_ordinal")
+    g = g.withColumn("_name", F.row_number().over(here.orderBy(F.col("gene_id").asc())) <= max_genes)
+    g = g.withColumn("_first", F.row_number().over(here.orderBy(ordinal.asc_nulls_last())) == 1).withColumn("_last", F.row_number().over(here.orderBy(ordinal.desc_nulls_last())) == 1)
+    g = promoters(g, upstream, downstream)
+    d, after = F.abs(F.col("centre") - F.col("tss")), F.col("tss") >= F.col("centre")
+    never = F.lit(False)
+    weight = F.exp(-d.cast("double") / F.lit(float(decay_length))) if decay_length > 0 else F.lit(0.0)
+    pairs = spans.join(g, place).select(
+        *spans.columns, "gene_id", ((F.col("start") < F.col("r_end")) & (F.col("r_start") < F.col("end"))).alias("promoter_overlap"),
+        (never if decay_max is None else F.col("_name") & (d <= decay_max)).alias("_may"), weight.alias("decay_weight"),
+        (F.when(F.lit(False), F.lit(0)) if nearest_max is None else F.when((d <= nearest_max) & F.when(after, F.col("_first")).otherwise(F.col("_last")), 2 * d + F.when(after, 0).otherwise(1))).cast("long").alias("_far"),
+    ).filter(F.col("promoter_overlap") | F.col("_may") | F.col("_far").isNotNull())
+    w = Window.partitionBy(*span)
+    rank = F.row_number().over(w.orderBy(F.col("_may").desc(), F.col("decay_weight").desc(), F.col("gene_id").asc()))
+    ranked = pairs if decay_max is None else pairs.withColumn("_rank", rank)
+    ranked = ranked.withColumn("in_promoter", F.max("promoter_overlap").over(w)).withColumn("_least", F.min("_far").over(w))
+    return ranked.withColumn("distance_decay", never if decay_max is None else F.col("_may") & (F.col("_rank") <= max_genes)).withColumn(
+        "nearest_tss", F.coalesce(F.col("_far") == F.col("_least"), never)).drop("_may", "_far", "_rank", "_least", "_stretch")
+
+
 def segment_gene_overlaps(
     segments: DataFrame, genes: DataFrame, on: Sequence[str] = ("chrom",), start: str = "start", end: str = "end"
 ) -> DataFrame:

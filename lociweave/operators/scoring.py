@@ -93,7 +93,11 @@ def combine_ratio(distal: DataFrame, promoter: DataFrame, keys: Sequence[str], e
     j = [*keys, "gene_id"]
     both = distal.select(*j, F.col("score").alias("_d")).join(promoter.select(*j, F.col("score").alias("_p")), j, "full_outer")
     d, p = F.coalesce("_d", F.lit(0.0)), F.coalesce("_p", F.lit(0.0))
-    return both.select(*j, F.log2((d + eps) / (p + eps)).alias("score"))
+    return both.select(*j, log_ratio(d, p, eps).alias("score"))
+
+
+def log_ratio(distal: Column, promoter: Column, eps: float = 1e-6) -> Column:
+    return F.log2((distal + eps) / (promoter + eps))
 
 
 def collapse_best(

@@ -19,6 +19,11 @@ def score_order(score: str = "score", gene: str = "gene_id") -> list[Column]:
     return [F.col(score).desc(), F.col(gene).asc()]
 
 
+def tied_order(score: str = "score", gene: str = "gene_id") -> list[Column]:
+    """Magnitude, then gene id: genes with the same features tie, whatever the order in which their rows were added up."""
+    return [S.significant(F.abs(score)).desc(), F.col(gene).asc()]
+
+
 def cnv_order(score: str = "score", symbol: str = "gene_symbol", gene: str = "gene_id") -> list[Column]:
     """Score, then lower-case symbol with blank symbols last, then gene id."""
     name = F.coalesce(F.nullif(F.lower(F.trim(F.col(symbol))), F.lit("")), F.lit("{"))

@@ -14,7 +14,7 @@ from lociweave.operators import intervals as I
 from lociweave.operators import selection as SEL
 from lociweave.operators import statistics as ST
 from lociweave.operators.joins import attach
-from lociweave.operators.scoring import combine_ratio
+from lociweave.operators.scoring import combine_ratio, log_ratio
 from lociweave.session import materialize
 
 # Programs of each preset, and the link each program prefers there.
@@ -78,6 +78,43 @@ def link_values(
     return out
 
 
+#: Spans longer than so many times the links' reach would widen every stretch; they are linked through a grid of size classes.
+LONG_SPAN = 16
+
+
+def span_limit(features: DataFrame, need: Sequence[tuple[str, str]], upstream: int, downstream: int, nearest_max: int | None = 100_000, decay_max: int = 500_000, **_) -> int | None:
+    """Length of the longest span where features and genes can meet in stretches, else None."""
+    methods = {m for _, m in need}
+    if not methods <= set(ALL_LINKS) or ("nearest_tss" in methods and nearest_max is None):
+        return None
+    longest = features.agg(F.max(F.abs(F.col("end") - F.col("start")))).first()[0]
+    reach = max(upstream, downstream, nearest_max if "nearest_tss" in methods else 0, decay_max if "distance_decay" in methods else 0, 1)
+    return int(longest or 0) if (longest or 0) <= LONG_SPAN * reach else None
+
+
+def stretch_pairs(features: DataFrame, payload, genes: DataFrame, need: Sequence[tuple[str, str]], longest: int, upstream: int, downstream: int,
+                  nearest_max: int = 100_000, decay_max: int = 500_000, decay_length: float = 50_000.0, max_genes: int = 5) -> tuple[DataFrame, dict]:
+    """Linked pairs, and per link method the pair's weight there (null without a link)."""
+    methods = {m for _, m in need}
+    pairs = I.stretch_links(features, payload, genes, longest, upstream, downstream, nearest_max if "nearest_tss" in methods else None,
+                            decay_max if "distance_decay" in methods else None, decay_length, max_genes)
+    return pairs, {m: F.when(F.col(m), F.col("decay_weight") if m == "distance_decay" else F.lit(1.0)) for m in ALL_LINKS}
+
+
+def _stretch_scores(features: DataFrame, payload, genes: DataFrame, value: dict, plain, bias_links, need, longest: int, **settings) -> DataFrame:
+    """``program_scores`` without keys and reference: every score of a gene from one pass over its pairs."""
+    pairs, weight = stretch_pairs(features, payload, genes, need, longest, **settings)
+    name = lambda p, m: f"{p}/{m}"
+    sums = pairs.groupBy("gene_id").agg(*[F.sum(value[p] * weight[m]).alias(name(p, m)) for p, m in need])
+    rows = [(F.col(name(p, m)), F.col(name(p, m)) != 0, p, m) for p, m in plain]
+    for m in bias_links:
+        distal, promoter = (F.coalesce(name(p, m), F.lit(0.0)) for p in ("distal_activity", "promoter_activity"))
+        rows.append((log_ratio(distal, promoter), (distal != 0) | (promoter != 0), "enhancer_bias", m))
+    items = F.array(*[F.struct(F.lit("none").alias("calibration"), F.lit(p).alias("program"), F.lit(m).alias("link_method"), score.alias("score"), there.alias("there"))
+                      for score, there, p, m in rows])
+    return sums.select("gene_id", F.explode(items).alias("i")).filter("i.there").select("i.calibration", "i.program", "i.link_method", "gene_id", "i.score")
+
+
 def program_scores(
     features: DataFrame, genes: DataFrame, keys: Sequence[str] = (), grid: Sequence[tuple[str, str]] | None = None, transform: str = "positive",
     reference: DataFrame | None = None, distal_weight: str | None = None, upstream: int = 2000, downstream: int = 500, **link_settings,
@@ -85,7 +122,8 @@ def program_scores(
     """Gene scores of every (keys, calibration, program, link) in one job.
 
     Feature values are transformed, masked per program and summed per span
-    before the links are joined. With a reference, values times the reference
+    before the links are joined; without keys and reference, features and genes
+    meet in stretches of positions, each shuffled once. With a reference, values times the reference
     IDF form a second calibration. ``distal_weight`` names a feature column used
     instead of the weight by the tf-idf distal program.
     """
@@ -94,12 +132,23 @@ def program_scores(
     plain = [(p, m) for p, m in grid if p != "enhancer_bias"]
     bias_links = [m for p, m in grid if p == "enhancer_bias"]
     need = set(plain) | {(p, m) for m in bias_links for p in ("promoter_activity", "distal_activity")}
-    genes = materialize(genes.select("chrom", "tss", "strand", "gene_id", "gene_ordinal"))
-    prom = I.promoters(genes, upstream, downstream).select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
     x = S.transform_score("weight", transform)
     agg = [F.sum(x).alias("w")]
     if distal_weight:
         agg.append(F.sum(S.transform_score(distal_weight, transform)).alias("wd"))
+    # One column per program: masked features contribute zero.
+    value = {
+        "linked_activity": F.col("w"),
+        "promoter_activity": F.when(F.col("in_promoter"), F.col("w")).otherwise(0.0),
+        "distal_activity": F.when(F.col("in_promoter"), 0.0).otherwise(F.col("w")),
+    }
+    if distal_weight:
+        value["tfidf_distal"] = F.when(F.col("in_promoter"), 0.0).otherwise(F.col("wd"))
+    longest = span_limit(features, sorted(need), upstream, downstream, **link_settings) if not keys and reference is None else None
+    if longest is not None:
+        return _stretch_scores(features, agg, genes, value, plain, bias_links, sorted(need), longest, upstream=upstream, downstream=downstream, **link_settings)
+    genes = materialize(genes.select("chrom", "tss", "strand", "gene_id", "gene_ordinal"))
+    prom = I.promoters(genes, upstream, downstream).select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
     # The features are read once; masks, priors and links all start from the written spans.
     collapsed = materialize(features.groupBy(*keys, "chrom", "start", "end").agg(*agg))
     spans = collapsed.select("chrom", "start", "end")
@@ -110,14 +159,6 @@ def program_scores(
         flagged = I.overlap_max(flagged, reference, "idf_ref", "idf")
     # Written, as each link method reads it.
     by_span = materialize(collapsed.join(flagged, ["chrom", "start", "end"]))
-    # One column per program, unpivoted after the sum: masked features contribute zero.
-    value = {
-        "linked_activity": F.col("w"),
-        "promoter_activity": F.when(F.col("in_promoter"), F.col("w")).otherwise(0.0),
-        "distal_activity": F.when(F.col("in_promoter"), 0.0).otherwise(F.col("w")),
-    }
-    if distal_weight:
-        value["tfidf_distal"] = F.when(F.col("in_promoter"), 0.0).otherwise(F.col("wd"))
     names = sorted({p for p, _ in need})
     calibrations = [F.struct(F.lit("none").alias("calibration"), F.lit(1.0).alias("f"))]
     if reference is not None:
@@ -151,7 +192,7 @@ def atac_bulk(peaks: DataFrame, genes: DataFrame, keys: Sequence[str] = (), sele
         base = scores.filter("calibration = 'none' and program = 'linked_activity'")
         res = ST.baseline_residual(base.drop("program"), atlas, [*keys, "calibration", "link_method"])
         scores = scores.unionByName(res.withColumn("program", F.lit("atlas_residual")))
-    return SEL.select_and_weight(scores, by, **(select or {}))
+    return SEL.select_and_weight(scores, by, **{"order": SEL.tied_order(), **(select or {})})
 
 
 def atac_bulk_matrix(values: DataFrame, peaks: DataFrame, samples: DataFrame, contrasts: DataFrame, genes: DataFrame, stat: str = "log2fc",
