@@ -178,16 +178,21 @@ def canonical_ids(rows: DataFrame, aliases: DataFrame, column: str, alias: str =
     return rows.join(a, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
-def harmonize_chrom(rows: DataFrame, chroms: DataFrame, column: str = "chrom") -> DataFrame:
-    """Rename chromosomes to the spelling of the gene table; rows without a match drop out.
+def chrom_spellings(rows: DataFrame, chroms: DataFrame, column: str = "chrom") -> DataFrame:
+    """For each chromosome name of the rows its spelling ``_to`` in the gene table, names without a match left out.
 
-    ``chroms`` is the distinct chromosome list of the gene table, joined on the
-    name without its prefix; an exact spelling is preferred.
+    ``chroms`` is the chromosome list of the gene table, joined on the name
+    without its prefix; an exact spelling is preferred.
     """
     bare = lambda c: F.regexp_replace(c, "^chr", "")
     named = chroms.select(F.col(column).alias("_to")).distinct()
     names = rows.select(column).distinct()
     pairs = names.join(named, bare(F.col(column)) == bare(F.col("_to")))
     exact_first = F.struct((F.col(column) != F.col("_to")).alias("x"), F.col("_to").alias("n"))
-    lookup = pairs.groupBy(column).agg(F.min_by("_to", exact_first).alias("_to"))
+    return pairs.groupBy(column).agg(F.min_by("_to", exact_first).alias("_to"))
+
+
+def harmonize_chrom(rows: DataFrame, chroms: DataFrame, column: str = "chrom") -> DataFrame:
+    """Rename chromosomes to the spelling of the gene table (``chroms``); rows without a match drop out."""
+    lookup = chrom_spellings(rows, chroms, column)
     return rows.join(lookup, column).withColumn(column, F.col("_to")).drop("_to")

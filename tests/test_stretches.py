@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lociweave.functions import scalars as S
 from lociweave.plans import accessibility as AX
+from lociweave.plans import methylation as ME
 
 SETTINGS = {"upstream": 3, "downstream": 1, "nearest_max": 9, "decay_max": 14, "decay_length": 5.0, "max_genes": 3}
 
@@ -45,6 +47,7 @@ def test_spans_and_genes_are_shuffled_once(spark, tables, monkeypatch):
         raise AssertionError("a table was written")
 
     monkeypatch.setattr(AX, "materialize", written)
+    monkeypatch.setattr(ME, "materialize", written)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -64,6 +67,17 @@ def test_a_long_span_is_linked_all_the_same(spark, tables):
     assert len(got) == genes.filter("chrom = '2' and tss > 0").select("gene_id").distinct().count()
 
 
+@pytest.mark.parametrize("aggregation", ["weighted_mean", "sum"])
+def test_methylation_sums_per_span(tables, monkeypatch, aggregation):
+    features, genes = tables
+    f = features.withColumn("value", F.coalesce("weight", F.lit(0.5)))
+    grid = [*ME.CONNECTABLE, ("linked_activity", "nearest_tss")]
+    run = lambda: scores(ME.methylation_programs(f, genes, grid, aggregation=aggregation, transform="abs", select={"how": "none"}, **SETTINGS))
+    got = run()
+    monkeypatch.setattr(AX, "LONG_SPAN", -1)
+    assert got == run()
+
+
 def test_sums_in_another_order_tie(spark):
     x = [0.1, 0.7, 1e-3, 1 / 3, 11.9]
     a, b = sum(x), sum(reversed(x))
